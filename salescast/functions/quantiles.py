@@ -9,21 +9,24 @@ from salescast.schema import q_names
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: list[float], ranges: int = 64
+    df: DataFrame, keys: list[str], value: str, probs: list[float], count: str | None = None,
+    ranges: int = 64,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group: ``keys, n, quantiles``.
 
     No group is ever sorted in one task. Values are first counted (map-side combined), then
     each group is cut into value ranges at approximate quantiles. The cuts only divide the
     work: prefix counts over the ranges locate the ranks, and just the ranges that hold a
-    wanted rank are ordered, each on its own. NULLs are left out.
+    wanted rank are ordered, each on its own. NULLs are left out. With ``count`` the rows are
+    already counted: one row per group and value.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    splits = [i / ranges for i in range(1, ranges)]
+    known = df.where(F.col(value).isNotNull())
+    number = F.col(value).cast("double").alias("_v")
+    if count:
+        counts = known.where(F.col(count) > 0).select(*keys, number, F.col(count).alias("_c"))
+    else:
+        counts = known.groupBy(*keys, number).agg(F.count(F.lit(1)).alias("_c"))
+    splits = _doubles([i / ranges for i in range(1, ranges)])
     cuts = counts.groupBy(*keys).agg(
         F.percentile_approx("_v", splits, 10000).alias("_cuts"), F.sum("_c").alias("_n")
     )
@@ -37,9 +40,9 @@ def exact_quantiles(
     sizes = ranged.groupBy(*keys, "_n", "_range").agg(F.sum("_c").alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    wanted = F.array_distinct(F.flatten(F.array(*[
-        F.array(F.floor(_position(p)), F.ceil(_position(p))) for p in probs
-    ])))
+    wanted = F.array_distinct(F.flatten(F.transform(
+        _doubles(probs), lambda p: F.array(F.floor(_position(p)), F.ceil(_position(p)))
+    )))
     holders = (
         starts.withColumn(
             "_ranks",
@@ -71,7 +74,7 @@ def exact_quantiles(
     return by_rank.select(
         *keys,
         F.col("_n").alias("n"),
-        F.array(*[_interpolated(p) for p in probs]).alias("quantiles"),
+        F.transform(_doubles(probs), _interpolated).alias("quantiles"),
     )
 
 
@@ -81,11 +84,15 @@ def _attach(counts: DataFrame, cuts: DataFrame, keys: list[str]) -> DataFrame:
     return salted_join(counts, cuts, keys, [F.col("_v")], how="inner")
 
 
-def _position(p: float) -> Column:
-    return (F.col("_n") - 1).cast("double") * F.lit(float(p))
+def _doubles(values: list[float]) -> Column:
+    return F.expr("array(" + ", ".join(f"{v!r}D" for v in values) + ")")
+
+
+def _position(p: Column) -> Column:
+    return (F.col("_n") - 1).cast("double") * p
 
 
-def _interpolated(p: float) -> Column:
+def _interpolated(p: Column) -> Column:
     pos = _position(p)
     low = F.element_at("_at", F.floor(pos))
     high = F.element_at("_at", F.ceil(pos))

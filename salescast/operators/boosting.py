@@ -18,7 +18,7 @@ from dataclasses import asdict, dataclass
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.functions.joins import salted_join
@@ -114,9 +114,14 @@ class Stage:
         """Add the shrunken leaf value to ``column``."""
         leaf = f"_leaf_{column}"
         placed = self.tree.setPredictionCol("").setLeafCol(leaf).transform(rows)
-        values = F.create_map(*[F.lit(x) for pair in self.leaves.items() for x in pair])
-        gain = F.coalesce(F.try_element_at(values, F.col(leaf).cast("int")), F.lit(0.0))
-        return placed.withColumn(column, F.col(column) + F.lit(rate) * gain).drop(leaf)
+        return placed.withColumn(column, stepped(column, F.col(leaf), self.leaves, rate)).drop(leaf)
+
+
+def stepped(column: str, leaf: Column, values: dict[int, float], rate: float) -> Column:
+    """``column`` moved by the shrunken value of the row's leaf."""
+    table = F.expr("map(" + ", ".join(f"{k}, {v!r}D" for k, v in values.items()) + ")")
+    gain = F.coalesce(F.try_element_at(table, leaf.cast("int")), F.lit(0.0))
+    return (F.col(column) + F.lit(rate) * gain).alias(column)
 
 
 class QuantileBoostModel:
@@ -220,36 +225,46 @@ def fit_quantile_boost(table: DataFrame, quantiles, params: BoostParams = BoostP
 
             futures = [pool.submit(inheritable_thread_target(frame.sparkSession)(fit_tree), q) for q in qs]
             trees = dict(zip(qs, [f.result() for f in futures]))
-            values, loss = _leaf_values(frame, trees)
+            # Rows are placed in their leaves once; the leaf values and the step both use that.
+            placed = _placed(frame, trees).persist(StorageLevel.MEMORY_AND_DISK)
+            values, loss = _leaf_values(placed, qs)
             losses.append(loss)
-            stages = {q: Stage(trees[q], values[q]) for q in qs}
-            rounds.append(stages)
-            moved = frame
-            for q in qs:
-                moved = stages[q].step(moved, q_name(q), params.learning_rate)
+            rounds.append({q: Stage(trees[q], values[q]) for q in qs})
+            moved = placed.select("y", "features", *[
+                stepped(q_name(q), F.col(_leaf_col(q)), values[q], params.learning_rate) for q in qs
+            ])
             if (m + 1) % params.checkpoint_every == 0:
                 moved = checkpointed(moved)
             moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
-            previous, frame = frame, moved
             if m + 1 == params.rounds:
-                losses.append(_losses(frame, qs))
+                losses.append(_losses(moved, qs))
             else:
-                frame.count()
-            previous.unpersist()
+                moved.count()
+            frame.unpersist()
+            placed.unpersist()
+            frame = moved
     frame.unpersist()
     return QuantileBoostModel(qs, params, encoder, start, rounds, losses)
 
 
-def _leaf_values(frame: DataFrame, trees: dict[float, DecisionTreeRegressionModel]):
+def _leaf_col(q: float) -> str:
+    return f"_leaf_{q_name(q)}"
+
+
+def _placed(frame: DataFrame, trees: dict[float, DecisionTreeRegressionModel]) -> DataFrame:
+    """Rows with their leaf in every tree."""
+    out = frame
+    for q, tree in trees.items():
+        out = tree.setPredictionCol("").setLeafCol(_leaf_col(q)).transform(out)
+    return out
+
+
+def _leaf_values(placed: DataFrame, qs: list[float]):
     """Residual quantile of every leaf of every tree, and the current losses, in one job."""
-    qs = sorted(trees)
-    placed = frame
-    for i, q in enumerate(qs):
-        placed = trees[q].setPredictionCol("").setLeafCol(f"_leaf{i}").transform(placed)
     cells = [
         F.struct(
             F.lit(i).alias("i"),
-            F.col(f"_leaf{i}").cast("int").alias("leaf"),
+            F.col(_leaf_col(q)).cast("int").alias("leaf"),
             (F.col("y") - F.col(q_name(q))).alias("resid"),
         )
         for i, q in enumerate(qs)

@@ -25,13 +25,14 @@ def drift_windows(features: DataFrame, last: int, window: int) -> tuple[DataFram
     return reference, current
 
 
-def _long(df: DataFrame, columns: list[str], side: str) -> DataFrame:
+def _long(df: DataFrame, columns: list[str], r: int, k: int) -> DataFrame:
+    """(feature, value) rows that count for the reference (r) or the current side (k)."""
     parts = [
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns
     ]
     return df.select(F.inline(F.array(*parts))).where(
         F.col("value").isNotNull() & ~F.isnan("value")
-    ).withColumn("side", F.lit(side))
+    ).select("feature", "value", F.lit(r).alias("r"), F.lit(k).alias("k"))
 
 
 def feature_drift(
@@ -40,29 +41,30 @@ def feature_drift(
 ) -> DataFrame:
     """PSI and drift flag of every column that both sides have, all in one job.
 
-    Bins are the distinct exact quantiles of the reference with open outer ends. Values are
-    counted per feature, side and value before they meet the bin edges, so the join sees
-    distinct values and not rows. A feature with fewer than two distinct edges, or with an
+    Bins are the distinct exact quantiles of the reference with open outer ends. Both sides are
+    counted per feature and value in one aggregate; the edges and the bins both start from it,
+    so the rows are scanned and shuffled once and the join sees distinct values only. A feature with fewer than two distinct edges, or with an
     empty side, scores 0.
     """
     shared = [c for c in columns if c in reference.columns and c in current.columns]
     if not shared:
         raise ValueError("no monitored column exists on both sides")
-    both = _long(reference, shared, "ref").unionByName(_long(current, shared, "cur"))
-    edges = exact_quantiles(
-        both.where(F.col("side") == "ref"), ["feature"], "value", bin_probabilities(bins)
-    ).select("feature", F.array_distinct("quantiles").alias("edges"))
-    counts = both.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("c"))
+    cells = (
+        _long(reference, shared, 1, 0)
+        .unionByName(_long(current, shared, 0, 1))
+        .groupBy("feature", "value")
+        .agg(F.sum("r").alias("r"), F.sum("k").alias("k"))
+    )
+    edges = exact_quantiles(cells, ["feature"], "value", bin_probabilities(bins), count="r").select(
+        "feature", F.array_distinct("quantiles").alias("edges")
+    )
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     binned = (
-        salted_join(counts, edges, ["feature"], [F.col("value")], how="inner")
+        salted_join(cells, edges, ["feature"], [F.col("value")], how="inner")
         .where(F.size("edges") >= 2)
         .withColumn("bin", F.size(F.filter(inner, lambda e: e <= F.col("value"))))
         .groupBy("feature", "bin")
-        .agg(
-            F.sum(F.when(F.col("side") == "ref", F.col("c")).otherwise(0)).alias("r"),
-            F.sum(F.when(F.col("side") == "cur", F.col("c")).otherwise(0)).alias("k"),
-        )
+        .agg(F.sum("r").alias("r"), F.sum("k").alias("k"))
     )
     totals = binned.groupBy("feature").agg(
         F.sum("r").alias("nr"),

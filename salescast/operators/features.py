@@ -99,24 +99,46 @@ def lag_columns(lags, by: list[str]) -> list:
     return [F.lag("sales", k).over(by_day).alias(f"lag_{k}") for k in lags]
 
 
+def _running(by: list[str]) -> dict:
+    """Running count, sum and sum of squares of the units up to and including the row."""
+    upto = Window.partitionBy(*by).orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    units = F.col("sales").cast("long")
+    return {
+        "_n": F.count("sales").over(upto),
+        "_s": F.coalesce(F.sum(units).over(upto), F.lit(0)),
+        "_ss": F.coalesce(F.sum(units * units).over(upto), F.lit(0)),
+    }
+
+
 def rolling_columns(windows, by: list[str]) -> list:
-    """Mean and sample deviation of the ``w`` days before t; NULL until all ``w`` exist."""
+    """Mean and sample deviation of the ``w`` days before t; NULL until all ``w`` exist.
+
+    Each statistic is a difference of two running integer sums, so its cost per row does not
+    depend on ``w`` and whole units lose no precision.
+    """
     by_day = Window.partitionBy(*by).orderBy("d")
+
+    def over_window(total: str, w: int):
+        return F.lag(total, 1).over(by_day) - F.coalesce(F.lag(total, w + 1).over(by_day), F.lit(0))
+
     out = []
     for w in windows:
-        frame = by_day.rowsBetween(-w, -1)
-        full = F.count("sales").over(frame) >= w
+        n, s, ss = (over_window(c, w) for c in ("_n", "_s", "_ss"))
+        variance = F.try_divide((ss * w - s * s).cast("double"), F.lit(float(w * (w - 1))))
         out += [
-            F.when(full, F.avg("sales").over(frame)).alias(f"rolling_mean_{w}"),
-            F.when(full, F.stddev_samp("sales").over(frame)).alias(f"rolling_std_{w}"),
+            F.when(n >= w, s.cast("double") / F.lit(float(w))).alias(f"rolling_mean_{w}"),
+            F.when(n >= w, F.sqrt(variance)).alias(f"rolling_std_{w}"),
         ]
     return out
 
 
 def with_history(daily: DataFrame, lags, windows, by: list[str] | None = None) -> DataFrame:
-    """Lag and rolling columns in one select: one sort by series and day."""
+    """Lag and rolling columns over one partitioning and one sort by series and day."""
     by = by or ["id"]
-    return daily.select("*", *lag_columns(lags, by), *rolling_columns(windows, by))
+    sums = _running(by) if windows else {}
+    return daily.withColumns(sums).select(
+        *daily.columns, *lag_columns(lags, by), *rolling_columns(windows, by)
+    )
 
 
 def build_features(

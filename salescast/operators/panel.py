@@ -38,17 +38,17 @@ def _fan_out(df: DataFrame) -> DataFrame:
     ).drop("_part")
 
 
-def rolled_up(df: DataFrame, day: str, sums: list[str]) -> DataFrame:
+def rolled_up(df: DataFrame, day: str, sums: list[str], one_row_per_day: bool = False) -> DataFrame:
     """Sums per (level, key, day) over all six levels.
 
-    The series level is one aggregate by series and day. The upper levels start from one
-    aggregate by store, category and department, so the fan-out touches that small result and
-    not the series rows. Both combine before their shuffle.
+    The series level is one aggregate by series and day, or no aggregate at all where the
+    input has one row per series and day. The upper levels start from one aggregate by store,
+    category and department, so the fan-out touches that small result and not the series rows.
+    Both combine before their shuffle.
     """
     totals = [F.sum(c).alias(c) for c in sums]
-    bottom = df.groupBy("id", day).agg(*totals).select(
-        F.lit("item_store").alias("level"), F.col("id").alias("key"), day, *sums
-    )
+    series = df if one_row_per_day else df.groupBy("id", day).agg(*totals)
+    bottom = series.select(F.lit("item_store").alias("level"), F.col("id").alias("key"), day, *sums)
     upper = _fan_out(df.groupBy(*_UPPER, day).agg(*totals)).groupBy("level", "key", day).agg(*totals)
     return bottom.unionByName(upper)
 
@@ -75,7 +75,7 @@ def by_level(preds: DataFrame, history: DataFrame) -> DataFrame:
     history and then averaged by dollar weight; a group without a scale drops out.
     """
     keys = ["level", "key"]
-    scales = M.naive_scales(rolled_up(history, "d", ["sales"]), keys)
+    scales = M.naive_scales(rolled_up(history, "d", ["sales"], one_row_per_day=True), keys)
     scored = rolled_up(preds.withColumn("actual", F.col("actual").cast("double")), "target_day", ["actual", MEDIAN])
     err = F.abs(F.col("actual") - F.col(MEDIAN))
     errors = scored.groupBy(*keys).agg(

@@ -87,24 +87,28 @@ def contiguous(
 ) -> DataFrame:
     """Gap-free grid per series from its first day to ``end_day``.
 
-    Missing units are 0; covariates are filled forward, then backward. A series holds one row
-    per day, so each window partition is bounded by the calendar.
+    Missing units are 0; covariates are filled forward, then backward (before the first known
+    value, that is the first known value of the series, which takes one pass). No join against a grid:
+    every row carries its filled covariates and spreads over the days up to the next row of
+    its series. One exchange and one sort; a series holds one row per day, so a window
+    partition is bounded by the calendar.
     """
-    spans = df.groupBy("id").agg(F.min("d").alias("_from"))
-    grid = spans.select("id", F.explode(F.sequence(F.col("_from"), F.lit(end_day))).alias("d"))
-    known = df.select("id", "d", units, *covariates)
-    past = Window.partitionBy("id").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy("id").orderBy("d").rowsBetween(0, Window.unboundedFollowing)
-    joined = grid.join(known, ["id", "d"], "left")
-    return joined.select(
+    by_day = Window.partitionBy("id").orderBy("d")
+    past = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    series = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = df.where(F.col("d") <= end_day).select(
         "id",
-        "d",
-        F.coalesce(F.col(units), F.lit(0)).alias(units),
+        F.col("d").alias("_from"),
+        F.coalesce(F.lead("d").over(by_day) - 1, F.lit(end_day)).alias("_to"),
+        F.col(units).alias("_units"),
         *[
-            F.coalesce(F.last(c, ignorenulls=True).over(past), F.first(c, ignorenulls=True).over(ahead)).alias(c)
+            F.coalesce(F.last(c, ignorenulls=True).over(past), F.first(c, ignorenulls=True).over(series)).alias(c)
             for c in covariates
         ],
     )
+    spread = known.withColumn("d", F.explode(F.sequence("_from", "_to")))
+    own = F.when(F.col("d") == F.col("_from"), F.coalesce("_units", F.lit(0))).otherwise(F.lit(0))
+    return spread.select("id", "d", own.alias(units), *covariates)
 
 
 def dense_codes(values: DataFrame, column: str) -> DataFrame:
