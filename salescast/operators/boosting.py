@@ -103,6 +103,13 @@ class Encoder:
         return max([32, *sizes])
 
 
+def _in_threads(spark: SparkSession, work, items: list) -> list:
+    """Independent small Spark jobs side by side, in the caller's session."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]
+        return [f.result() for f in futures]
+
+
 @dataclass
 class Stage:
     """One round of one quantile: the tree and its leaf values (at most 2^depth)."""
@@ -162,11 +169,13 @@ class QuantileBoostModel:
             self.encoder.indexer.write().overwrite().save(f"{path}/indexer")
         for c, table in self.encoder.means.items():
             table.write.mode("overwrite").parquet(f"{path}/means/{c}")
-        leaves = []
-        for m, stages in enumerate(self.rounds):
-            for q, stage in stages.items():
-                stage.tree.write().overwrite().save(f"{path}/trees/{m}/{q_name(q)}")
-                leaves += [(m, q_name(q), leaf, value) for leaf, value in stage.leaves.items()]
+        placed = [(m, q, stage) for m, stages in enumerate(self.rounds) for q, stage in stages.items()]
+        _in_threads(
+            spark, lambda at: at[2].tree.write().overwrite().save(f"{path}/trees/{at[0]}/{q_name(at[1])}"), placed
+        )
+        leaves = [
+            (m, q_name(q), leaf, value) for m, q, stage in placed for leaf, value in stage.leaves.items()
+        ]
         spark.createDataFrame(leaves, "round int, quantile string, leaf int, value double").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{path}/leaves")
@@ -181,14 +190,12 @@ class QuantileBoostModel:
         for row in spark.read.parquet(f"{path}/leaves").collect():
             values.setdefault((row["round"], row["quantile"]), {})[row["leaf"]] = row["value"]
         qs = meta["quantiles"]
+        at = [(m, q) for m in range(meta["rounds"]) for q in qs]
+        trees = dict(zip(at, _in_threads(
+            spark, lambda k: DecisionTreeRegressionModel.load(f"{path}/trees/{k[0]}/{q_name(k[1])}"), at
+        )))
         rounds = [
-            {
-                q: Stage(
-                    DecisionTreeRegressionModel.load(f"{path}/trees/{m}/{q_name(q)}"), values[(m, q_name(q))]
-                )
-                for q in qs
-            }
-            for m in range(meta["rounds"])
+            {q: Stage(trees[(m, q)], values[(m, q_name(q))]) for q in qs} for m in range(meta["rounds"])
         ]
         return cls(
             qs, BoostParams(**meta["params"]), Encoder(indexer, means, meta["default"]),
@@ -199,6 +206,8 @@ class QuantileBoostModel:
 def fit_quantile_boost(table: DataFrame, quantiles, params: BoostParams = BoostParams()) -> QuantileBoostModel:
     """Fit one boosted model per quantile on a direct table (label: ``sales``)."""
     qs = sorted(quantiles)
+    needed = ["id", "target_day", "sales", *MODEL_COLS]
+    table = table.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
     encoder = Encoder.fit(table, params.max_categories)
     start_row = table.agg(
         F.percentile(F.col("sales").cast("double"), F.array(*[F.lit(float(q)) for q in qs]))
@@ -211,39 +220,37 @@ def fit_quantile_boost(table: DataFrame, quantiles, params: BoostParams = BoostP
         *[F.lit(start[q]).alias(q_name(q)) for q in qs],
     )
     frame = checkpointed(frame).persist(StorageLevel.MEMORY_AND_DISK)
+    table.unpersist()
     rounds: list[dict[float, Stage]] = []
     losses: list[dict[float, float]] = []
-    with ThreadPoolExecutor(max_workers=len(qs)) as pool:
-        for m in range(params.rounds):
-            def fit_tree(q: float) -> DecisionTreeRegressionModel:
-                slope = F.when(F.col("y") > F.col(q_name(q)), F.lit(q)).otherwise(F.lit(q - 1.0))
-                tree = DecisionTreeRegressor(
-                    labelCol="slope", featuresCol="features", maxDepth=params.max_depth,
-                    minInstancesPerNode=params.min_rows, maxBins=encoder.max_bins(), seed=params.seed,
-                )
-                return tree.fit(frame.select("features", slope.alias("slope")))
-
-            futures = [pool.submit(inheritable_thread_target(frame.sparkSession)(fit_tree), q) for q in qs]
-            trees = dict(zip(qs, [f.result() for f in futures]))
-            # Rows are placed in their leaves once; the leaf values and the step both use that.
-            placed = _placed(frame, trees).persist(StorageLevel.MEMORY_AND_DISK)
-            values, loss = _leaf_values(placed, qs)
-            losses.append(loss)
-            rounds.append({q: Stage(trees[q], values[q]) for q in qs})
-            moved = placed.select("y", "features", *[
-                stepped(q_name(q), F.col(_leaf_col(q)), values[q], params.learning_rate) for q in qs
-            ])
-            if (m + 1) % params.checkpoint_every == 0:
-                moved = checkpointed(moved)
-            moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
-            if m + 1 == params.rounds:
-                losses.append(_losses(moved, qs))
-            else:
-                moved.count()
-            frame.unpersist()
-            placed.unpersist()
-            frame = moved
-    frame.unpersist()
+    stale: list[DataFrame] = []
+    for m in range(params.rounds):
+        def fit_tree(q: float) -> DecisionTreeRegressionModel:
+            slope = F.when(F.col("y") > F.col(q_name(q)), F.lit(q)).otherwise(F.lit(q - 1.0))
+            tree = DecisionTreeRegressor(
+                labelCol="slope", featuresCol="features", maxDepth=params.max_depth,
+                minInstancesPerNode=params.min_rows, maxBins=encoder.max_bins(), seed=params.seed,
+            )
+            return tree.fit(frame.select("features", slope.alias("slope")))
+
+        trees = dict(zip(qs, _in_threads(frame.sparkSession, fit_tree, qs)))
+        for old in stale:  # the fits have filled the cache of this round
+            old.unpersist()
+        # Rows are placed in their leaves once; the leaf values and the step both use that.
+        placed = _placed(frame, trees).persist(StorageLevel.MEMORY_AND_DISK)
+        values, loss = _leaf_values(placed, qs)
+        losses.append(loss)
+        rounds.append({q: Stage(trees[q], values[q]) for q in qs})
+        moved = placed.select("y", "features", *[
+            stepped(q_name(q), F.col(_leaf_col(q)), values[q], params.learning_rate) for q in qs
+        ])
+        if (m + 1) % params.checkpoint_every == 0:
+            moved = checkpointed(moved)
+        stale = [frame, placed]
+        frame = moved.persist(StorageLevel.MEMORY_AND_DISK)
+    losses.append(_losses(frame, qs))
+    for old in [*stale, frame]:
+        old.unpersist()
     return QuantileBoostModel(qs, params, encoder, start, rounds, losses)
 
 

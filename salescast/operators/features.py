@@ -76,32 +76,35 @@ def price_features(prices: DataFrame) -> DataFrame:
     )
 
 
-def attach_prices(daily: DataFrame, prices: DataFrame) -> DataFrame:
+def attach_prices(daily: DataFrame, prices: DataFrame, series: DataFrame | None = None) -> DataFrame:
     """Daily rows with their week's price features; NULL before the first listed week.
 
-    The weeks of one item in one store fold into a map (bounded by the weeks on record), so
-    the daily table is exchanged once by store and item, and not by week. The window step
-    that follows reuses that partitioning.
+    The weeks of one item in one store fold into a map (bounded by the weeks on record) that
+    joins on the series id, so the daily table is exchanged once, by series, and not by week.
+    The window step that follows and a table bucketed by series reuse that partitioning.
+    ``series`` holds the (id, store_id, item_id) rows; by default they come from ``daily``.
     """
     keys = ["store_id", "item_id"]
     cols = ["sell_price", "price_pct_change", "price_rel_dept"]
     per_item = price_features(prices).groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("wm_yr_wk", F.struct(*cols)))).alias("_weeks")
     )
+    known = (daily if series is None else series).select("id", *keys).distinct()
+    per_series = known.join(per_item, keys).select("id", "_weeks")
     week = F.try_element_at("_weeks", F.col("wm_yr_wk"))
-    return daily.join(per_item, keys, "left").select(
+    return daily.join(per_series, "id", "left").select(
         *[daily[c] for c in daily.columns], *[week[c].alias(c) for c in cols]
     )
 
 
-def lag_columns(lags, by: list[str]) -> list:
-    by_day = Window.partitionBy(*by).orderBy("d")
+def lag_columns(lags) -> list:
+    by_day = Window.partitionBy("id").orderBy("d")
     return [F.lag("sales", k).over(by_day).alias(f"lag_{k}") for k in lags]
 
 
-def _running(by: list[str]) -> dict:
+def _running() -> dict:
     """Running count, sum and sum of squares of the units up to and including the row."""
-    upto = Window.partitionBy(*by).orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("id").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
     units = F.col("sales").cast("long")
     return {
         "_n": F.count("sales").over(upto),
@@ -110,13 +113,13 @@ def _running(by: list[str]) -> dict:
     }
 
 
-def rolling_columns(windows, by: list[str]) -> list:
+def rolling_columns(windows) -> list:
     """Mean and sample deviation of the ``w`` days before t; NULL until all ``w`` exist.
 
     Each statistic is a difference of two running integer sums, so its cost per row does not
     depend on ``w`` and whole units lose no precision.
     """
-    by_day = Window.partitionBy(*by).orderBy("d")
+    by_day = Window.partitionBy("id").orderBy("d")
 
     def over_window(total: str, w: int):
         return F.lag(total, 1).over(by_day) - F.coalesce(F.lag(total, w + 1).over(by_day), F.lit(0))
@@ -132,12 +135,11 @@ def rolling_columns(windows, by: list[str]) -> list:
     return out
 
 
-def with_history(daily: DataFrame, lags, windows, by: list[str] | None = None) -> DataFrame:
+def with_history(daily: DataFrame, lags, windows) -> DataFrame:
     """Lag and rolling columns over one partitioning and one sort by series and day."""
-    by = by or ["id"]
-    sums = _running(by) if windows else {}
+    sums = _running() if windows else {}
     return daily.withColumns(sums).select(
-        *daily.columns, *lag_columns(lags, by), *rolling_columns(windows, by)
+        *daily.columns, *lag_columns(lags), *rolling_columns(windows)
     )
 
 
@@ -146,15 +148,14 @@ def build_features(
 ) -> DataFrame:
     """The feature table, one row per series and listed day.
 
-    The daily table crosses the network once: it is partitioned by store and item for the
-    prices, and the windows ask for store, item and id, which that partitioning serves. Until
+    The daily table crosses the network once: prices and windows both need it by series. Until
     then a row carries only its identity, units and week; the other calendar columns come
     last. Windows run over the full day grid before the pre-release rows go, so k rows are
     k days.
     """
     weeks = attach_calendar(sales, calendar, attrs=["wm_yr_wk"], snap=False)
-    priced = attach_prices(weeks, prices)
-    full = with_history(priced, settings.lags, settings.windows, ["store_id", "item_id", "id"])
+    priced = attach_prices(weeks, prices, series=sales)
+    full = with_history(priced, settings.lags, settings.windows)
     kept = listed_only(full) if settings.drop_pre_release else full
     out = attach_calendar(kept, calendar, attrs=[c for c in CALENDAR_ATTRS if c != "wm_yr_wk"])
     front = [*ID_COLS, "d", *CALENDAR_ATTRS, "snap", "sales", "sell_price", "price_pct_change", "price_rel_dept"]

@@ -36,8 +36,16 @@ def operational_summary(archive: DataFrame) -> DataFrame:
 
 
 def with_actuals(archive: DataFrame, features: DataFrame) -> DataFrame:
-    """Archived forecasts whose target day has been observed."""
-    actuals = features.select("id", F.col("d").alias("target_day"), F.col("sales").alias("actual"))
+    """Archived forecasts whose target day has been observed.
+
+    The feature scan is cut to the batch's target days first, so that only those days are
+    shuffled and not the whole history.
+    """
+    first = archive.agg(F.min("target_day")).scalar()
+    last = archive.agg(F.max("target_day")).scalar()
+    actuals = features.where((F.col("d") >= first) & (F.col("d") <= last)).select(
+        "id", F.col("d").alias("target_day"), F.col("sales").alias("actual")
+    )
     return archive.join(actuals, ["id", "target_day"])
 
 

@@ -38,19 +38,32 @@ def _fan_out(df: DataFrame) -> DataFrame:
     ).drop("_part")
 
 
-def rolled_up(df: DataFrame, day: str, sums: list[str], one_row_per_day: bool = False) -> DataFrame:
-    """Sums per (level, key, day) over all six levels.
+def _upper_sums(df: DataFrame, day: str, sums: list[str]) -> DataFrame:
+    """Sums per (level, key, day) of the levels above the series.
 
-    The series level is one aggregate by series and day, or no aggregate at all where the
-    input has one row per series and day. The upper levels start from one aggregate by store,
-    category and department, so the fan-out touches that small result and not the series rows.
-    Both combine before their shuffle.
+    One aggregate by store, category and department comes first, so the fan-out over levels
+    touches that small result and not the series rows. Both combine before their shuffle.
     """
     totals = [F.sum(c).alias(c) for c in sums]
-    series = df if one_row_per_day else df.groupBy("id", day).agg(*totals)
-    bottom = series.select(F.lit("item_store").alias("level"), F.col("id").alias("key"), day, *sums)
-    upper = _fan_out(df.groupBy(*_UPPER, day).agg(*totals)).groupBy("level", "key", day).agg(*totals)
-    return bottom.unionByName(upper)
+    return _fan_out(df.groupBy(*_UPPER, day).agg(*totals)).groupBy("level", "key", day).agg(*totals)
+
+
+def _series_level(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("id", "key").withColumn("level", F.lit("item_store"))
+
+
+def level_scales(history: DataFrame, season: int = 7) -> DataFrame:
+    """Naive scales of every group. A series has one row per day, so the series level needs
+    no aggregate and reads a table bucketed by series without an exchange."""
+    upper = M.naive_scales(_upper_sums(history, "d", ["sales"]), ["level", "key"], season)
+    return upper.unionByName(_series_level(M.naive_scales(history, ["id"], season)))
+
+
+def rolled_up(preds: DataFrame) -> DataFrame:
+    """Actual and median summed per (level, key, target day), over all folds."""
+    sums = ["actual", MEDIAN]
+    series = preds.groupBy("id", "target_day").agg(*[F.sum(c).alias(c) for c in sums])
+    return _upper_sums(preds, "target_day", sums).unionByName(_series_level(series))
 
 
 def group_weights(preds: DataFrame, weights: DataFrame) -> DataFrame:
@@ -75,8 +88,8 @@ def by_level(preds: DataFrame, history: DataFrame) -> DataFrame:
     history and then averaged by dollar weight; a group without a scale drops out.
     """
     keys = ["level", "key"]
-    scales = M.naive_scales(rolled_up(history, "d", ["sales"], one_row_per_day=True), keys)
-    scored = rolled_up(preds.withColumn("actual", F.col("actual").cast("double")), "target_day", ["actual", MEDIAN])
+    scales = level_scales(history)
+    scored = rolled_up(preds.withColumn("actual", F.col("actual").cast("double")))
     err = F.abs(F.col("actual") - F.col(MEDIAN))
     errors = scored.groupBy(*keys).agg(
         F.sum(err).alias("abs_err"),

@@ -375,17 +375,17 @@ def panel_of(m: SalesMart, preds: DataFrame) -> dict[str, DataFrame]:
 
 @query
 def by_level(m):
-    return panel_of(m, m.prior_backtest)["by_level"]
+    return panel.by_level(m.prior_backtest, panel.history_before(m.features, min(m.folds)))
 
 
 @query
 def by_horizon(m):
-    return panel_of(m, m.prior_backtest)["by_horizon"]
+    return panel.by_horizon(m.prior_backtest)
 
 
 @query
 def calibration(m):
-    return panel_of(m, m.prior_backtest)["calibration"]
+    return panel.calibration(m.prior_backtest)
 
 
 @query

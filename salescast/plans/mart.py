@@ -11,7 +11,7 @@ from salescast.operators.features import build_features
 from salescast.plans.backtest import backtest
 from salescast.operators.forecast import prior_forecaster, seasonal_naive_forecaster
 from salescast.schema import Settings
-from salescast.session import inputs_fingerprint, staged, written_once
+from salescast.session import inputs_fingerprint, staged, staged_by_key, written_once
 from salescast.sources import starschema
 
 
@@ -56,7 +56,8 @@ class SalesMart:
 
     @cached_property
     def features(self) -> DataFrame:
-        return self._stage("features", lambda: self.build_features().sortWithinPartitions("id", "d"))
+        """The feature table bucketed by series; its rows leave the feature windows that way."""
+        return staged_by_key(self.spark, self._key("features"), self.build_features, "id", "d")
 
     @cached_property
     def last(self) -> int:

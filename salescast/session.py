@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from hashlib import md5
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,3 +73,26 @@ def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> Dat
     """
     path = written_once(spark, key, lambda p: build().write.mode("overwrite").parquet(p))
     return spark.read.parquet(path)
+
+
+def staged_by_key(spark: SparkSession, key: str, build: Callable[[], DataFrame], by: str, sort: str) -> DataFrame:
+    """As :func:`staged`, bucketed by ``by``: later joins, aggregates and windows on that key
+    read it without an exchange.
+
+    One bucket per shuffle partition, the same hash: a frame that is already partitioned by
+    the key is written as it lies, one file per bucket. The table is registered in the
+    session's own catalog; with an external metastore plain Parquet is written instead.
+    """
+    if spark.conf.get("spark.sql.catalogImplementation") != "in-memory":
+        return staged(spark, key, build)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = "salescast_" + md5(key.encode()).hexdigest()
+
+    def write(path: str) -> None:
+        (
+            build().write.format("parquet").mode("overwrite").option("path", path)
+            .bucketBy(buckets, by).sortBy(by, sort).saveAsTable(name)
+        )
+
+    written_once(spark, key, write)
+    return spark.table(name)

@@ -67,8 +67,7 @@ def convert_csv(
 def write_features(features: DataFrame, path: str) -> None:
     """Write the feature table clustered by series, so that id and day filters skip row groups.
 
-    The rows arrive partitioned by store and item from the feature windows; only a local sort
-    is added.
+    The rows arrive partitioned by series from the feature windows; only a local sort is added.
     """
     features.sortWithinPartitions("id", "d").write.mode("overwrite").parquet(path)
 

@@ -102,11 +102,31 @@ def test_no_leak_from_the_day_itself_or_later(wide, calendar, prices):
     assert moved and all(k[0] == target and k[1] > day for k in moved)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_feature_plan_moves_the_daily_rows_once(wide, calendar, prices, tmp_path, spark):
     for name, df in [("s", R.to_long(wide)), ("c", calendar), ("p", prices)]:
         df.write.parquet(f"{tmp_path}/{name}")
     sales, cal, pr = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("s", "c", "p"))
-    plan = FE.build_features(sales, cal, pr, SMALL)._jdf.queryExecution().executedPlan().toString()
-    wide_moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_salt" not in line]
-    assert not any("hashpartitioning(id" in line for line in wide_moves)
-    assert not any("wm_yr_wk" in line and "_dept" not in line for line in wide_moves)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+    try:
+        lines = plan_of(FE.build_features(sales, cal, pr, SMALL)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_series = [x for x in lines if "Exchange hashpartitioning(id" in x and "store_id" not in x]
+    # one for the daily rows and one for the weekly price maps
+    assert len(by_series) <= 2
+    assert sum("Sort [id" in x and ", d#" in x for x in lines) == 1
+
+
+def test_a_table_bucketed_by_series_is_read_without_an_exchange(spark, feature_rows):
+    from salescast.functions.metrics import naive_scales
+    from salescast.operators.direct import direct_table
+    from salescast.session import staged_by_key
+
+    table = staged_by_key(spark, "bucket-test", lambda: feature_rows, "id", "d")
+    assert sorted(table.collect()) == sorted(feature_rows.collect())
+    assert "Exchange" not in plan_of(naive_scales(table, ["id"]))
+    assert "Exchange hashpartitioning" not in plan_of(direct_table(table, [40, 54], 5))
