@@ -133,13 +133,14 @@ def stepped(column: str, leaf: Column, values: dict[int, float], rate: float) ->
 
 class QuantileBoostModel:
     def __init__(self, quantiles, params: BoostParams, encoder: Encoder, start: dict[float, float],
-                 rounds: list[dict[float, Stage]], losses: list[dict[float, float]]):
+                 rounds: list[dict[float, Stage]], losses: list[dict[float, float]], train_rows: int = 0):
         self.quantiles = sorted(quantiles)
         self.params = params
         self.encoder = encoder
         self.start = start
         self.rounds = rounds
         self.losses = losses
+        self.train_rows = train_rows
 
     def __call__(self, rows: DataFrame) -> DataFrame:
         """Rows with non-negative, ordered quantile columns."""
@@ -162,6 +163,7 @@ class QuantileBoostModel:
             "means": list(self.encoder.means),
             "rounds": len(self.rounds),
             "indexed": self.encoder.indexer is not None,
+            "train_rows": self.train_rows,
             "losses": [[loss[q] for q in self.quantiles] for loss in self.losses],
         }
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
@@ -200,6 +202,7 @@ class QuantileBoostModel:
         return cls(
             qs, BoostParams(**meta["params"]), Encoder(indexer, means, meta["default"]),
             dict(zip(qs, meta["start"])), rounds, [dict(zip(qs, loss)) for loss in meta["losses"]],
+            meta["train_rows"],
         )
 
 
@@ -208,13 +211,14 @@ def fit_quantile_boost(table: DataFrame, quantiles, params: BoostParams = BoostP
     qs = sorted(quantiles)
     needed = ["id", "target_day", "sales", *MODEL_COLS]
     table = table.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
-    encoder = Encoder.fit(table, params.max_categories)
-    start_row = table.agg(
-        F.percentile(F.col("sales").cast("double"), F.array(*[F.lit(float(q)) for q in qs]))
-    ).first()[0]
-    if start_row is None:
+    begin = table.agg(
+        F.percentile(F.col("sales").cast("double"), F.array(*[F.lit(float(q)) for q in qs])).alias("q"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    if not begin["n"]:
         raise ValueError("the training table has no rows")
-    start = dict(zip(qs, start_row))
+    start = dict(zip(qs, begin["q"]))
+    encoder = Encoder.fit(table, params.max_categories)
     frame = encoder.transform(table).select(
         F.col("sales").cast("double").alias("y"), "features",
         *[F.lit(start[q]).alias(q_name(q)) for q in qs],
@@ -251,7 +255,7 @@ def fit_quantile_boost(table: DataFrame, quantiles, params: BoostParams = BoostP
     losses.append(_losses(frame, qs))
     for old in [*stale, frame]:
         old.unpersist()
-    return QuantileBoostModel(qs, params, encoder, start, rounds, losses)
+    return QuantileBoostModel(qs, params, encoder, start, rounds, losses, begin["n"])
 
 
 def _leaf_col(q: float) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.functions.joins import salted_join
@@ -119,29 +119,37 @@ def catalogue(
     )
 
 
-def gate_counts(forecasts: DataFrame, quantiles) -> DataFrame:
-    """Rows with a negative quantile and rows whose neighbouring quantiles cross."""
+def gate_columns(quantiles) -> list[Column]:
+    """Row count, rows with a negative quantile, rows whose neighbouring quantiles cross."""
     names = q_names(quantiles)
     negative = F.coalesce(F.least(*[F.col(c) for c in names]) < 0, F.lit(False))
     crossing = F.lit(False)
     for lo, hi in zip(names, names[1:]):
         crossing = crossing | F.coalesce(F.col(hi) - F.col(lo) < -CROSSING_TOLERANCE, F.lit(False))
-    return forecasts.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(negative).alias("n_negative"),
         F.count_if(crossing).alias("n_crossing"),
-    )
+    ]
 
 
-def check_forecasts(forecasts: DataFrame, quantiles) -> None:
-    """Refuse a batch with a negative or crossing forecast."""
-    found = gate_counts(forecasts, quantiles).first()
+def gate_counts(forecasts: DataFrame, quantiles) -> DataFrame:
+    return forecasts.agg(*gate_columns(quantiles))
+
+
+def refuse_bad(found: dict) -> None:
+    """Raise on the counts of a batch with a negative or crossing forecast."""
     if found["n_negative"]:
         raise ValueError(f"forecasts rejected: {found['n_negative']} rows hold a negative quantile")
     if found["n_crossing"]:
         raise ValueError(f"forecasts rejected: quantiles cross in {found['n_crossing']} rows")
 
 
+def check_forecasts(forecasts: DataFrame, quantiles) -> None:
+    """Refuse a batch with a negative or crossing forecast."""
+    refuse_bad(gate_counts(forecasts, quantiles).first().asDict())
+
+
 def reassembled(predictions: DataFrame, meta: DataFrame, quantiles) -> DataFrame:
     """Predictions beside their identity, matched by key because Spark rows have no position."""
     return meta.join(

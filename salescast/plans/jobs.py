@@ -66,6 +66,8 @@ def train(
         "learning_rate": F.lit(params.learning_rate),
         "max_depth": F.lit(params.max_depth),
         "model_path": F.lit(f"{out}/model"),
+        "train_rows": F.lit(model.train_rows),
+        "n_series": F.lit(chosen.select("id").distinct().count()),
     })
     run.write.mode("append").parquet(f"{out}/runs")
     return model

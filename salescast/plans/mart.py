@@ -14,6 +14,8 @@ from salescast.schema import Settings
 from salescast.session import inputs_fingerprint, staged, staged_by_key, written_once
 from salescast.sources import starschema
 
+_last_days: dict[tuple[str, str], int] = {}
+
 
 class SalesMart:
     """Sales, calendar, prices and features of ``sf_dir`` as written tables."""
@@ -59,9 +61,13 @@ class SalesMart:
         """The feature table bucketed by series; its rows leave the feature windows that way."""
         return staged_by_key(self.spark, self._key("features"), self.build_features, "id", "d")
 
-    @cached_property
+    @property
     def last(self) -> int:
-        return last_day(self.features)
+        """Newest day of the features, looked up once per application and inputs."""
+        slot = (self.spark.sparkContext.applicationId, self._key("last"))
+        if slot not in _last_days:
+            _last_days[slot] = last_day(self.features)
+        return _last_days[slot]
 
     @property
     def origin(self) -> int:

@@ -89,6 +89,17 @@ class Settings:
     drift_window: int = 28
     seed: int = 42
 
+    def __post_init__(self) -> None:
+        positive = ["horizon", "n_train_origins", "origin_stride", "n_folds", "fold_stride",
+                    "min_history", "prior_window", "drift_window"]
+        for name in positive:
+            if getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive")
+        if self.max_series < 0:
+            raise ValueError("max_series must be 0 (all) or positive")
+        if not self.quantiles or any(not 0.0 < q < 1.0 for q in self.quantiles):
+            raise ValueError("quantiles must lie inside (0, 1)")
+
     def but(self, **changes: object) -> "Settings":
         return replace(self, **changes)
 

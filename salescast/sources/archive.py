@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.operators.forecast import check_forecasts
+from salescast.operators.forecast import gate_columns, refuse_bad
 from salescast.schema import q_export_name, q_name
+from salescast.session import scratch_path
 
 
 def write_archive(
@@ -14,10 +15,15 @@ def write_archive(
 ) -> None:
     """Check a batch and store it; a batch already stored for that date is replaced.
 
-    Dynamic partition overwrite touches only this run date.
+    The forecasts are computed once, into a scratch table, and counted on the way. Only a good
+    batch moves to the archive. Dynamic partition overwrite touches only this run date.
     """
-    check_forecasts(forecasts, quantiles)
-    batch = forecasts.withColumns({
+    spark = forecasts.sparkSession
+    counted = Observation()
+    draft = scratch_path(spark, "batch")
+    forecasts.observe(counted, *gate_columns(quantiles)).write.parquet(draft)
+    refuse_bad(counted.get)
+    batch = spark.read.parquet(draft).withColumns({
         "run_date": F.lit(run_date),
         "model_name": F.lit(model_name),
         "model_version": F.lit(model_version),

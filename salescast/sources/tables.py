@@ -93,7 +93,6 @@ def register_views(sales: DataFrame, calendar: DataFrame, prices: DataFrame, fea
 
 
 def create_external_tables(spark: SparkSession, root: str, database: str = "default") -> None:
-    """Catalog tables over Parquet folders ``<root>/<table>``."""
+    """Catalog tables over Parquet folders ``<root>/<table>``; existing tables are left alone."""
     for name in ("sales_long", "calendar", "prices", "features"):
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.catalog.createTable(f"{database}.{name}", path=f"{root}/{name}", source="parquet")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{root}/{name}'")

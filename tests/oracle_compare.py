@@ -10,10 +10,10 @@ TABLES = [
 ]
 
 
-def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def connect(sf_dir: str, pattern: str = "") -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet{pattern}')")
     return con
 
 

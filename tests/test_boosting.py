@@ -61,6 +61,7 @@ def test_train_writes_panel_model_and_run(spark, rows, tmp_path):
     jobs.train(spark, rows, settings, params, f"{tmp_path}/run")
     run = spark.read.parquet(f"{tmp_path}/run/runs").first()
     assert run["wape_item_store"] is not None and run["rounds"] == 1
+    assert run["n_series"] == 3 and run["train_rows"] == 3 * 2 * 5
     assert spark.read.option("header", True).csv(f"{tmp_path}/run/evaluation/panel/by_level").count() == 6
     assert QuantileBoostModel.load(spark, f"{tmp_path}/run/model").quantiles == list(settings.quantiles)
 

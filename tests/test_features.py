@@ -10,6 +10,12 @@ from salescast.schema import Settings
 SMALL = Settings(lags=(2,), windows=(3,))
 
 
+def test_settings_are_checked():
+    for bad in ({"horizon": 0}, {"quantiles": (0.5, 1.0)}, {"max_series": -1}, {"n_folds": 0}):
+        with pytest.raises(ValueError):
+            Settings(**bad)
+
+
 def rows_of(df, *order):
     return [r.asDict() for r in df.orderBy(*order).collect()]
 

@@ -4,7 +4,8 @@ import os
 
 import pytest
 from conftest import TESTDATA
-from oracle_compare import connect, difference
+from oracle_compare import TABLES, connect, difference
+from pyspark.sql import functions as F
 
 from salescast.plans.catalog import QUERIES
 from salescast.plans.oracle import ORACLE
@@ -25,3 +26,26 @@ def test_only_iterative_fits_lack_sql():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, TESTDATA), con, ORACLE[name]) is None
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """The same tables with a third of the fact rows on one part and one supplier."""
+    root = str(tmp_path_factory.mktemp("skewed"))
+    for name in TABLES:
+        df = spark.read.parquet(f"{TESTDATA}/{name}.parquet")
+        if name == "lineitem":
+            hot = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == 0
+            df = df.withColumns({
+                c: F.when(hot, F.lit(1).cast("long")).otherwise(F.col(c)) for c in ("l_partkey", "l_suppkey")
+            })
+        df.write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+@pytest.mark.parametrize(
+    "name", ["features", "hierarchy_priors", "backtest_prior", "by_level", "feature_drift", "eda_price_change", "series_json"]
+)
+def test_query_equals_sql_with_a_hot_series(spark, skewed, name):
+    con = connect(skewed, pattern="/*.parquet")
+    assert difference(QUERIES[name](spark, skewed), con, ORACLE[name]) is None

@@ -97,6 +97,19 @@ def test_views_answer_sql(spark, wide, calendar, prices, feature_rows):
     assert spark.sql("SELECT count(*) n FROM features").first()["n"] == 240
 
 
+def test_catalog_tables_over_folders(spark, wide, calendar, prices, feature_rows, tmp_path):
+    named = {"sales_long": R.to_long(wide), "calendar": calendar, "prices": prices, "features": feature_rows}
+    for name, df in named.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        spark.catalog.dropTempView(name)
+    T.create_external_tables(spark, str(tmp_path))
+    got = spark.sql("SELECT state_id, sum(sales) AS units FROM default.sales_long GROUP BY state_id ORDER BY units DESC")
+    assert [r["state_id"] for r in got.collect()] == ["CA", "TX"]
+    for name in named:
+        spark.sql(f"DROP TABLE default.{name}")  # external: the files stay
+    assert spark.read.parquet(f"{tmp_path}/features").count() == 240
+
+
 def forecasts(spark, value):
     rows = [(*IDS[0], 75, h, 75 + h, value, value, value) for h in (1, 2)]
     return spark.createDataFrame(
