@@ -102,12 +102,16 @@ def _interpolated(p: Column) -> Column:
 def unit_quantiles(df: DataFrame, keys: list[str], quantiles, value: str = "sales") -> DataFrame:
     """Exact quantile columns of integer units per group.
 
-    ``percentile`` keeps one counter per distinct value and merges counters before the
-    shuffle, so its state is bounded by the largest daily unit count, not by the group.
+    Rows are first counted per group and unit value, combined before the shuffle. The
+    ``percentile`` aggregate then sees one weighted row per distinct value, so its state is
+    bounded by the largest daily unit count, not by the group.
     """
     qs = sorted(quantiles)
-    picked = df.groupBy(*keys).agg(
-        F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(q)) for q in qs])).alias("_q")
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    picked = counted.groupBy(*keys).agg(
+        F.percentile(
+            F.col(value).cast("double"), F.array(*[F.lit(float(q)) for q in qs]), F.col("_c")
+        ).alias("_q")
     )
     return picked.select(
         *keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(q_names(qs))]

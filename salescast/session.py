@@ -24,6 +24,8 @@ def scratch_base(spark: SparkSession) -> str:
     if app not in _own_base:
         base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="spark-")
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(base)
