@@ -76,24 +76,36 @@ def price_features(prices: DataFrame) -> DataFrame:
     )
 
 
-def attach_prices(daily: DataFrame, prices: DataFrame, series: DataFrame | None = None) -> DataFrame:
-    """Daily rows with their week's price features; NULL before the first listed week.
+PRICE_FEATURES = ["sell_price", "price_pct_change", "price_rel_dept"]
 
-    The weeks of one item in one store fold into a map (bounded by the weeks on record) that
-    joins on the series id, so the daily table is exchanged once, by series, and not by week.
-    The window step that follows and a table bucketed by series reuse that partitioning.
-    ``series`` holds the (id, store_id, item_id) rows; by default they come from ``daily``.
+
+def series_prices(sales: DataFrame, prices: DataFrame) -> DataFrame:
+    """One row per series: its identity and a map from week to price features.
+
+    The map is bounded by the weeks on record.
     """
     keys = ["store_id", "item_id"]
-    cols = ["sell_price", "price_pct_change", "price_rel_dept"]
     per_item = price_features(prices).groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("wm_yr_wk", F.struct(*cols)))).alias("_weeks")
+        F.map_from_entries(F.collect_list(F.struct("wm_yr_wk", F.struct(*PRICE_FEATURES)))).alias("_weeks")
     )
-    known = (daily if series is None else series).select("id", *keys).distinct()
-    per_series = known.join(per_item, keys).select("id", "_weeks")
+    return sales.select(*ID_COLS).distinct().join(per_item, keys, "left")
+
+
+def week_prices() -> list:
+    """The price features of the row's week; NULL before the first listed week."""
     week = F.try_element_at("_weeks", F.col("wm_yr_wk"))
+    return [week[c].alias(c) for c in PRICE_FEATURES]
+
+
+def attach_prices(daily: DataFrame, prices: DataFrame) -> DataFrame:
+    """Daily rows (with identity and week) and their week's price features.
+
+    The weeks of a series join as one row on the series id, so the daily table is exchanged by
+    series and not by week.
+    """
+    per_series = series_prices(daily, prices).select("id", "_weeks")
     return daily.join(per_series, "id", "left").select(
-        *[daily[c] for c in daily.columns], *[week[c].alias(c) for c in cols]
+        *[daily[c] for c in daily.columns], *week_prices()
     )
 
 
@@ -148,15 +160,15 @@ def build_features(
 ) -> DataFrame:
     """The feature table, one row per series and listed day.
 
-    The daily table crosses the network once: prices and windows both need it by series. Until
-    then a row carries only its identity, units and week; the other calendar columns come
-    last. Windows run over the full day grid before the pre-release rows go, so k rows are
-    k days.
+    The daily table crosses the network and is sorted once, by series and day, as (id, d,
+    units) only: the windows come first, and identity and prices then join on the series in
+    the order the windows left. Windows run over the full day grid before the pre-release rows
+    go, so k rows are k days.
     """
-    weeks = attach_calendar(sales, calendar, attrs=["wm_yr_wk"], snap=False)
-    priced = attach_prices(weeks, prices, series=sales)
-    full = with_history(priced, settings.lags, settings.windows)
-    kept = listed_only(full) if settings.drop_pre_release else full
-    out = attach_calendar(kept, calendar, attrs=[c for c in CALENDAR_ATTRS if c != "wm_yr_wk"])
+    history = with_history(sales.select("id", "d", "sales"), settings.lags, settings.windows)
+    known = history.join(series_prices(sales, prices), "id", "left")
+    dated = attach_calendar(known, calendar)
+    full = dated.select(*[c for c in dated.columns if c != "_weeks"], *week_prices())
+    out = listed_only(full) if settings.drop_pre_release else full
     front = [*ID_COLS, "d", *CALENDAR_ATTRS, "snap", "sales", "sell_price", "price_pct_change", "price_rel_dept"]
     return out.select(*front, *[c for c in out.columns if c not in front])
