@@ -5,10 +5,10 @@
    most ``WORD_BUCKETS + END_BUCKETS`` rows.
 2. One pass over the texts gives every document its tokens (words) and domain posteriors.
 3. Projected-gradient least squares finds document rates r >= 0 whose expected tokens of domain k,
-   sum(tokens * p_k * r), meet the targets. The step is taken in the metric that weighs a document by
-   its tokens, whitened over domains, so the step length is 1 and a document's rate depends on its
-   posteriors alone. Each step is one aggregate of as many numbers as there are domains; the driver
-   holds those and nothing that grows with the documents.
+   sum(tokens * p_k * r), meet the targets. Steps are summed before the projection (lazy projection)
+   and taken in the metric that weighs a document by its tokens, whitened over domains, so a
+   document's rate depends on its posteriors alone. Each step is one aggregate of (domains + 1) *
+   domains numbers; the driver holds those and nothing that grows with the documents.
 
 Defined results: a null or empty text has 0 tokens, the prior as posteriors and takes part like any
 other; repeated rows get the same rate each; an id with several labels takes the first domain in
@@ -28,9 +28,9 @@ from salescast.llm.common import DOC_COLS, pick, stage, table
 
 #: Labelled documents a domain that the classifier is fitted on, at most.
 SAMPLE = 1500
-WORD_BUCKETS, END_BUCKETS = 1 << 13, 1 << 9
+WORD_BUCKETS, END_BUCKETS = 1 << 16, 1 << 9
 #: A bucket is kept if its log odds differ by ``LIFT`` and by ``SIGMA`` standard errors.
-LIFT, SIGMA = 0.7, 6.0
+LIFT, SIGMA = 1.2, 6.0
 STEPS, TOLERANCE = 60, 1e-4
 #: Share of all tokens that each domain should have.
 TARGETS = {"clean": 0.90, "low": 0.07, "toxic": 0.03}
@@ -115,42 +115,51 @@ def memberships(docs: DataFrame, labelled: DataFrame, names: list[str]) -> DataF
         F.transform("odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda s, y: s + y)).alias("p"))
 
 
-def rate_expression(steps: list[np.ndarray], p: str = "p") -> Column:
-    """The rate as a function of the posteriors: the projected steps one after the other."""
-    rate = F.lit(1.0)
-    for step in steps:
-        rate = F.greatest(F.lit(0.0), rate - sum((F.col(p)[k] * float(v) for k, v in enumerate(step)), F.lit(0.0)))
-    return rate
+def rate_expression(pull: np.ndarray, p: str = "p") -> Column:
+    """The rate as a function of the posteriors: 1 less the summed gradient steps, projected to r >= 0."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(p)[k] * float(v) for k, v in enumerate(pull)), F.lit(0.0)))
 
 
-def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], anchor: str | None = None):
-    """Steps of the projected gradient. Targets are shares of all tokens, or, with ``anchor``, are
-    scaled so that the anchor domain's target is what it has."""
+def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], anchor: str | None = None) -> np.ndarray:
+    """Summed steps of the projected gradient (lazy projection). Targets are shares of all tokens, or,
+    with ``anchor``, are scaled so that the anchor domain's target is what it has.
+
+    A step that does not lower the distance to the targets is halved and tried again.
+    """
     k = len(names)
     weight = F.col("tokens") * F.col("copies")
     p = [F.col("p")[i] for i in range(k)]
-    have = members.agg(
-        *[F.coalesce(F.sum(weight * p[i]), F.lit(0.0)).alias(f"m{i}") for i in range(k)],
-        *[F.coalesce(F.sum(weight * p[i] * p[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]).first()
-    mass = np.array(have[:k], float)
-    gram = np.array(have[k:], float).reshape(k, k)
-    if not mass.sum():
-        return []
+
+    def look(pull):
+        """Tokens by domain at these rates, and how they answer to a step among the rates above 0."""
+        rated = members.select(rate_expression(pull).alias("r"), "tokens", "copies", "p")
+        on = F.when(F.col("r") > 0, weight).otherwise(0)
+        zero = F.lit(0.0)
+        got = rated.agg(
+            *[F.coalesce(F.sum(weight * p[i] * F.col("r")), zero) for i in range(k)],
+            *[F.coalesce(F.sum(on * p[i] * p[j]), zero) for i in range(k) for j in range(k)]).first()
+        return np.array(got[:k], float), np.array(got[k:], float).reshape(k, k)
+
+    pull = np.zeros(k)
+    now, gram = look(pull)
+    if not now.sum():
+        return pull
     share = np.array([targets[n] for n in names], float)
     share /= share.sum()
-    total = mass.sum() if anchor is None else mass[names.index(anchor)] / share[names.index(anchor)]
-    goal = share * total
-    white = np.linalg.pinv(gram + np.eye(k) * 1e-9 * np.trace(gram))
-    steps: list[np.ndarray] = []
-    now = mass
+    goal = share * (now.sum() if anchor is None else now[names.index(anchor)] / share[names.index(anchor)])
+    size = 1.0
     for _ in range(STEPS):
-        if np.abs(now - goal).sum() <= TOLERANCE * goal.sum():
+        gap = np.abs(now - goal).sum()
+        if gap <= TOLERANCE * goal.sum() or size < 1e-6:
             break
-        steps.append(white @ (now - goal))
-        rate = rate_expression(steps)
-        now = np.array(members.select(rate.alias("r"), "tokens", "copies", "p").agg(
-            *[F.sum(weight * p[i] * F.col("r")) for i in range(k)]).first(), float)
-    return steps
+        white = np.linalg.pinv(gram + np.eye(k) * 1e-6 * np.trace(gram) / k)
+        tried = pull + size * (white @ (now - goal))
+        then, gram_then = look(tried)
+        if np.abs(then - goal).sum() < gap:
+            pull, now, gram, size = tried, then, gram_then, min(1.0, size * 2)
+        else:
+            size /= 2
+    return pull
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, anchor: str | None = None) -> DataFrame:
