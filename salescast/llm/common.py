@@ -137,7 +137,7 @@ def shingle_hashes(doc: np.ndarray, words: np.ndarray, k: int):
     if n <= 0:
         return doc[:0], words[:0], doc[:0]
     at = np.flatnonzero(doc[:n] == doc[k - 1 :])
-    h = np.full(len(at), np.uint64(k) * np.uint64(0x9E3779B97F4A7C15), np.uint64)
+    h = np.full(len(at), k * 0x9E3779B97F4A7C15 % (1 << 64), np.uint64)
     for i in range(k):
         h += words[at + i] * _STEP[i]
     return doc[at], mix(h), at
