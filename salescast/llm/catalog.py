@@ -2,6 +2,7 @@
 
 from salescast.llm import ngram_join
 from salescast.llm.decontamination import op5_decontamination
+from salescast.llm.embedding_dedup import op1_embedding_dedup
 from salescast.llm.language import op8_language_id
 from salescast.llm.mixing import op7_mixing
 from salescast.llm.ngram_join import op6_ngram_join
@@ -11,5 +12,5 @@ from salescast.llm.sharding import op10_sharding
 from salescast.llm.token_counts import op9_token_counts
 
 QUERIES = {f.__name__: f for f in (
-    op2_secrets, op4_quality_classifier, op5_decontamination, op6_ngram_join, op7_mixing, op8_language_id, op9_token_counts, op10_sharding)}
+    op1_embedding_dedup, op2_secrets, op4_quality_classifier, op5_decontamination, op6_ngram_join, op7_mixing, op8_language_id, op9_token_counts, op10_sharding)}
 ORACLE: dict[str, str] = {"op6_ngram_join": ngram_join.ORACLE}
