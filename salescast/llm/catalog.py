@@ -9,8 +9,10 @@ from salescast.llm.ngram_join import op6_ngram_join
 from salescast.llm.quality import op4_quality_classifier
 from salescast.llm.secrets import op2_secrets
 from salescast.llm.sharding import op10_sharding
+from salescast.llm.suffix_dedup import op3_suffix_dedup
 from salescast.llm.token_counts import op9_token_counts
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_dedup, op2_secrets, op4_quality_classifier, op5_decontamination, op6_ngram_join, op7_mixing, op8_language_id, op9_token_counts, op10_sharding)}
+    op1_embedding_dedup, op2_secrets, op3_suffix_dedup, op4_quality_classifier, op5_decontamination, op6_ngram_join,
+    op7_mixing, op8_language_id, op9_token_counts, op10_sharding)}
 ORACLE: dict[str, str] = {"op6_ngram_join": ngram_join.ORACLE}
