@@ -41,6 +41,8 @@ WORDS = 5
 SLOTS = 1 << 18
 SLOT_BLOCK = 1 << 10
 HOT = 1 << 16
+#: Bits of the filter of wanted signatures.
+BLOOM = 1 << 23
 #: Prefix entries that one task gathers.
 TASK_ENTRIES = 1_000_000
 
@@ -106,7 +108,10 @@ def slot_counts(profile: DataFrame) -> np.ndarray:
 
 
 def _prefixes(shared):
-    """Entries (shingle, sig, n, pos, hot) of the prefixes of each set, once a task for equal sets."""
+    """Entries (shingle, sig, at) of the prefixes of each set, once a task for equal sets.
+
+    ``at`` is n * 2**31 + pos, and -1 less that for a hot shingle, so that entries stay short.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = shared.value
@@ -124,9 +129,10 @@ def _prefixes(shared):
                         new[i] = True
                 keep = (pos < (n - need(n) + 1)[d]) & new[d]
                 at = order[keep]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(h[at].view(np.int64)), pa.array(sig[d[keep]]), pa.array(n[d[keep]], pa.int32()),
-                    pa.array(pos[keep], pa.int32()), pa.array(count[at] > HOT)], ["shingle", "sig", "n", "pos", "hot"])
+                packed = (n[d[keep]] << 31) + pos[keep]
+                packed = np.where(count[at] > HOT, -1 - packed, packed)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[at].view(np.int64)), pa.array(sig[d[keep]]), pa.array(packed)], ["shingle", "sig", "at"])
 
     return run
 
@@ -137,16 +143,19 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not got:
         return
     t = pa.Table.from_batches(got)
-    sh, sig, hot = (t[c].to_numpy() for c in ("shingle", "sig", "hot"))
+    sh, sig, at = (t[c].to_numpy() for c in ("shingle", "sig", "at"))
     order = np.lexsort((sig, sh))
-    sh, sig, hot = sh[order], sig[order], hot[order]
+    sh, sig, at = sh[order], sig[order], at[order]
+    hot, at = at < 0, np.where(at < 0, -1 - at, at)
     first = np.ones(len(sh), bool)
     first[1:] = sh[1:] != sh[:-1]
     new = first.copy()
     new[1:] |= sig[1:] != sig[:-1]
     sets = np.add.reduceat(new, np.flatnonzero(first))[np.cumsum(first) - 1]
-    out = t.take(pa.array(order[new & ((sets > 1) | hot)])).select(["shingle", "sig", "n", "pos"])
-    yield from out.to_batches(max_chunksize=50_000)
+    keep = new & ((sets > 1) | hot)
+    yield from pa.Table.from_arrays([
+        pa.array(sh[keep]), pa.array(sig[keep]), pa.array(at[keep] >> 31, pa.int32()),
+        pa.array(at[keep] & (2**31 - 1), pa.int32())], names=["shingle", "sig", "n", "pos"]).to_batches(50_000)
 
 
 @pandas_udf(BooleanType())
@@ -164,14 +173,36 @@ def verified(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="bool")
 
 
-def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        asked = batch.column(2).to_numpy(zero_copy_only=False)
-        for row, _, h, n, sig in _sets(batch.column(1)):
-            end = np.cumsum(n)
-            own = np.flatnonzero(sig == asked[row : row + len(n)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[own]), pa.array([h[end[i] - n[i] : end[i]].tobytes() for i in own], pa.binary())], ["sig", "hashes"])
+def bloom(wanted: DataFrame) -> np.ndarray:
+    """``BLOOM`` bits, set where a wanted signature falls: a filter of fixed size that loses none."""
+    spots = wanted.select(F.pmod("sig", F.lit(BLOOM)).cast("int").alias("spot"))
+    words = spots.selectExpr("spot div 32 AS word", "shiftleft(1L, spot % 32) AS bit")
+    out = np.zeros(BLOOM // 32, np.uint32)
+    for r in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
+        out[r.word] = r.bits
+    return out
+
+
+def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sig, hashes) of the sets whose signature may be wanted, each once; texts are not shuffled."""
+    spark = rows.sparkSession
+    spots = spark.sparkContext.broadcast(bloom(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for _, _, h, n, sig in _sets(batch.column(1)):
+                spot = sig % BLOOM
+                hit = (spots.value[spot // 32] >> (spot % 32).astype(np.uint32)) & 1
+                end, own = np.cumsum(n), []
+                for i in np.flatnonzero((hit > 0) & (n > 0)).tolist():
+                    if int(sig[i]) not in seen:
+                        seen.add(int(sig[i]))
+                        own.append(i)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sig[own]), pa.array([h[end[i] - n[i] : end[i]].tobytes() for i in own], pa.binary())], ["sig", "hashes"])
+
+    return rows.mapInArrow(run, "sig long, hashes binary").groupBy("sig").agg(F.first("hashes").alias("hashes"))
 
 
 def _close(a: str, b: str):
@@ -191,22 +222,21 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries = members.agg(F.sum(F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1)).first()[0] or 0
     shared = spark.sparkContext.broadcast(slot_counts(profile))
     parts = partitions_for(spark, entries, TASK_ENTRIES)
-    prefix = rows.mapInArrow(_prefixes(shared), "shingle long, sig long, n int, pos int, hot boolean")
-    spread = F.when(F.col("hot"), F.xxhash64("shingle", "sig")).otherwise(F.col("shingle"))
+    prefix = rows.mapInArrow(_prefixes(shared), "shingle long, sig long, at long")
+    spread = F.when(F.col("at") < 0, F.xxhash64("shingle", "sig")).otherwise(F.col("shingle"))
     lists = stage(prefix.repartition(parts, spread).mapInArrow(_shared, "shingle long, sig long, n int, pos int"), "ngram-lists")
-    wanted = lists.select("sig").distinct().join(
-        members.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "sig")
-    whole = stage(
-        rows.join(wanted, "doc_id").select("doc_id", "text", "sig")
-        .mapInArrow(_whole_sets, "sig long, hashes binary"), "ngram-sets")
 
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs.distinct(), "ngram-pairs")
+        if pairs.isEmpty():
+            return pairs
+        whole = whole_sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("sig")))
         left, right = whole.toDF("a", "x"), whole.toDF("b", "y")
-        return stage(pairs.distinct().join(left, "a").join(right, "b").where(verified("x", "y")).select("a", "b"), name)
+        return stage(pairs.join(left, "a").join(right, "b").where(verified("x", "y")).select("a", "b"), "ngram-links")
 
     anchors = lists.groupBy("shingle").agg(F.min(F.struct("sig", "n", "pos")).alias("t")).select("shingle", "t.*")
     star = lists.alias("l").join(anchors.alias("r"), "shingle").where(F.col("l.sig") != F.col("r.sig")).where(_close("l", "r"))
-    edges = verify(star.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")), "ngram-links")
+    edges = verify(star.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")))
     now = components(edges, "ngram").withColumnRenamed("node", "sig")
     lists = lists.join(now, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     lists = stage(lists, "ngram-lists")
@@ -214,7 +244,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lists = lists.join(open_lists.where("lo <> hi").select("shingle"), "shingle")
     cross = lists.alias("l").join(lists.alias("r"), "shingle").where(
         F.col("l.component") < F.col("r.component")).where(_close("l", "r"))
-    more = verify(cross.select(F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b")), "ngram-links")
+    more = verify(cross.select(F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b")))
     return members, edges.union(more)
 
 
