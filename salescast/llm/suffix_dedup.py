@@ -5,8 +5,8 @@ their 20-byte strings (the anchor) and stand next to each other are one cell: eq
 anchors, so they can only meet in cells of the same anchor, and only those are brought together.
 
 1. Anchors are dealt by hash; those that occur in one document only are let go, without any text.
-2. Cells of the remaining anchors are cut out of the texts. A task hands on one cell of equal content,
-   of the smallest doc_id; equal cells of larger ones are covered already.
+2. Cells of the remaining anchors are cut out of the texts. A run of texts hands on one cell of equal
+   content, of the smallest doc_id; equal cells of larger ones are covered already.
 3. Where an anchor has cells of different content, they are cut into shards. Each shard's transform is
    built from its own suffixes; the transforms are merged by iterative interleave refinement: every
    round deals the interleave by the symbol in front, so after t rounds suffixes are ordered by t
@@ -15,8 +15,8 @@ anchors, so they can only meet in cells of the same anchor, and only those are b
    its interval holds a smaller doc_id.
 4. Covered byte ranges are joined back to the texts and cut out.
 
-An anchor with more than ``HOT`` cells is not gathered: its windows are dealt one by one by a 128-bit
-hash and compared through an aggregate.
+An anchor of more than ``HOT`` documents is not gathered: each of its windows becomes a cell of its own,
+dealt by a hash of its 50 bytes, so that only equal windows meet, once a run of texts.
 
 Defined results: a null text counts as empty (0 bytes, the hash of nothing); texts under 50 bytes lose
 nothing; repeated rows (equal doc_id) do not cover each other and get the same result each; rows with a
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +42,10 @@ LENGTH, ANCHOR = 50, 20
 CELL = 256
 #: (anchor, document) rows and cells that one task gathers.
 TASK_ANCHORS, TASK_CELLS = 1_000_000, 100_000
-HOT = 200_000
+HOT = 50_000
 #: Symbols of one merge, shards it is made of.
 MERGE_SYMBOLS, SHARDS = 500_000, 4
-CELLS = "h long, e long, doc_id long, rid long, start int, windows int, content binary, covered boolean"
+CELLS = "h long, e long, doc_id long, rid long, start int, windows int, content binary, ranges binary"
 
 
 def cells_of(data: np.ndarray, offsets: np.ndarray):
@@ -76,84 +77,195 @@ def cells_of(data: np.ndarray, offsets: np.ndarray):
     return doc[start], start, stop - start, least[start], content
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, rid, kind): kind 0 is one document's anchor to be judged, 1 known to be shared, 2 a mark that it is."""
-    for batch in batches:
-        rids = batch.column(0).to_numpy(zero_copy_only=False)
-        for row, data, offsets in slices(batch.column(1)):
-            doc, _, _, h, _ = cells_of(data, offsets)
-            rid = rids[row + doc]
-            order = np.lexsort((rid, h))
-            h, rid = h[order], rid[order]
-            first = np.ones(len(h), bool)
-            first[1:] = h[1:] != h[:-1]
-            new = first.copy()
-            new[1:] |= rid[1:] != rid[:-1]
-            h, rid, first = h[new], rid[new], first[new]
-            if not len(h):
-                continue
-            several = np.diff(np.append(np.flatnonzero(first), len(h))) > 1
-            known = several[np.cumsum(first) - 1]
-            marks = h[first][several]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([h, marks]).view(np.int64)), pa.array(np.concatenate([rid, np.zeros(len(marks), np.int64)])),
-                pa.array(np.concatenate([known.astype(np.int32), np.full(len(marks), 2, np.int32)]))], ["h", "rid", "kind"])
+def _low(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Task of an anchor and 40 further bits of it: together they name it, in 5 bytes where the task is known."""
+    return (h % np.uint64(parts)).astype(np.int32), (h // np.uint64(parts)) & np.uint64((1 << 40) - 1)
+
+
+def _short(low: np.ndarray) -> np.ndarray:
+    """5 bytes of each number, as rows."""
+    return np.ascontiguousarray(low).view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def _long(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
+
+
+def _anchors(parts: int):
+    """Packed anchors of a run of texts, one row a task that judges them.
+
+    ``rids`` and ``counts`` name the documents, ``lows`` their distinct anchors, ``known`` tells those that
+    a second document of this run holds; a document's known anchors are handed on too, as they only need
+    to be told to others.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rids = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, data, offsets in slices(batch.column(1)):
+                doc, _, _, h, _ = cells_of(data, offsets)
+                if not len(doc):
+                    continue
+                order = np.lexsort((doc, h))
+                h, doc = h[order], doc[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+                h, doc = h[new], doc[new]
+                first = np.ones(len(h), bool)
+                first[1:] = h[1:] != h[:-1]
+                known = (np.diff(np.append(np.flatnonzero(first), len(h))) > 1)[np.cumsum(first) - 1]
+                task, low = _low(h, parts)
+                order = np.lexsort((doc, task))
+                task, low, doc, known = task[order], low[order], doc[order], known[order]
+                cut = np.append(np.flatnonzero(np.append(True, task[1:] != task[:-1])), len(task))
+                out: list[list] = [[], [], [], [], []]
+                for a, b in zip(cut[:-1], cut[1:]):
+                    own, count = np.unique(doc[a:b], return_counts=True)
+                    for column, x in zip(out, (
+                            int(task[a]), rids[row + own].tobytes(), count.astype(np.int32).tobytes(),
+                            _short(low[a:b]).tobytes(), np.packbits(known[a:b]).tobytes())):
+                        column.append(x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])],
+                    ["task", "rids", "counts", "lows", "known"])
+
+    return run
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, anchors) of the anchors of this partition that several documents hold."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    h, rid, kind = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in range(3))
-    order = np.lexsort((rid, kind == 2, h))
-    h, rid, kind = h[order], rid[order], kind[order]
-    first = np.ones(len(h), bool)
-    first[1:] = h[1:] != h[:-1]
-    new = first.copy()
-    new[1:] |= (rid[1:] != rid[:-1]) | (kind[1:] == 2)
-    start = np.flatnonzero(first)
-    shared = (np.add.reduceat(new, start) > 1) | (np.maximum.reduceat(kind, start) > 0)
-    keep = shared[np.cumsum(first) - 1] & new & (kind < 2)
-    h, rid = h[keep], rid[keep]
-    order = np.argsort(rid, kind="stable")
-    h, rid = h[order], rid[order]
-    cut = np.flatnonzero(np.append(True, rid[1:] != rid[:-1])) if len(rid) else np.empty(0, np.int64)
-    lists = [x.tobytes() for x in np.split(h, cut[1:])] if len(cut) else []
-    for a in range(0, len(cut), 5000):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rid[cut[a : a + 5000]]), pa.array(lists[a : a + 5000], pa.binary())], ["rid", "anchors"])
+    """(rid, task, anchors, hot) of the anchors of this partition that several documents hold."""
+    tasks: dict[int, list[tuple]] = {}
+    for batch in batches:
+        for task, *rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            tasks.setdefault(task, []).append(rest)
+    for task, rows in tasks.items():
+        rid = np.concatenate([np.repeat(np.frombuffer(r, np.int64), np.frombuffer(c, np.int32)) for r, c, _, _ in rows])
+        low = np.concatenate([_long(x) for _, _, x, _ in rows])
+        known = np.concatenate([np.unpackbits(np.frombuffer(k, np.uint8))[: len(x) // 5] for _, _, x, k in rows]).astype(bool)
+        order = np.lexsort((rid, low))
+        rid, low, known = rid[order], low[order], known[order]
+        first = np.ones(len(low), bool)
+        first[1:] = low[1:] != low[:-1]
+        new = first.copy()
+        new[1:] |= rid[1:] != rid[:-1]
+        start = np.flatnonzero(first)
+        documents = np.add.reduceat(new, start)
+        shared = (documents > 1) | np.logical_or.reduceat(known, start)
+        group = np.cumsum(first) - 1
+        keep = shared[group] & new
+        rid, low, hot = rid[keep], low[keep], (documents > HOT)[group][keep]
+        order = np.lexsort((hot, rid))
+        rid, low, hot = rid[order], low[order], hot[order]
+        if not len(rid):
+            continue
+        cut = np.flatnonzero(np.append(True, (rid[1:] != rid[:-1]) | (hot[1:] != hot[:-1])))
+        lists = [x.tobytes() for x in np.split(_short(low), cut[1:])]
+        for a in range(0, len(cut), 5000):
+            k = len(cut[a : a + 5000])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(rid[cut[a : a + 5000]]), pa.array(np.full(k, task, np.int32)),
+                pa.array(lists[a : a + 5000], pa.binary()), pa.array(hot[cut[a : a + 5000]])], ["rid", "task", "anchors", "hot"])
 
 
-def _cut_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of shared anchors: one with content for equal ones of the smallest doc_id, the rest as places."""
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle; null stays null."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        rids = batch.column(1).to_numpy(zero_copy_only=False)
-        asked = batch.column(3)
-        for row, data, offsets in slices(batch.column(2)):
-            doc, start, windows, h, e = cells_of(data, offsets)
-            keep = np.zeros(len(doc), bool)
-            cut = np.searchsorted(doc, np.arange(len(offsets)))
-            for i in range(len(offsets) - 1):
-                wanted = np.frombuffer(b"".join(asked[row + i].as_py()), np.uint64)
-                keep[cut[i] : cut[i + 1]] = np.isin(h[cut[i] : cut[i + 1]], wanted)
-            doc, start, windows, h, e = (x[keep] for x in (doc, start, windows, h, e))
-            if not len(doc):
-                continue
-            doc_id = ids[row + doc]
-            order = np.lexsort((start, doc_id, e, h))
-            same = np.zeros(len(doc), bool)
-            same[1:] = (h[order][1:] == h[order][:-1]) & (e[order][1:] == e[order][:-1])
-            lead = doc_id[order][np.maximum.accumulate(np.where(same, 0, np.arange(len(doc))))]
-            raw = data.tobytes()
-            content = [None if s else raw[a : a + w - 1 + LENGTH] for s, a, w in zip(same, start[order].tolist(), windows[order].tolist())]
-            d = doc[order]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(h[order].view(np.int64)), pa.array(e[order].view(np.int64)), pa.array(doc_id[order]), pa.array(rids[row + d]),
-                pa.array(start[order] - offsets[d], pa.int32()), pa.array(windows[order], pa.int32()),
-                pa.array(content, pa.binary()), pa.array(doc_id[order] > lead)],
-                ["h", "e", "doc_id", "rid", "start", "windows", "content", "covered"])
+        packed = [None if t is None else press.compress(t.encode()) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["doc_id", "rid", "packed"])
+
+
+def _texts(column: pa.Array) -> list[bytes]:
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    return [b"" if p is None else press.decompress(p) for p in column.to_pylist()]
+
+
+def _ranges(rid: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Per document its byte ranges, those that touch made one, as pairs of int32."""
+    order = np.lexsort((b, a, rid))
+    rid, a, b = rid[order], a[order], b[order]
+    cut = np.append(np.flatnonzero(np.append(True, rid[1:] != rid[:-1])), len(rid)) if len(rid) else []
+    for i, j in zip(cut[:-1], cut[1:]):
+        reach = np.maximum.accumulate(b[i:j])
+        new = np.append(True, a[i + 1 : j] > reach[:-1])
+        low = a[i:j][new]
+        high = reach[np.append(np.flatnonzero(new)[1:], j - i) - 1]
+        yield int(rid[i]), np.stack([low, high], axis=1).astype(np.int32).tobytes()
+
+
+_CELL_NAMES = ["h", "e", "doc_id", "rid", "start", "windows", "content", "ranges"]
+
+
+def _range_batch(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    """Ranges that are settled already, in the form of cells, dealt by document."""
+    rid = pa.array([r for r, _ in found], pa.int64())
+    n, none = len(found), pa.nulls
+    return pa.RecordBatch.from_arrays([
+        rid, none(n, pa.int64()), none(n, pa.int64()), rid, none(n, pa.int32()), none(n, pa.int32()), none(n, pa.binary()),
+        pa.array([r for _, r in found], pa.binary())], names=_CELL_NAMES)
+
+
+def _cut_cells(parts: int):
+    """Cells of shared anchors: one with content for equal ones of the smallest doc_id, further ones of that
+    document as places, and the ranges of those that a smaller doc_id covers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            rids = batch.column(1).to_numpy(zero_copy_only=False)
+            asked = batch.column(3)
+            for row, data, offsets in slices(pa.array([t.decode() for t in _texts(batch.column(2))], pa.large_string())):
+                doc, start, windows, h, e = cells_of(data, offsets)
+                keep, hot = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
+                task, low = _low(h, parts)
+                name = (task.astype(np.uint64) << np.uint64(40)) | low
+                cut = np.searchsorted(doc, np.arange(len(offsets)))
+                for i in range(len(offsets) - 1):
+                    for is_hot in (False, True):
+                        wanted = [(np.uint64(x["task"]) << np.uint64(40)) | _long(x["anchors"])
+                                  for x in asked[row + i].as_py() if x["hot"] == is_hot]
+                        if wanted:
+                            hit = np.isin(name[cut[i] : cut[i + 1]], np.concatenate(wanted))
+                            keep[cut[i] : cut[i + 1]] |= hit
+                            if is_hot:
+                                hot[cut[i] : cut[i + 1]] |= hit
+                if not keep.any():
+                    continue
+                doc, start, windows, h, e, hot = (x[keep] for x in (doc, start, windows, h, e, hot))
+                if hot.any():  # every window of a hot anchor becomes a cell of its own, named by its bytes
+                    n = np.where(hot, windows, 1)
+                    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    doc, start, windows, h, e, hot = (np.repeat(x, n) for x in (doc, start, windows, h, e, hot))
+                    start = start + at
+                    windows = np.where(hot, 1, windows)
+                    sums, (_, down) = prefix_sums(data), powers(len(data) + 1)
+                    own = (sums[start[hot] + LENGTH] - sums[start[hot]]) * down[start[hot]]
+                    h[hot], e[hot] = mix(own), mix(own ^ np.uint64(0xA0761D6478BD642F))
+                doc_id = ids[row + doc]
+                order = np.lexsort((start, doc_id, e, h))
+                doc, start, windows, h, e, doc_id = (x[order] for x in (doc, start, windows, h, e, doc_id))
+                same = np.zeros(len(doc), bool)
+                same[1:] = (h[1:] == h[:-1]) & (e[1:] == e[:-1])
+                done = doc_id > doc_id[np.maximum.accumulate(np.where(same, 0, np.arange(len(doc))))]
+                rid, place = rids[row + doc], start - offsets[doc]
+                if done.any():
+                    yield _range_batch(list(_ranges(rid[done], place[done], place[done] + windows[done] - 1 + LENGTH)))
+                raw, left = data.tobytes(), np.flatnonzero(~done)
+                content = [None if s else raw[a : a + w - 1 + LENGTH] for s, a, w in zip(
+                    same[left].tolist(), start[left].tolist(), windows[left].tolist())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(h[left].view(np.int64)), pa.array(e[left].view(np.int64)), pa.array(doc_id[left]), pa.array(rid[left]),
+                    pa.array(place[left], pa.int32()), pa.array(windows[left], pa.int32()), pa.array(content, pa.binary()),
+                    pa.nulls(len(left), pa.binary())], _CELL_NAMES)
+
+    return run
 
 
 # -- Burrows-Wheeler transforms -----------------------------------------------------------------
@@ -251,8 +363,16 @@ def covered_windows(contents: list[bytes], doc: np.ndarray) -> list[np.ndarray]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Covered byte ranges (rid, a, b) of the cells of this partition."""
-    got = [b for b in batches if b.num_rows]
+    """Covered byte ranges (rid, ranges) of the cells of this partition, settled ones passed on."""
+    got = []
+    for b in batches:
+        settled = b.column(7).is_valid()
+        passed = b.filter(settled)
+        if passed.num_rows:
+            yield passed.select(["rid", "ranges"])
+        b = b.filter(pc.invert(settled))
+        if b.num_rows:
+            got.append(b)
     if not got:
         return
     t = pa.Table.from_batches(got)
@@ -295,50 +415,29 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rs:
             ranges.append((np.concatenate(rs), np.concatenate(as_), np.concatenate(bs)))
         begin = end
-    r, a, b = (np.concatenate(x) for x in zip(*ranges))
-    yield from pa.Table.from_arrays(
-        [pa.array(r, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32())], names=["rid", "a", "b"]).to_batches(50_000)
-
-
-def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w, v, doc_id, rid, at): every window of hot cells by a 128-bit hash."""
-    for batch in batches:
-        for doc_id, rid, start, windows, content in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            at = range(windows)
-            both = [hashlib.blake2b(content[i : i + LENGTH], digest_size=16).digest() for i in at]
-            pair = np.frombuffer(b"".join(both), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), pa.array([doc_id] * windows, pa.int64()),
-                pa.array([rid] * windows, pa.int64()), pa.array([start + i for i in at], pa.int32())], ["w", "v", "doc_id", "rid", "at"])
-
-
-def _hot_ranges(cells: DataFrame) -> DataFrame:
-    """Covered ranges of the cells of hot anchors, window by window."""
-    texts = cells.where("content is not null").groupBy("h", "e").agg(F.first("content").alias("content"))
-    full = cells.select("h", "e", "doc_id", "rid", "start", "windows").join(texts, ["h", "e"])
-    single = full.select("doc_id", "rid", "start", "windows", "content").mapInArrow(
-        _single_windows, "w long, v long, doc_id long, rid long, at int")
-    least = single.groupBy("w", "v").agg(F.min("doc_id").alias("least"))
-    return single.join(least, ["w", "v"]).where("least < doc_id").select("rid", F.col("at").alias("a"), (F.col("at") + LENGTH).alias("b"))
+    found = list(_ranges(*(np.concatenate(x) for x in zip(*ranges))))
+    for i in range(0, len(found), 20_000):
+        some = found[i : i + 20_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r for r, _ in some], pa.int64()), pa.array([r for _, r in some], pa.binary())], ["rid", "ranges"])
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, removed, spans, digests = [], [], [], []
-        for text, a, b in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-            raw = (text or "").encode()
-            kept, at, runs, reach = [], 0, 0, -1
-            for lo, hi in sorted(zip(a or [], b or [])):
-                if lo > reach:
-                    runs += 1
-                    kept.append(raw[at:lo])
-                reach = max(reach, hi)
-                at = reach
+        for raw, ranges in zip(_texts(batch.column(1)), batch.column(2).to_pylist()):
+            cut = np.frombuffer(b"".join(ranges or []), np.int32).reshape(-1, 2)
+            kept, at = [], 0
+            for _, runs in _ranges(np.zeros(len(cut), np.int64), cut[:, 0], cut[:, 1]):
+                cut = np.frombuffer(runs, np.int32).reshape(-1, 2)
+            for lo, hi in cut.tolist():
+                kept.append(raw[at:lo])
+                at = hi
             kept.append(raw[at:])
             left = b"".join(kept)
             sizes.append(len(raw))
             removed.append(len(raw) - len(left))
-            spans.append(runs)
+            spans.append(len(cut))
             digests.append(hashlib.sha256(left).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(digests, pa.string())],
@@ -352,26 +451,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = rows.where("doc_id is not null and text is not null").select("rid", "text")
     n = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = partitions_for(spark, n // 16, TASK_ANCHORS)
-    home = F.when(F.col("kind") == 1, F.xxhash64("rid")).otherwise(F.col("h"))
-    anchors = texts.mapInArrow(_anchors, "h long, rid long, kind int")
-    shared = stage(anchors.repartition(parts, home).mapInArrow(_judge, "rid long, anchors binary"), "suffix-anchors")
-    total = shared.agg(F.sum(F.octet_length("anchors") / 8)).first()[0] or 0
-    asked = shared.groupBy("rid").agg(F.collect_list("anchors").alias("anchors"))
-    cells = stage(
-        rows.join(asked, "rid").select("doc_id", "rid", "text", "anchors").mapInArrow(_cut_cells, CELLS), "suffix-cells")
-    done = cells.where("covered").select("rid", F.col("start").alias("a"), (F.col("start") + F.col("windows") - 1 + LENGTH).alias("b"))
-    left = cells.where("not covered")
-    hot = stage(left.groupBy("h").count().where(F.col("count") > HOT).select("h"), "suffix-hot")
-    cold = left
-    if not hot.isEmpty():
-        cold = left.join(hot, "h", "left_anti")
-        done = done.union(_hot_ranges(left.join(hot, "h", "left_semi")))
-    parts = partitions_for(spark, int(total), TASK_CELLS)
-    found = cold.select("h", "e", "doc_id", "rid", "start", "windows", "content").repartition(parts, "h").mapInArrow(
-        _compare, "rid long, a int, b int")
-    ranges = stage(done.union(found).groupBy("rid").agg(F.collect_set(F.struct("a", "b")).alias("r")).select(
-        "rid", F.col("r.a").alias("a"), F.col("r.b").alias("b")), "suffix-ranges")
-    return rows.join(ranges, "rid", "left").select("doc_id", "text", "a", "b").mapInArrow(
+    anchors = texts.mapInArrow(_anchors(parts), "task int, rids binary, counts binary, lows binary, known binary")
+    shared = stage(anchors.repartition(parts, "task").mapInArrow(
+        _judge, "rid long, task int, anchors binary, hot boolean"), "suffix-anchors")
+    total = shared.agg(F.sum(F.octet_length("anchors") / 5)).first()[0] or 0
+    asked = shared.groupBy("rid").agg(F.collect_list(F.struct("task", "anchors", "hot")).alias("anchors"))
+    packed = rows.select("doc_id", "rid", "text").mapInArrow(_squeeze, "doc_id long, rid long, packed binary")
+    cells = packed.join(asked, "rid").select("doc_id", "rid", "packed", "anchors").mapInArrow(_cut_cells(parts), CELLS)
+    found = cells.repartition(partitions_for(spark, int(total), TASK_CELLS), "h").mapInArrow(_compare, "rid long, ranges binary")
+    ranges = stage(found, "suffix-ranges").groupBy("rid").agg(F.collect_list("ranges").alias("ranges"))
+    return packed.join(ranges, "rid", "left").select("doc_id", "packed", "ranges").mapInArrow(
         _strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
