@@ -43,6 +43,8 @@ SLOT_BLOCK = 1 << 10
 HOT = 1 << 16
 #: Bits of the filter of wanted signatures.
 BLOOM = 1 << 23
+#: Ranges of hashes that the suffix filter compares.
+RANGES = 128
 #: Prefix entries that one task gathers.
 TASK_ENTRIES = 1_000_000
 
@@ -69,15 +71,22 @@ def _sets(texts: pa.Array):
         yield row, d, h, n, mix(total ^ n.astype(np.uint64)).view(np.int64)
 
 
+def _spread(rows: int, d: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """How many hashes of each set fall into each of ``RANGES`` ranges, 255 at most."""
+    at = d.astype(np.int64) * RANGES + (h >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
+    return np.bincount(at, minlength=rows * RANGES).clip(max=255).astype(np.uint8).reshape(rows, RANGES)
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SLOTS, np.int64)
     for batch in batches:
         ids = batch.column(0)
-        for row, _, h, n, sig in _sets(batch.column(1)):
+        for row, d, h, n, sig in _sets(batch.column(1)):
             counts += np.bincount((h & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
             k = len(n)
             yield pa.RecordBatch.from_arrays([
-                ids.slice(row, k), pa.array(n, pa.int64()), pa.array(sig), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                ids.slice(row, k), pa.array(n, pa.int64()), pa.array(sig), pa.nulls(k, pa.int32()),
+                pa.array([r.tobytes() for r in _spread(k, d, h)], pa.binary())],
                 ["doc_id", "n", "sig", "block", "counts"])
     blocks = [i for i in range(SLOTS // SLOT_BLOCK) if counts[i * SLOT_BLOCK : (i + 1) * SLOT_BLOCK].any()]
     packed = [zlib.compress(counts[i * SLOT_BLOCK : (i + 1) * SLOT_BLOCK].tobytes(), 1) for i in blocks]
@@ -158,18 +167,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.array(at[keep] & (2**31 - 1), pa.int32())], names=["shingle", "sig", "n", "pos"]).to_batches(50_000)
 
 
+@pandas_udf(BooleanType())
+def may_link(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
+    """Suffix filter: sets of ``n`` hashes together differ at least as much as their counts by range do."""
+    x = np.frombuffer(b"".join(a), np.uint8).reshape(-1, RANGES).astype(np.int16)
+    y = np.frombuffer(b"".join(b), np.uint8).reshape(-1, RANGES).astype(np.int16)
+    return pd.Series(7 * np.abs(x - y).sum(1) <= n.to_numpy(), dtype="bool")
+
+
 @pandas_udf(BooleanType())
 def verified(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whether two whole sets, as sorted hashes, are linked; the suffix filter compares 16 ranges first."""
+    """Whether two whole sets, as sorted hashes, are linked."""
     out = []
     for x, y in zip(a, b):
         x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        total, top = len(x) + len(y), np.uint64(60)
-        apart = np.abs(np.bincount((x >> top).astype(np.int64), minlength=16) - np.bincount((y >> top).astype(np.int64), minlength=16)).sum()
-        if 7 * (total - apart) < 6 * total:
-            out.append(False)
-        else:
-            out.append(7 * len(np.intersect1d(x, y, assume_unique=True)) >= 3 * total)
+        out.append(7 * len(np.intersect1d(x, y, assume_unique=True)) >= 3 * (len(x) + len(y)))
     return pd.Series(out, dtype="bool")
 
 
@@ -226,8 +238,13 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spread = F.when(F.col("at") < 0, F.xxhash64("shingle", "sig")).otherwise(F.col("shingle"))
     lists = stage(prefix.repartition(parts, spread).mapInArrow(_shared, "shingle long, sig long, n int, pos int"), "ngram-lists")
 
+    spreads = profile.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("counts").alias("spread"))
+    spreads = stage(spreads, "ngram-spreads")
+
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs.distinct(), "ngram-pairs")
+        left, right = spreads.toDF("a", "n", "x"), spreads.toDF("b", "m", "y")
+        pairs = pairs.distinct().join(left, "a").join(right, "b").where(may_link("x", "y", F.col("n") + F.col("m")))
+        pairs = stage(pairs.select("a", "b"), "ngram-pairs")
         if pairs.isEmpty():
             return pairs
         whole = whole_sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("sig")))
