@@ -38,8 +38,8 @@ from salescast.llm.common import (
 )
 
 WORDS = 5
-SLOTS = 1 << 18
-SLOT_BLOCK = 1 << 10
+SLOTS = 1 << 22
+SLOT_BLOCK = 1 << 14
 HOT = 1 << 16
 #: Bits of the filter of wanted signatures.
 BLOOM = 1 << 23
