@@ -19,7 +19,7 @@ from salescast.schema import (
     CALENDAR_ATTRS, DYNAMIC_COLS, ID_COLS, LEVELS, MODEL_COLS, MONITORED_COLS, SALES_LONG_COLS, TARGET_COLS, q_name, q_names,
 )
 from salescast.session import scratch_path
-from salescast.sources import archive, export, starschema, tables
+from salescast.sources import archive, export, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -58,8 +58,8 @@ def query(fn: Callable[[SalesMart], DataFrame]) -> Callable[[SalesMart], DataFra
     return fn
 
 
-def day_string(d: int) -> str:
-    return (date.fromisoformat(starschema.FIRST_DAY) + timedelta(days=d - 1)).isoformat()
+def day_string(m: SalesMart, d: int) -> str:
+    return (date.fromisoformat(m.first_day) + timedelta(days=d - 1)).isoformat()
 
 
 # -- features ---------------------------------------------------------------------------
@@ -171,7 +171,7 @@ def archive_path(m: SalesMart) -> str:
         oldest, middle, newest = m.folds
         for origin, run_day in [(oldest, newest), (middle, middle), (newest, newest)]:
             archive.write_archive(
-                catalogue_at(m, origin), path, day_string(run_day), MODEL_NAME, f"o{origin}", m.settings.quantiles
+                catalogue_at(m, origin), path, day_string(m, run_day), MODEL_NAME, f"o{origin}", m.settings.quantiles
             )
 
     return m.path("archive", write)
@@ -198,7 +198,7 @@ def batch_inputs(m):
 
 @query
 def series_json(m):
-    return export.series_json(m.sales, starschema.FIRST_DAY, m.settings.horizon)
+    return export.series_json(m.sales, m.first_day, m.settings.horizon)
 
 
 # -- filters, sampling, grids ---------------------------------------------------------------
@@ -243,7 +243,7 @@ def series_windows(m):
 
 @query
 def feature_sample(m):
-    return reshape.feature_sample(m.features, starschema.FIRST_DAY, SAMPLE_ROWS).select(
+    return reshape.feature_sample(m.features, m.first_day, SAMPLE_ROWS).select(
         "record_id", "event_time", "id", "d", "sales", "lag_7", "sell_price"
     )
 
@@ -260,7 +260,7 @@ def asof_features(m):
 
 @query
 def asof_top10(m):
-    return reshape.newest_rows(m.features, ASOF_TIME, starschema.FIRST_DAY, 10).select(
+    return reshape.newest_rows(m.features, ASOF_TIME, m.first_day, 10).select(
         "record_id", "event_time", "id", "d", "sales"
     )
 

@@ -15,6 +15,7 @@ from salescast.session import inputs_fingerprint, staged, staged_by_key, written
 from salescast.sources import starschema
 
 _last_days: dict[tuple[str, str], int] = {}
+_first_days: dict[tuple[str, str], str] = {}
 
 
 class SalesMart:
@@ -61,6 +62,14 @@ class SalesMart:
         """The feature table bucketed by series; its rows leave the feature windows that way."""
         return staged_by_key(self.spark, self._key("features"), self.build_features, "id", "d")
 
+    @property
+    def first_day(self) -> str:
+        """Date of day 1, looked up once per application and inputs."""
+        slot = (self.spark.sparkContext.applicationId, self._key("first"))
+        if slot not in _first_days:
+            _first_days[slot] = self.daily.agg({"date": "min"}).first()[0].isoformat()
+        return _first_days[slot]
+
     @property
     def last(self) -> int:
         """Newest day of the features, looked up once per application and inputs."""

@@ -18,7 +18,7 @@ WITH dims AS (
          r_name || '_' || (n_nationkey % 2) AS store_id, r_name AS state_id
   FROM lineitem JOIN part ON l_partkey=p_partkey JOIN supplier ON l_suppkey=s_suppkey
        JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey),
-bounds AS (SELECT DATE '2000-01-01' AS d0, max(date) AS d1 FROM dims),
+bounds AS (SELECT min(date) AS d0, max(date) AS d1 FROM dims),
 cal AS (SELECT d, date, CAST(1+(d-1)//7 AS INTEGER) AS wm_yr_wk, strftime(date,'%A') AS weekday,
     CAST((dayofweek(date)+1)%7+1 AS INTEGER) AS wday, CAST(month(date) AS INTEGER) AS month, CAST(year(date) AS INTEGER) AS year,
     CASE strftime(date,'%m-%d') WHEN '12-25' THEN 'Christmas' WHEN '07-04' THEN 'IndependenceDay' WHEN '02-14' THEN 'ValentinesDay' END AS event_name_1,
@@ -115,7 +115,7 @@ CATALOGUE = f"""cat0 AS (
    LEFT JOIN priors p ON p.origin=o.origin AND p.store_id=s.store_id AND p.dept_id=s.dept_id)"""
 # The newest batch of the archive: one origin, whose series are all warm or cold by the same rule.
 BATCH = (LATEST, DIRECT, PRIORS, PRED, COLD, CATALOGUE)
-RUN_DATE = "strftime(DATE '2000-01-01' + CAST(origin-1 AS INTEGER), '%Y-%m-%d')"
+RUN_DATE = "strftime((SELECT d0 FROM bounds) + CAST(origin-1 AS INTEGER), '%Y-%m-%d')"
 
 
 def wape(a: str = "actual", p: str = "q50") -> str:
@@ -248,7 +248,7 @@ EVENT_CODE = (
     "FROM (SELECT DISTINCT event_name_1 FROM feat WHERE event_name_1 IS NOT NULL))"
 )
 TYPE_CODE = EVENT_CODE.replace("event_name_1", "event_type_1")
-EVENT_TIME = "strftime(DATE '2000-01-01' + CAST(d-1 AS INTEGER), '%Y-%m-%d')||'T00:00:00Z'"
+EVENT_TIME = "strftime((SELECT d0 FROM bounds) + CAST(d-1 AS INTEGER), '%Y-%m-%d')||'T00:00:00Z'"
 
 
 def units(column: str, tail: str = "") -> str:
@@ -309,7 +309,7 @@ ORACLE["series_json"] = sql(
     "fp AS (SELECT id, min(d) AS f FROM sales_long WHERE sales>0 GROUP BY 1)",
     "packed AS (SELECT s.id, min(f) AS f, list(sales ORDER BY d) AS target, min(stc.c) AS sc, min(dpc.c) AS dc FROM sales_long s JOIN fp ON fp.id=s.id AND s.d>=f JOIN stc USING (store_id) JOIN dpc USING (dept_id) GROUP BY s.id)",
     f"kept AS (SELECT * FROM packed WHERE len(target)-{H}>{H})",
-    "txt AS (SELECT *, strftime(DATE '2000-01-01' + CAST(f-1 AS INTEGER), '%Y-%m-%d') AS st FROM kept)",
+    "txt AS (SELECT *, strftime((SELECT d0 FROM bounds) + CAST(f-1 AS INTEGER), '%Y-%m-%d') AS st FROM kept)",
     select="""SELECT 'train' AS split, id, '{"start":"'||st||'","target":['||array_to_string(target[1:len(target)-%d], ',')||'],"cat":['||sc||','||dc||']}' AS line FROM txt
 UNION ALL SELECT 'test', id, '{"start":"'||st||'","target":['||array_to_string(target, ',')||'],"cat":['||sc||','||dc||']}' FROM txt""" % H,
 )

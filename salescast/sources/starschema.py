@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from salescast.schema import HIERARCHY, ID_COLS
 
-FIRST_DAY = "2000-01-01"
 TABLES = ["lineitem", "part", "supplier", "nation", "region"]
 
 # States with a benefit flag and the parity of its days, and the events.
@@ -28,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def first_day(daily: DataFrame):
+    """The day of the first sale, day 1 of all tables, as a scalar subquery."""
+    return daily.agg(F.min("date")).scalar()
+
+
 def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per series and day with sales: units and the highest list price.
 
@@ -68,7 +72,7 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar(daily: DataFrame) -> DataFrame:
-    """The calendar table: one row per day from the first day to the last sale."""
+    """The calendar table: one row per day from the first sale to the last."""
     day = F.col("date")
     mmdd = F.date_format(day, "MM-dd")
 
@@ -81,9 +85,9 @@ def calendar(daily: DataFrame) -> DataFrame:
     def snap(parity: int):
         return ((F.day(day) <= 10) & (F.day(day) % 2 == parity)).cast("int")
 
-    n = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    days = daily.agg(F.max("date").alias("last")).select(
-        F.explode(F.sequence(F.lit(FIRST_DAY).cast("date"), F.col("last"))).alias("date")
+    n = F.datediff(day, F.col("first"))
+    days = daily.agg(F.min("date").alias("first"), F.max("date").alias("last")).where("first is not null").select(
+        "first", F.explode(F.sequence("first", "last")).alias("date")
     )
     return days.select(
         "date",
@@ -104,7 +108,7 @@ def calendar(daily: DataFrame) -> DataFrame:
 
 def sales_long(daily: DataFrame) -> DataFrame:
     """Gap-free day grid per series; a day without a fact row sold 0 units."""
-    first = F.lit(FIRST_DAY).cast("date")
+    first = first_day(daily)
     last = daily.agg(F.max("date")).scalar()
     grid = daily.select(*ID_COLS).distinct().select(
         *ID_COLS, F.explode(F.sequence(first, last)).alias("date")
@@ -118,11 +122,10 @@ def sales_long(daily: DataFrame) -> DataFrame:
 
 def weekly_prices(daily: DataFrame) -> DataFrame:
     """Highest list price sold in the week, carried forward; no row before the first sale."""
-    first = F.lit(FIRST_DAY).cast("date")
+    first = first_day(daily)
     keys = ["store_id", "item_id"]
     week = (F.floor(F.datediff("date", first) / 7) + 1).cast("int")
-    seen = daily.where(F.col("date") >= first)
-    sold = seen.groupBy(*keys, week.alias("wm_yr_wk")).agg(F.max("price").alias("_p"))
+    sold = daily.groupBy(*keys, week.alias("wm_yr_wk")).agg(F.max("price").alias("_p"))
     last_week = sold.agg(F.max("wm_yr_wk")).scalar()
     # From the week of the first sale onwards: earlier weeks have no price.
     spans = sold.groupBy(*keys).agg(F.min("wm_yr_wk").alias("_first_week"))
