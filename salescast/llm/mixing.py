@@ -29,7 +29,7 @@ from salescast.llm.common import DOC_COLS, pick, stage, table
 #: Labelled documents a domain that the classifier is fitted on, at most.
 SAMPLE = 1500
 WORD_BUCKETS, END_BUCKETS = 1 << 16, 1 << 9
-#: A bucket is kept if its log odds differ by ``LIFT`` and by ``SIGMA`` standard errors.
+#: A bucket is kept if its log odds differ by ``LIFT`` and its count by ``SIGMA`` standard errors.
 LIFT, SIGMA = 1.2, 6.0
 STEPS, TOLERANCE = 60, 1e-4
 #: Share of all tokens that each domain should have.
@@ -78,7 +78,8 @@ def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SA
             if not c[k].any():
                 w[k] = w[c.any(1)].mean(0) if c.any() else 0.0
         rest = np.log((smooth.sum(0) - smooth) / (smooth.sum() - smooth.sum(1, keepdims=True)))
-        clear = np.abs(w - rest) > np.maximum(LIFT, SIGMA / np.sqrt(np.minimum(smooth, smooth.sum(0) - smooth)))
+        expected = c.sum(0) * (c.sum(1, keepdims=True) / max(c.sum(), 1.0))
+        clear = (np.abs(w - rest) > LIFT) & (np.abs(c - expected) > SIGMA * np.sqrt(expected + 1.0))
         centred = w - w.mean(0)
         for b in np.flatnonzero(clear.any(0)):
             out[lo + int(b)] = [float(v) for v in centred[:, b]]
@@ -124,7 +125,8 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
     """Summed steps of the projected gradient (lazy projection). Targets are shares of all tokens, or,
     with ``anchor``, are scaled so that the anchor domain's target is what it has.
 
-    A step that does not lower the distance to the targets is halved and tried again.
+    The sum of steps is the dual variable of the targets; a step that does not lower the dual function
+    is halved and tried again, so the steps also settle where many rates are 0.
     """
     k = len(names)
     weight = F.col("tokens") * F.col("copies")
@@ -136,27 +138,27 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
         on = F.when(F.col("r") > 0, weight).otherwise(0)
         zero = F.lit(0.0)
         got = rated.agg(
+            F.coalesce(F.sum(weight * F.col("r") * F.col("r")) / 2, zero),
             *[F.coalesce(F.sum(weight * p[i] * F.col("r")), zero) for i in range(k)],
             *[F.coalesce(F.sum(on * p[i] * p[j]), zero) for i in range(k) for j in range(k)]).first()
-        return np.array(got[:k], float), np.array(got[k:], float).reshape(k, k)
+        return got[0], np.array(got[1 : k + 1], float), np.array(got[k + 1 :], float).reshape(k, k)
 
     pull = np.zeros(k)
-    now, gram = look(pull)
+    half, now, gram = look(pull)
     if not now.sum():
         return pull
     share = np.array([targets[n] for n in names], float)
     share /= share.sum()
     goal = share * (now.sum() if anchor is None else now[names.index(anchor)] / share[names.index(anchor)])
-    size = 1.0
+    size, dual = 1.0, half
     for _ in range(STEPS):
-        gap = np.abs(now - goal).sum()
-        if gap <= TOLERANCE * goal.sum() or size < 1e-6:
+        if np.abs(now - goal).sum() <= TOLERANCE * goal.sum() or size < 1e-6:
             break
         white = np.linalg.pinv(gram + np.eye(k) * 1e-6 * np.trace(gram) / k)
         tried = pull + size * (white @ (now - goal))
-        then, gram_then = look(tried)
-        if np.abs(then - goal).sum() < gap:
-            pull, now, gram, size = tried, then, gram_then, min(1.0, size * 2)
+        half, then, gram_then = look(tried)
+        if half + tried @ goal < dual:
+            pull, now, gram, dual, size = tried, then, gram_then, half + tried @ goal, min(1.0, size * 2)
         else:
             size /= 2
     return pull
