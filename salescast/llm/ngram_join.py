@@ -82,7 +82,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for row, d, h, n, sig in _sets(batch.column(1)):
-            counts += np.bincount((h & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+            np.add.at(counts, (h & np.uint64(SLOTS - 1)).astype(np.int64), 1)
             k = len(n)
             yield pa.RecordBatch.from_arrays([
                 ids.slice(row, k), pa.array(n, pa.int64()), pa.array(sig), pa.nulls(k, pa.int32()),
