@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,7 +28,7 @@ HEADLINE = [
     "backtest_prior", "by_level", "by_horizon", "panel_headline", "compare_models",
     "score_forecasts", "feature_drift", "monitor_summary", "bias_metrics", "dq_rules",
     "eda_units_store", "eda_zero_hist", "eda_weekday_mean", "eda_price_change", "eda_top20",
-    "train_gbt", "forecast_gbt",
+    "train_gbt", "forecast_gbt", "backtest_gbt",
 ]
 
 
@@ -41,6 +42,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.schema import DYNAMIC_COLS, HIERARCHY, MODEL_COLS, TARGET_COLS
@@ -20,6 +20,11 @@ def _grid(latest: int, n: int, stride: int) -> list[int]:
     return [day for day in range(latest - (n - 1) * stride, latest + 1, stride) if day > 0]
 
 
+def origin_grid(latest: Column, n: int, stride: int) -> Column:
+    """The days of :func:`_grid` as an array expression."""
+    return F.filter(F.sequence(latest - (n - 1) * stride, latest, F.lit(stride)), lambda day: day > 0)
+
+
 def origins_ending(last: int, n: int, stride: int, horizon: int) -> list[int]:
     """The newest ``n`` origins, ``stride`` days apart, whose horizon is fully observed."""
     return _grid(last - horizon, n, stride)

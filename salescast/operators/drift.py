@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salescast.functions.joins import salted_join
 from salescast.functions.quantiles import exact_quantiles
+from salescast.session import checkpointed
 
 DRIFT_LINE = 0.2
 SHARE_FLOOR = 1e-6
@@ -39,17 +40,17 @@ def feature_drift(
     reference: DataFrame, current: DataFrame, columns: list[str],
     threshold: float = DRIFT_LINE, bins: int = 10,
 ) -> DataFrame:
-    """PSI and drift flag of every column that both sides have, all in one job.
+    """PSI and drift flag of every column that both sides have.
 
     Bins are the distinct exact quantiles of the reference with open outer ends. Both sides are
-    counted per feature and value in one aggregate; the edges and the bins both start from it,
-    so the rows are scanned and shuffled once and the join sees distinct values only. A feature with fewer than two distinct edges, or with an
-    empty side, scores 0.
+    counted per feature and value in one aggregate, which is written: the edges and the bins
+    both read it, so each side is scanned once and the join sees distinct values only. A feature
+    with fewer than two distinct edges, or with an empty side, scores 0.
     """
     shared = [c for c in columns if c in reference.columns and c in current.columns]
     if not shared:
         raise ValueError("no monitored column exists on both sides")
-    cells = (
+    cells = checkpointed(
         _long(reference, shared, 1, 0)
         .unionByName(_long(current, shared, 0, 1))
         .groupBy("feature", "value")
@@ -84,9 +85,7 @@ def feature_drift(
         F.aggregate(F.transform("cells", term), F.lit(0.0), lambda acc, x: acc + x).alias("psi"),
     )
     # Every shared column gets a row; the list of features is the given list of columns.
-    names = reference.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.explode(F.array(*[F.lit(c) for c in shared])).alias("feature")
-    )
+    names = reference.sparkSession.createDataFrame([(c,) for c in shared], "feature string")
     return names.join(scored, "feature", "left").select(
         "feature",
         F.coalesce("psi", F.lit(0.0)).alias("psi"),

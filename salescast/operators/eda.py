@@ -49,7 +49,8 @@ def cardinalities(sales: DataFrame) -> DataFrame:
 def zero_histogram(sales: DataFrame, bins: int = 50) -> DataFrame:
     """Series per bin of their zero share over the observed range, and the share above 0.9.
 
-    Bins are even between the smallest and the largest share; the last one is closed.
+    Bins are even between the smallest and the largest share; the last one is closed. Every bin
+    has a row; ``share_above_90`` is the same in all of them.
     """
     shares = sales.groupBy("id").agg(F.avg(_no_sale()).alias("share"))
     lowest = shares.agg(F.min("share")).scalar()
@@ -61,7 +62,9 @@ def zero_histogram(sales: DataFrame, bins: int = 50) -> DataFrame:
         F.count(F.lit(1)).alias("n_series"),
         F.count_if(F.col("share") > 0.9).alias("n_above_90"),
     )
-    return binned
+    high = shares.agg(F.avg((F.col("share") > 0.9).cast("double"))).scalar()
+    every = sales.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every.join(binned, "bin", "left").na.fill(0, ["n_series", "n_above_90"]).withColumn("share_above_90", high)
 
 
 def daily_total(sales: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from salescast.functions.joins import salted_join
 from salescast.functions.quantiles import unit_quantiles
 from salescast.operators.direct import direct_table
 from salescast.schema import ID_COLS, q_names
+from salescast.session import checkpointed
 
 FORECAST_KEYS = [*ID_COLS, "origin", "horizon", "target_day"]
 GROUP = ["store_id", "dept_id"]
@@ -37,16 +38,21 @@ def group_priors(features: DataFrame, origins: list[int], quantiles, window: int
     return unit_quantiles(tagged, ["origin", *GROUP], quantiles)
 
 
-def cold_series(features: DataFrame, origin: int, min_history: int) -> DataFrame:
-    """Series with at least one, but fewer than ``min_history``, rows up to the origin."""
+def cold_members(features: DataFrame, origin: int, min_history: int) -> DataFrame:
+    """Identity of series with at least one, but fewer than ``min_history``, rows up to the origin."""
     return (
         features.where(F.col("d") <= origin)
         .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("n_days"))
+        .agg(F.count(F.lit(1)).alias("n_days"), *[F.first(c).alias(c) for c in ID_COLS if c != "id"])
         .where(F.col("n_days") < min_history)
     )
 
 
+def cold_series(features: DataFrame, origin: int, min_history: int) -> DataFrame:
+    """(id, n_days) of :func:`cold_members`."""
+    return cold_members(features, origin, min_history).select("id", "n_days")
+
+
 def with_priors(rows: DataFrame, priors: DataFrame, quantiles) -> DataFrame:
     """Rows with the prior quantiles of their origin and group; an unseen group gets 0."""
     names = q_names(quantiles)
@@ -55,10 +61,10 @@ def with_priors(rows: DataFrame, priors: DataFrame, quantiles) -> DataFrame:
 
 
 def cold_forecasts(
-    features: DataFrame, cold: DataFrame, priors: DataFrame, origin: int, horizon: int, quantiles
+    cold: DataFrame, priors: DataFrame, origin: int, horizon: int, quantiles
 ) -> DataFrame:
-    """The group prior of each cold series, repeated over all horizons."""
-    series = features.select(*ID_COLS).join(cold.select("id"), "id", "left_semi").distinct()
+    """The group prior of each cold series (with its identity), repeated over all horizons."""
+    series = cold.select(*ID_COLS)
     flat = with_priors(series.withColumn("origin", F.lit(origin)), priors, quantiles)
     return flat.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).select(
         *ID_COLS, "origin", "horizon", (F.col("origin") + F.col("horizon")).alias("target_day"),
@@ -68,7 +74,11 @@ def cold_forecasts(
 
 def prior_forecaster(features: DataFrame, origins: list[int], quantiles, window: int) -> Forecaster:
     """Forecast every row with the store-department quantiles before its origin."""
-    priors = group_priors(features, origins, quantiles, window)
+    return from_priors(group_priors(features, origins, quantiles, window), quantiles)
+
+
+def from_priors(priors: DataFrame, quantiles) -> Forecaster:
+    """Forecast every row with the given quantiles of its origin and store-department."""
     return lambda rows: with_priors(rows, priors, quantiles)
 
 
@@ -102,18 +112,18 @@ def forecast_origin(
 
 def catalogue(
     features: DataFrame, forecaster: Forecaster, origin: int, horizon: int, quantiles,
-    min_history: int, prior_window: int,
+    min_history: int, priors: DataFrame,
 ) -> DataFrame:
     """All series: the model for warm ones, the group prior for cold ones, with a flag.
 
-    The cold set is found once and splits the features by anti and semi join. A series with
-    no row up to the origin is not in the counts, hence warm.
+    The cold set is found once, with its identity, and written: it parts the features by an anti
+    join and feeds the cold forecasts without another scan. A series with no row up to the
+    origin is not in the counts, hence warm.
     """
-    cold = cold_series(features, origin, min_history)
+    cold = checkpointed(cold_members(features, origin, min_history))
     warm_rows = features.join(cold.select("id"), "id", "left_anti")
     warm = forecast_origin(warm_rows, forecaster, origin, horizon, quantiles)
-    priors = group_priors(features, [origin], quantiles, prior_window)
-    chilly = cold_forecasts(features, cold, priors, origin, horizon, quantiles)
+    chilly = cold_forecasts(cold, priors, origin, horizon, quantiles)
     return warm.withColumn("is_cold_start", F.lit(False)).unionByName(
         chilly.withColumn("is_cold_start", F.lit(True))
     )
@@ -150,21 +160,22 @@ def check_forecasts(forecasts: DataFrame, quantiles) -> None:
     refuse_bad(gate_counts(forecasts, quantiles).first().asDict())
 
 
-def reassembled(predictions: DataFrame, meta: DataFrame, quantiles) -> DataFrame:
-    """Predictions beside their identity, matched by key because Spark rows have no position."""
-    return meta.join(
-        predictions.select("id", "origin", "horizon", *q_names(quantiles)), ["id", "origin", "horizon"]
-    ).select(*FORECAST_KEYS, *q_names(quantiles))
-
-
 def reassemble_checked(predictions: DataFrame, meta: DataFrame, quantiles) -> DataFrame:
-    """As :func:`reassembled`, after checking that every row meets exactly one partner."""
+    """Predictions beside their identity, matched by key because Spark rows have no position.
+
+    Both sides meet in one aggregate on the key. A key that does not have exactly one row on each
+    side stops the job that reads the result.
+    """
     keys = ["id", "origin", "horizon"]
-    sides = meta.select(*keys, F.lit(1).alias("m"), F.lit(0).alias("p")).unionByName(
-        predictions.select(*keys, F.lit(0).alias("m"), F.lit(1).alias("p"))
+    names = q_names(quantiles)
+    sides = meta.select(*FORECAST_KEYS, F.lit(1).alias("_m"), F.lit(0).alias("_p")).unionByName(
+        predictions.select(*keys, *names, F.lit(0).alias("_m"), F.lit(1).alias("_p")), allowMissingColumns=True
+    )
+    rest = [c for c in [*FORECAST_KEYS, *names] if c not in keys]
+    met = sides.groupBy(*keys).agg(
+        F.sum("_m").alias("_m"), F.sum("_p").alias("_p"), *[F.max(c).alias(c) for c in rest]
+    )
+    partners = F.assert_true(
+        (F.col("_m") == 1) & (F.col("_p") == 1), F.lit("row mismatch between predictions and their identity rows")
     )
-    odd = sides.groupBy(*keys).agg(F.sum("m").alias("m"), F.sum("p").alias("p"))
-    bad = odd.where((F.col("m") != 1) | (F.col("p") != 1)).limit(1).count()
-    if bad:
-        raise ValueError("row mismatch between predictions and their identity rows")
-    return reassembled(predictions, meta, quantiles)
+    return met.where(partners.isNull()).select(*FORECAST_KEYS, *names)

@@ -26,13 +26,6 @@ def newest_by_status(registry: DataFrame) -> DataFrame:
     )
 
 
-def promote(incumbent_wape: float | None, candidate_wape: float | None) -> bool:
-    """Without a scored incumbent always; an unscored candidate never; else no worse on WAPE."""
-    if incumbent_wape is None:
-        return True
-    return candidate_wape is not None and candidate_wape <= incumbent_wape
-
-
 def promote_decision(registry: DataFrame, register_line: float = REGISTER_WAPE) -> DataFrame:
     """Incumbent (newest approved) against candidate (newest pending), in one row.
 

@@ -18,7 +18,6 @@ from salescast.plans.mart import SalesMart
 from salescast.schema import (
     CALENDAR_ATTRS, DYNAMIC_COLS, ID_COLS, LEVELS, MODEL_COLS, MONITORED_COLS, SALES_LONG_COLS, TARGET_COLS, q_name, q_names,
 )
-from salescast.session import scratch_path
 from salescast.sources import archive, export, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -159,10 +158,9 @@ def load_features(m):
 
 def catalogue_at(m: SalesMart, origin: int) -> DataFrame:
     s = m.settings
-    model = forecast.prior_forecaster(m.features, [origin], s.quantiles, s.prior_window)
-    return forecast.catalogue(
-        m.features, model, origin, s.horizon, s.quantiles, s.min_history, s.prior_window
-    )
+    priors = m.priors(origin)
+    model = forecast.from_priors(priors, s.quantiles)
+    return forecast.catalogue(m.features, model, origin, s.horizon, s.quantiles, s.min_history, priors)
 
 
 def archive_path(m: SalesMart) -> str:
@@ -267,26 +265,35 @@ def asof_top10(m):
 
 # -- direct table ---------------------------------------------------------------------------
 
-def day_rows(m: SalesMart, rows: list[tuple], schema: str) -> DataFrame:
-    return m.spark.createDataFrame(rows, schema)
+def newest_origin(m: SalesMart) -> DataFrame:
+    """One row: the newest origin whose horizon is fully observed."""
+    return m.features.agg((F.max("d") - m.settings.horizon).alias("newest"))
 
 
 @query
 def origins(m):
-    return day_rows(m, [(o,) for o in m.origins], "origin int")
+    s = m.settings
+    grid = direct.origin_grid(F.col("newest"), s.n_train_origins, s.origin_stride)
+    return newest_origin(m).select(F.explode(grid).alias("origin"))
 
 
 @query
 def fold_grid(m):
     s = m.settings
-    pairs = direct.fold_pairs(m.folds, s.n_train_origins, s.origin_stride, s.horizon)
-    return day_rows(m, pairs, "fold_origin int, train_origin int")
+    folds = newest_origin(m).select(
+        F.explode(direct.origin_grid(F.col("newest"), s.n_folds, s.fold_stride)).alias("fold_origin")
+    )
+    grid = direct.origin_grid(F.col("fold_origin") - s.horizon, s.n_train_origins, s.origin_stride)
+    return folds.select("fold_origin", F.explode(grid).alias("train_origin"))
 
 
 @query
 def holdout_split(m):
-    known, newest = direct.holdout(m.origins)
-    return day_rows(m, [(o, False) for o in known] + [(newest, True)], "origin int, is_holdout boolean")
+    s = m.settings
+    grid = direct.origin_grid(F.col("newest"), s.n_train_origins, s.origin_stride)
+    return newest_origin(m).select("newest", F.explode(grid).alias("origin")).select(
+        "origin", (F.col("origin") == F.col("newest")).alias("is_holdout")
+    )
 
 
 @query
@@ -347,9 +354,8 @@ def hierarchy_priors(m):
 @query
 def cold_start_forecasts(m):
     s = m.settings
-    cold = forecast.cold_series(m.features, COLD_ORIGIN, s.min_history)
-    priors = forecast.group_priors(m.features, [COLD_ORIGIN], s.quantiles, s.prior_window)
-    return forecast.cold_forecasts(m.features, cold, priors, COLD_ORIGIN, s.horizon, s.quantiles)
+    cold = forecast.cold_members(m.features, COLD_ORIGIN, s.min_history)
+    return forecast.cold_forecasts(cold, m.priors(COLD_ORIGIN), COLD_ORIGIN, s.horizon, s.quantiles)
 
 
 @query
@@ -669,6 +675,25 @@ def forecast_gbt(m):
     )
 
 
+@query
+def gate_gbt(m):
+    """Rows, negative rows and crossing rows of the boosted forecasts."""
+    s = m.settings
+    made = forecast.forecast_origin(m.features, boosted(m), m.origin, s.horizon, s.quantiles)
+    return forecast.gate_counts(made, s.quantiles)
+
+
+@query
+def gbt_start_loss(m):
+    """Loss of the constant start per quantile, and whether no later round is worse than the one before."""
+    model = boosted(m)
+    rows = [
+        (q, model.losses[0][q], all(b[q] <= a[q] for a, b in zip(model.losses, model.losses[1:])))
+        for q in model.quantiles
+    ]
+    return m.spark.createDataFrame(rows, "quantile double, start_loss double, never_worse boolean")
+
+
 @query
 def backtest_gbt(m):
     path = m.path(

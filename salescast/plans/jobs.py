@@ -15,7 +15,7 @@ from salescast.operators import direct as D
 from salescast.operators import monitor as MO
 from salescast.operators import panel as P
 from salescast.operators.boosting import BoostParams, QuantileBoostModel, fit_quantile_boost
-from salescast.operators.forecast import Forecaster, catalogue
+from salescast.operators.forecast import Forecaster, catalogue, group_priors
 from salescast.operators.reshape import cap_series, eligible_series, only_state
 from salescast.plans.backtest import refit_backtest
 from salescast.schema import MEDIAN, Settings
@@ -136,7 +136,7 @@ def run_batch(
     origin = D.latest_origin(features, settings.horizon)
     forecasts = catalogue(
         features, model, origin, settings.horizon, settings.quantiles,
-        settings.min_history, settings.prior_window,
+        settings.min_history, group_priors(features, [origin], settings.quantiles, settings.prior_window),
     )
     write_archive(forecasts, archive, run_date, model_name, model_version, settings.quantiles)
 

@@ -6,10 +6,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.operators.direct import last_day, origins_ending, train_origins
+from salescast.operators.direct import last_day, origins_ending
 from salescast.operators.features import build_features
 from salescast.plans.backtest import backtest
-from salescast.operators.forecast import prior_forecaster, seasonal_naive_forecaster
+from salescast.operators.forecast import group_priors, prior_forecaster, seasonal_naive_forecaster
 from salescast.schema import Settings
 from salescast.session import inputs_fingerprint, staged, staged_by_key, written_once
 from salescast.sources import starschema
@@ -93,9 +93,10 @@ class SalesMart:
         s = self.settings
         return origins_ending(self.last, s.n_train_origins, s.origin_stride, s.horizon)
 
-    def fold_train_origins(self, fold: int) -> list[int]:
+    def priors(self, origin: int) -> DataFrame:
+        """Store-department quantiles before one origin."""
         s = self.settings
-        return train_origins(fold, s.n_train_origins, s.origin_stride, s.horizon)
+        return self._stage(f"priors-{origin}", lambda: group_priors(self.features, [origin], s.quantiles, s.prior_window))
 
     def _backtest(self, forecaster) -> DataFrame:
         s = self.settings

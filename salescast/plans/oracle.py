@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from salescast.operators.drift import bin_probabilities
 from salescast.schema import INTERVALS, LEVELS, MONITORED_COLS, Settings, q_name
 
 S = Settings()
@@ -108,7 +107,7 @@ BACKTEST = (FOLDS, DIRECT, PRIORS, PRED)
 COLD = f"""cold AS (SELECT id, count(*) AS n_days FROM feat, orig WHERE d<=origin GROUP BY id HAVING count(*)<{S.min_history})"""
 PRED_KEYS = f"{cols(IDS)}, origin, horizon, target_day"
 CATALOGUE = f"""cat0 AS (
-   SELECT {PRED_KEYS}, {cols(QN)}, false AS is_cold_start FROM pred WHERE id NOT IN (SELECT id FROM cold)
+   SELECT {PRED_KEYS}, {cols(QN)}, false AS is_cold_start FROM pred WHERE NOT EXISTS (SELECT 1 FROM cold c WHERE c.id=pred.id)
    UNION ALL
    SELECT {cols(IDS, 's')}, o.origin, CAST(h AS INTEGER) AS horizon, CAST(o.origin+h AS INTEGER) AS target_day, {Q_FILLED}, true AS is_cold_start
    FROM (SELECT DISTINCT {cols(IDS)} FROM feat WHERE id IN (SELECT id FROM cold)) s CROSS JOIN orig o CROSS JOIN range(1,{H + 1}) t(h)
@@ -185,7 +184,7 @@ def drift_ctes(features: list[str]) -> list[str]:
         f"FROM feat, lastd WHERE d > last-2*{S.drift_window} AND {f} IS NOT NULL"
         for f in features
     )
-    probs = ", ".join(f"({p!r})" for p in bin_probabilities(10))
+    probs = ", ".join(f"({p!r})" for p in [i * 0.1 for i in range(10)] + [1.0])
     return [
         f"vals AS ({vals})",
         "ranks AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v)-1 AS r FROM vals WHERE side='ref')",
@@ -529,7 +528,9 @@ ORACLE["eda_cardinality"] = sql(
 ORACLE["eda_zero_hist"] = sql(
     "shares AS (SELECT id, avg(CASE WHEN sales=0 THEN 1.0 ELSE 0.0 END) AS s FROM sales_long GROUP BY id)",
     "ext AS (SELECT min(s) AS lo, max(s) AS hi FROM shares)",
-    select="SELECT CAST(least(floor(coalesce((s-lo)/nullif(hi-lo,0.0),0.0)*50), 49) AS INTEGER) AS bin, count(*) AS n_series, count(*) FILTER (WHERE s>0.9) AS n_above_90 FROM shares, ext GROUP BY 1",
+    "hist AS (SELECT CAST(least(floor(coalesce((s-lo)/nullif(hi-lo,0.0),0.0)*50), 49) AS INTEGER) AS bin, count(*) AS n, count(*) FILTER (WHERE s>0.9) AS n90 FROM shares, ext GROUP BY 1)",
+    select="SELECT CAST(b AS INTEGER) AS bin, coalesce(n, 0) AS n_series, coalesce(n90, 0) AS n_above_90, "
+    "(SELECT round(avg(CASE WHEN s>0.9 THEN 1.0 ELSE 0.0 END), 6) FROM shares) AS share_above_90 FROM range(50) t(b) LEFT JOIN hist ON bin=b",
 )
 ORACLE["eda_daily_total"] = sql(select="SELECT d, date, CAST(sum(sales) AS BIGINT) AS total_units FROM sales_long GROUP BY 1,2")
 ORACLE["eda_weekday_mean"] = sql(
@@ -545,3 +546,16 @@ ORACLE["eda_price_change"] = sql(
     select="SELECT round(avg(CASE WHEN coalesce(price_pct_change,0)<>0 THEN 1.0 ELSE 0.0 END),6) AS changed_share, "
     "round(quantile_cont(CASE WHEN price_pct_change<>0 THEN abs(price_pct_change) END, 0.5),6) AS median_abs_change FROM pf"
 )
+
+# -- boosted model: what must hold for any fit ----------------------------------------------------------------
+ORACLE["model_roundtrip"] = sql(
+    LATEST, DIRECT, select="SELECT count(*) AS n_rows, " + ", ".join(f"CAST(0 AS DOUBLE) AS diff_{n}" for n in QN) + " FROM direct"
+)
+ORACLE["gate_gbt"] = sql(
+    LATEST, DIRECT, select="SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_negative, CAST(0 AS BIGINT) AS n_crossing FROM direct"
+)
+ORACLE["gbt_start_loss"] = sql(
+    TRAIN, DIRECT, f"start AS (SELECT unnest({Q}) AS quantile, unnest(quantile_cont(CAST(sales AS DOUBLE), {Q})) AS v FROM direct)",
+    select="SELECT CAST(quantile AS DOUBLE) AS quantile, round(avg(greatest(quantile*(sales-v), (quantile-1)*(sales-v))), 6) AS start_loss, "
+    "true AS never_worse FROM start, direct GROUP BY 1",
+)

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from conftest import UNITS
 from pyspark.sql import functions as F
 
 from salescast.operators import features as FE
@@ -22,46 +23,46 @@ def rows_of(df, *order):
 
 def test_long_form_orders_days_by_number(wide):
     long = R.to_long(wide)
-    assert long.count() == 30
-    first = rows_of(long.where(F.col("store_id") == "TX_1"), "d")
-    assert [r["d"] for r in first] == list(range(1, 11))
-    assert [r["sales"] for r in first] == [(d + 2) % 4 for d in range(1, 11)]
-    assert R.day_columns(wide)[-1] == "d_10"
+    assert long.count() == 36
+    first = rows_of(long.where(F.col("store_id") == "NV_2"), "d")
+    assert [r["d"] for r in first] == list(range(1, 10))
+    assert [r["sales"] for r in first] == UNITS["saw-west"]
+    assert R.day_columns(wide)[-1] == "d_9"
 
 
 def test_wide_and_long_are_inverse(wide):
-    again = R.to_wide(R.to_long(wide), 10).select(*wide.columns)
+    again = R.to_wide(R.to_long(wide), 9).select(*wide.columns)
     assert sorted(again.collect()) == sorted(wide.collect())
 
 
 def test_snap_is_the_flag_of_the_own_state(wide, calendar):
     out = FE.attach_calendar(R.to_long(wide), calendar)
-    ca = rows_of(out.where(F.col("id") == "FOODS_1_001_CA_1_evaluation"), "d")
-    tx = rows_of(out.where(F.col("state_id") == "TX"), "d")
-    assert [r["snap"] for r in ca] == [1, 0] * 5
-    assert [r["snap"] for r in tx] == [0, 1] * 5
+    east = rows_of(out.where(F.col("id") == "saw-east"), "d")
+    west = rows_of(out.where(F.col("state_id") == "NV"), "d")
+    assert [r["snap"] for r in east] == [0, 0, 1] * 3
+    assert [r["snap"] for r in west] == [1] * 4 + [0] * 5
     other = R.to_long(wide).withColumn("state_id", F.lit("NY"))
     assert {r["snap"] for r in FE.attach_calendar(other, calendar).collect()} == {0}
 
 
 def test_price_features(prices):
     out = {(r["store_id"], r["item_id"], r["wm_yr_wk"]): r for r in FE.price_features(prices).collect()}
-    assert out[("CA_1", "FOODS_1_001", 11101)]["price_pct_change"] is None
-    assert out[("CA_1", "FOODS_1_001", 11102)]["price_pct_change"] == 0.0
-    assert out[("TX_1", "FOODS_1_001", 11102)]["price_pct_change"] == pytest.approx(2.68 / 2.58 - 1)
-    assert out[("CA_1", "FOODS_1_001", 11101)]["price_rel_dept"] == pytest.approx(2.48 / 2.23)
-    assert out[("CA_1", "FOODS_1_001", 11102)]["price_rel_dept"] == pytest.approx(1.0)
+    first, second = out[("OR_4", "TOOLS_7_18", 610)], out[("OR_4", "TOOLS_7_18", 611)]
+    assert first["price_pct_change"] is None and second["price_pct_change"] == pytest.approx(-0.25)
+    assert first["price_rel_dept"] == pytest.approx(12 / 8) and second["price_rel_dept"] == pytest.approx(9 / 6.5)
+    alone = out[("NV_2", "TOOLS_7_18", 611)]
+    assert alone["price_pct_change"] == 0.0 and alone["price_rel_dept"] == pytest.approx(1.0)
 
 
 def test_item_without_underscore_is_its_own_department(spark):
-    df = spark.createDataFrame([("FOODS_3_090",), ("PLAIN",), ("A_",)], "item_id string")
+    df = spark.createDataFrame([("TOOLS_7_18",), ("PLAIN",), ("A_",)], "item_id string")
     got = [r[0] for r in df.select(FE.item_department()).collect()]
-    assert got == ["FOODS_3", "PLAIN", "A"]
+    assert got == ["TOOLS_7", "PLAIN", "A"]
 
 
 def test_lags_and_rolling_use_the_past_of_the_own_series(wide, calendar, prices):
     out = FE.build_features(R.to_long(wide), calendar, prices, SMALL)
-    series = rows_of(out.where(F.col("id") == "FOODS_1_001_CA_1_evaluation"), "d")
+    series = rows_of(out.where(F.col("id") == "saw-east"), "d")
     sales = [r["sales"] for r in series]
     assert [r["lag_2"] for r in series] == [None, None, *sales[:-2]]
     for i, r in enumerate(series):
@@ -87,16 +88,16 @@ def test_a_missing_unit_leaves_the_window_short(spark):
 
 def test_days_without_a_price_are_dropped_after_the_windows(wide, calendar, prices):
     out = FE.build_features(R.to_long(wide), calendar, prices, SMALL)
-    days = {r["d"] for r in out.where(F.col("item_id") == "FOODS_1_002").collect()}
-    assert days == set(range(1, 8))
+    days = {r["d"] for r in out.where(F.col("item_id") == "YARD_3_55").collect()}
+    assert days == set(range(6, 10))
     everything = FE.build_features(R.to_long(wide), calendar, prices, SMALL.but(drop_pre_release=False))
-    assert everything.count() == 30
+    assert everything.count() == 36
 
 
 def test_no_leak_from_the_day_itself_or_later(wide, calendar, prices):
     """Change one day: earlier rows and other series stay, later rows of the series move."""
     sales = R.to_long(wide)
-    target, day = "FOODS_1_001_CA_1_evaluation", 5
+    target, day = "saw-east", 4
     bumped = sales.withColumn(
         "sales", F.when((F.col("id") == target) & (F.col("d") == day), 99).otherwise(F.col("sales"))
     )

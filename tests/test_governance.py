@@ -28,7 +28,6 @@ def test_newest_version_per_status(spark):
     (None, 0.7, True), (None, None, True), (0.7, None, False), (0.7, 0.7, True), (0.7, 0.71, False), (0.7, 0.6, True),
 ])
 def test_promotion_rule(spark, incumbent, candidate, wins):
-    assert RG.promote(incumbent, candidate) is wins
     reg = table(spark, [(1, 1, RG.APPROVED, incumbent), (2, 2, RG.PENDING, candidate)])
     row = RG.promote_decision(reg).first()
     assert row["promote"] is wins and row["registrable"] is (candidate is not None and candidate <= 0.75)
@@ -68,15 +67,17 @@ def test_bias_of_an_absent_facet_is_unknown(spark):
 
 def test_exploration(spark, wide, calendar, prices):
     long = to_long(wide)
-    assert tuple(E.scale(long).first()) == (3, 10, 30)
-    assert E.zero_share(long).first()[0] == pytest.approx(7 / 30)
+    assert tuple(E.scale(long).first()) == (4, 9, 36)
+    assert E.zero_share(long).first()[0] == pytest.approx(11 / 36)
     units = {r["state_id"]: r["total_units"] for r in E.units_by(long, "state_id").collect()}
     assert sum(units.values()) == long.agg(F.sum("sales")).first()[0]
-    assert {r["level"]: r["n"] for r in E.cardinalities(long).collect()} == {"item_id": 2, "dept_id": 1, "cat_id": 1, "store_id": 2, "state_id": 2}
-    assert sum(r["n_series"] for r in E.zero_histogram(long).collect()) == 3
-    assert E.daily_total(long, calendar).count() == 10 and E.weekday_mean(long, calendar).count() == 7
-    lift = E.snap_lift(long, calendar, "FOODS", "CA").first()
+    assert {r["level"]: r["n"] for r in E.cardinalities(long).collect()} == {"item_id": 3, "dept_id": 2, "cat_id": 2, "store_id": 2, "state_id": 2}
+    bins = E.zero_histogram(long).orderBy("bin").collect()
+    assert [r["bin"] for r in bins] == list(range(50)) and sum(r["n_series"] for r in bins) == 4
+    assert (bins[0]["n_series"], bins[49]["n_series"]) == (1, 3) and {r["share_above_90"] for r in bins} == {0.0}
+    assert E.daily_total(long, calendar).count() == 9 and E.weekday_mean(long, calendar).count() == 7
+    lift = E.snap_lift(long, calendar, "TOOLS", "OR").first()
     assert lift["lift"] == pytest.approx(lift["snap_mean"] / lift["other_mean"] - 1)
     moves = E.price_changes(prices).first()
-    assert moves["changed_share"] == pytest.approx(1 / 5) and moves["median_abs_change"] == pytest.approx(2.68 / 2.58 - 1)
+    assert moves["changed_share"] == pytest.approx(1 / 7) and moves["median_abs_change"] == pytest.approx(0.25)
     assert len(E.top_series(long, 2).collect()) == 2
