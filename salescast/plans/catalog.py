@@ -685,10 +685,13 @@ def gate_gbt(m):
 
 @query
 def gbt_start_loss(m):
-    """Loss of the constant start per quantile, and whether no later round is worse than the one before."""
+    """Loss of the constant start per quantile, and whether no later round is worse than the one before.
+
+    Losses are sums of doubles in no fixed order, so they are compared to nine digits.
+    """
     model = boosted(m)
     rows = [
-        (q, model.losses[0][q], all(b[q] <= a[q] for a, b in zip(model.losses, model.losses[1:])))
+        (q, model.losses[0][q], all(b[q] <= a[q] * (1 + 1e-9) for a, b in zip(model.losses, model.losses[1:])))
         for q in model.quantiles
     ]
     return m.spark.createDataFrame(rows, "quantile double, start_loss double, never_worse boolean")
