@@ -4,12 +4,14 @@ Texts become sets of 5-word shingle hashes (64 bits); equal sets are one node, n
 signature of the set. Shingles are ordered from rare to common by a table of ``SLOTS`` counts (fixed
 size, so it may be broadcast); any common order keeps the filters exact, rarity only makes them
 sharp. Two sets with Jaccard >= 3/4 share a shingle among their first n - ceil(3n/4) + 1, so only
-those prefixes meet, on the shingle.
+those prefixes meet, on the shingle. What two sets share before a shingle that both prefixes hold is in
+both prefixes too, so the positional filter leaves out earlier shingles that no other prefix holds.
 
 No list of a shingle is paired with itself as a whole. First every set of a list is compared with one
 anchor of the list; verified links make components. Then only lists that still hold several
 components are joined, and only sets of different components, so a group of near copies costs its size,
-not its square. Each pair is verified once, on whole sets. Sets in the same component need no further
+not its square. Here all prefix shingles of a pair meet, so their count and the last of them bound what the
+sets can share. Each pair is verified once, on whole sets. Sets in the same component need no further
 comparison, since the result is components.
 
 A list's members are found where the shingle is dealt to; shingles whose count is over ``HOT`` are
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BooleanType
@@ -218,32 +220,48 @@ def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _close(a: str, b: str):
-    """Length and positional filter of two entries of one shingle."""
+    """Length and positional filter of two entries of one shingle; every entry of linked sets passes."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     p, q = F.col(f"{a}.pos"), F.col(f"{b}.pos")
-    most = F.least(p, q) + F.least(n - p, m - q)
+    most = F.least(f"{a}.before", f"{b}.before") + F.least(n - p, m - q)
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * most >= 3 * (n + m))
 
 
+def _may_share_enough():
+    """Positional filter of a pair by all its entries: ``c`` shared prefix shingles, the last at p and q.
+
+    Past those, the set whose prefix ends first has nothing shared in the rest of its prefix.
+    """
+    n, m, p, q = (F.col(c) for c in ("n", "m", "p", "q"))
+    rest = F.greatest(F.least(need_col(n) - 1, m - 1 - q), F.least(n - 1 - p, need_col(m) - 1))
+    return 7 * (F.col("c") + rest) >= 3 * (n + m)
+
+
+def need_col(n):
+    return F.floor((3 * n + 3) / 4)
+
+
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((doc_id, n, sig) of every row, verified edges (a, b) between signatures that make all components)."""
     spark = docs.sparkSession
     rows = pick(docs, "doc_id", "text")
     profile = stage(rows.mapInArrow(_profile, "doc_id long, n long, sig long, block int, counts binary"), "ngram-profile")
     members = profile.where("block is null").select("doc_id", "n", "sig")
-    entries = members.agg(F.sum(F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1)).first()[0] or 0
+    entries = members.agg(F.sum(F.col("n") - need_col(F.col("n")) + 1)).first()[0] or 0
     shared = spark.sparkContext.broadcast(slot_counts(profile))
     parts = partitions_for(spark, entries, TASK_ENTRIES)
     prefix = rows.mapInArrow(_prefixes(shared), "shingle long, sig long, at long")
     spread = F.when(F.col("at") < 0, F.xxhash64("shingle", "sig")).otherwise(F.col("shingle"))
-    lists = stage(prefix.repartition(parts, spread).mapInArrow(_shared, "shingle long, sig long, n int, pos int"), "ngram-lists")
+    lists = prefix.repartition(parts, spread).mapInArrow(_shared, "shingle long, sig long, n int, pos int")
+    before = F.row_number().over(Window.partitionBy("sig").orderBy("pos")) - 1
+    lists = stage(lists.withColumn("before", before), "ngram-lists")
 
     spreads = profile.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("counts").alias("spread"))
     spreads = stage(spreads, "ngram-spreads")
 
     def verify(pairs: DataFrame) -> DataFrame:
         left, right = spreads.toDF("a", "n", "x"), spreads.toDF("b", "m", "y")
-        pairs = pairs.distinct().join(left, "a").join(right, "b").where(may_link("x", "y", F.col("n") + F.col("m")))
+        pairs = pairs.join(left, "a").join(right, "b").where(may_link("x", "y", F.col("n") + F.col("m")))
         pairs = stage(pairs.select("a", "b"), "ngram-pairs")
         if pairs.isEmpty():
             return pairs
@@ -251,9 +269,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         left, right = whole.toDF("a", "x"), whole.toDF("b", "y")
         return stage(pairs.join(left, "a").join(right, "b").where(verified("x", "y")).select("a", "b"), "ngram-links")
 
-    anchors = lists.groupBy("shingle").agg(F.min(F.struct("sig", "n", "pos")).alias("t")).select("shingle", "t.*")
+    anchors = lists.groupBy("shingle").agg(F.min(F.struct("sig", "n", "pos", "before")).alias("t")).select("shingle", "t.*")
     star = lists.alias("l").join(anchors.alias("r"), "shingle").where(F.col("l.sig") != F.col("r.sig")).where(_close("l", "r"))
-    edges = verify(star.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")))
+    edges = verify(star.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).distinct())
     now = components(edges, "ngram").withColumnRenamed("node", "sig")
     lists = lists.join(now, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     lists = stage(lists, "ngram-lists")
@@ -261,7 +279,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lists = lists.join(open_lists.where("lo <> hi").select("shingle"), "shingle")
     cross = lists.alias("l").join(lists.alias("r"), "shingle").where(
         F.col("l.component") < F.col("r.component")).where(_close("l", "r"))
-    more = verify(cross.select(F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b")))
+    pairs = cross.groupBy(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).agg(
+        F.count("*").alias("c"), F.first("l.n").alias("n"), F.first("r.n").alias("m"),
+        F.max("l.pos").alias("p"), F.max("r.pos").alias("q"))
+    more = verify(pairs.where(_may_share_enough()).select("a", "b"))
     return members, edges.union(more)
 
 
