@@ -241,8 +241,15 @@ def need_col(n):
     return F.floor((3 * n + 3) / 4)
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, n, sig) of every row, verified edges (a, b) between signatures that make all components)."""
+def by_component(nodes: DataFrame, column: str, found: DataFrame) -> DataFrame:
+    """``nodes`` with ``column`` replaced by its component in ``found``; a node without links is its own."""
+    found = found.toDF("_node", "_component")
+    return nodes.join(found, F.col(column) == F.col("_node"), "left").withColumn(
+        column, F.coalesce("_component", column)).drop("_node", "_component")
+
+
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """((doc_id, n, sig) of every row, (sig, component) by links to anchors, further links (a, b) of components)."""
     spark = docs.sparkSession
     rows = pick(docs, "doc_id", "text")
     profile = stage(rows.mapInArrow(_profile, "doc_id long, n long, sig long, block int, counts binary"), "ngram-profile")
@@ -283,14 +290,14 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("c"), F.first("l.n").alias("n"), F.first("r.n").alias("m"),
         F.max("l.pos").alias("p"), F.max("r.pos").alias("q"))
     more = verify(pairs.where(_may_share_enough()).select("a", "b"))
-    return members, edges.union(more)
+    return members, now, by_component(by_component(more, "a", now), "b", now)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    members, edges = links(docs)
-    found = components(edges, "ngram").withColumnRenamed("node", "sig")
-    placed = members.join(found, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    members, now, more = links(docs)
+    placed = by_component(members.withColumn("component", F.col("sig")), "component", now)
+    placed = by_component(placed, "component", components(more, "ngram"))
     least = placed.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     full = placed.where("n > 0").join(least, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
