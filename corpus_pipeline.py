@@ -18,8 +18,8 @@ from salescast.llm.quality import scorer, train
 from salescast.llm.sharding import shard
 from salescast.session import scratch_path
 
-#: Target shares of tokens after quality; the clean domain keeps what it has.
-TARGETS = {"clean": 0.95, "low": 0.0, "toxic": 0.05}
+#: Target shares of tokens; the clean domain keeps what it has. Low quality has no target: its stage has rejected it.
+TARGETS = {"clean": 0.95, "toxic": 0.05}
 
 #: The quality model, the 64-bit shingle sets and the fitted rates are beyond SQL.
 ORACLE_SQL = None

@@ -291,3 +291,23 @@ def test_pipeline_runs_and_drops_contaminated_documents(spark, tmp_path, texts,
     spark.createDataFrame([(1, texts[10])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert out and 10 not in {r.doc_id for r in out} and all(0 <= r.shard < 24 for r in out)
+
+
+def cleaned(spark, folder, toxic_every=8, n=800):
+    """Documents without low ones, labels that still name low ones, and the ids labelled clean."""
+    kinds = {i: "toxic" if i % toxic_every == 0 else "clean" for i in range(n)}
+    rows = [(i, prose(60) + (" toxicish slur" * 3 if k == "toxic" else ""), "en", "s", 0) for i, k in kinds.items()]
+    marks = [(i, 1, int(k == "toxic")) for i, k in kinds.items() if i % 3 < 2] + [(n + i, 0, 0) for i in range(n // 6)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs, {i for i, k in kinds.items() if k == "clean"}
+
+
+def test_pipeline_mixing_keeps_clean_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    docs, clean = cleaned(spark, tmp_path)
+    times = Counter(r.doc_id for r in corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect())
+    assert sum(i in times for i in clean) >= 0.98 * len(clean)
+    assert sum(times[i] for i in clean) <= 1.02 * len(clean)
+    assert sum(times.values()) - sum(times[i] for i in clean) < 0.6 * (docs.count() - len(clean))
