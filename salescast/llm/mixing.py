@@ -12,8 +12,10 @@
 
 Defined results: a null or empty text has 0 tokens, the prior as posteriors and takes part like any
 other; repeated rows get the same rate each; an id with several labels takes the first domain in
-alphabetical order; a domain without labels has prior 0; an empty table gives an empty result; extra
-columns are left out.
+alphabetical order; labels of ids that ``docs`` lacks are left out; a domain that no labelled document
+has gets posterior 0, and its target goes to the other domains in proportion (all rates are 1 where no
+target or no anchor is left); without any label all posteriors are equal; an empty table gives an empty
+result; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -44,6 +46,11 @@ def domains(labels: DataFrame) -> DataFrame:
     return named.where("domain is not null").groupBy("doc_id").agg(F.min("domain").alias("domain"))
 
 
+def own_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the documents of ``docs`` that have a label."""
+    return domains(labels).join(pick(docs, "doc_id"), "doc_id", "left_semi")
+
+
 def _terms(docs: DataFrame, *keep: Column | str) -> DataFrame:
     """One row per word: its bucket and the bucket of its last two characters."""
     word = F.col("word")
@@ -54,10 +61,10 @@ def _terms(docs: DataFrame, *keep: Column | str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SAMPLE):
-    """(log priors, bucket -> weight per domain) of the classifier."""
+    """(log priors, bucket -> weight per domain) of the classifier; ``labelled`` holds ids of ``docs``."""
     shares = {r.domain: r["count"] for r in labelled.where(F.col("domain").isin(names)).groupBy("domain").count().collect()}
     total = sum(shares.values())
-    prior = np.array([math.log((shares.get(n, 0) + 1e-3) / (total + 1e-3 * len(names))) for n in names])
+    prior = np.array([math.log(shares[n] / total) if n in shares else -math.inf for n in names] if total else [0.0] * len(names))
     rank = F.row_number().over(Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ids = labelled.where(F.col("domain").isin(names)).withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank")
     # The sample is bounded: SAMPLE ids a domain.
@@ -108,7 +115,8 @@ def memberships(docs: DataFrame, labelled: DataFrame, names: list[str]) -> DataF
         *[F.sum(F.when(real, F.coalesce(f"a_{c}", F.lit(0.0)) + F.coalesce(f"z_{c}", F.lit(0.0))).otherwise(0.0)).alias(c)
           for c in cols])
     logit = F.array(*[F.col(c) / F.col("copies") + float(prior[k]) for k, c in enumerate(cols)])
-    odds = F.transform("logit", lambda x: F.exp(F.greatest(x - F.array_max("logit"), F.lit(-50.0))))
+    odds = F.transform("logit", lambda x: F.when(x == -math.inf, 0.0).otherwise(
+        F.exp(F.greatest(x - F.array_max("logit"), F.lit(-50.0)))))
     return summed.select(
         "doc_id", "rid", "copies", (F.col("n") / F.col("copies")).cast("long").alias("tokens"), logit.alias("logit")
     ).withColumn("odds", odds).select(
@@ -147,7 +155,9 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
     half, now, gram = look(pull)
     if not now.sum():
         return pull
-    share = np.array([targets[n] for n in names], float)
+    share = np.array([targets[n] for n in names], float) * (now > 0)
+    if not share.sum() or (anchor is not None and not share[names.index(anchor)]):
+        return pull
     share /= share.sum()
     goal = share * (now.sum() if anchor is None else now[names.index(anchor)] / share[names.index(anchor)])
     size, dual = 1.0, half
@@ -168,7 +178,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """(doc_id, rid, copies, tokens, p, rate), one row per distinct row of ``docs``."""
     targets = targets or TARGETS
     names = sorted(targets)
-    members = stage(memberships(docs, stage(domains(labels), "mix-domains"), names), "mix-members")
+    members = stage(memberships(docs, stage(own_labels(docs, labels), "mix-domains"), names), "mix-members")
     return members.withColumn("rate", rate_expression(fit_rates(members, names, targets, anchor)))
 
 

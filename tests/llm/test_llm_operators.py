@@ -311,3 +311,13 @@ def test_pipeline_mixing_keeps_clean_documents(spark, tmp_path):
     assert sum(i in times for i in clean) >= 0.98 * len(clean)
     assert sum(times[i] for i in clean) <= 1.02 * len(clean)
     assert sum(times.values()) - sum(times[i] for i in clean) < 0.6 * (docs.count() - len(clean))
+
+
+def test_mixing_counts_labels_of_its_own_documents_only(spark, tmp_path):
+    docs, _ = cleaned(spark, tmp_path, n=60)
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    names = ["clean", "low", "toxic"]
+    own = mixing.own_labels(docs, labels)
+    assert {r.domain for r in own.collect()} == {"clean", "toxic"}
+    members = mixing.memberships(docs, own, names)
+    assert all(r.p[1] == 0 and abs(sum(r.p) - 1) < 1e-9 for r in members.collect())
