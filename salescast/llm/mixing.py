@@ -21,6 +21,7 @@ result; extra columns are left out.
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +35,8 @@ WORD_BUCKETS, END_BUCKETS = 1 << 16, 1 << 9
 #: A bucket is kept if its log odds differ by ``LIFT`` and its count by ``SIGMA`` standard errors.
 LIFT, SIGMA = 1.2, 6.0
 STEPS, TOLERANCE = 60, 1e-4
+#: How firmly rates are held near 1 where the targets cannot be met.
+RIDGE = 0.1
 #: Share of all tokens that each domain should have.
 TARGETS = {"clean": 0.90, "low": 0.07, "toxic": 0.03}
 
@@ -134,7 +137,10 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
     with ``anchor``, are scaled so that the anchor domain's target is what it has.
 
     The sum of steps is the dual variable of the targets; a step that does not lower the dual function
-    is halved and tried again, so the steps also settle where many rates are 0.
+    is halved and tried again, so the steps also settle where many rates are 0. Targets that are not met
+    within ``TOLERANCE`` are told by a warning and approached by bounded rates instead: missing them costs
+    the square of the miss over 2 * RIDGE * tokens, so no rate leaves 1 by more than the miss that rates of
+    1 have, as a share of all tokens, over RIDGE.
     """
     k = len(names)
     weight = F.col("tokens") * F.col("copies")
@@ -151,26 +157,39 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
             *[F.coalesce(F.sum(on * p[i] * p[j]), zero) for i in range(k) for j in range(k)]).first()
         return got[0], np.array(got[1 : k + 1], float), np.array(got[k + 1 :], float).reshape(k, k)
 
-    pull = np.zeros(k)
-    half, now, gram = look(pull)
+    def steps(goal, ridge):
+        """Summed steps and the tokens that they miss; ``ridge`` keeps the sum finite where the goal cannot be met."""
+        pull, half, now, gram = np.zeros(k), *start
+        size, dual = 1.0, half
+        for _ in range(STEPS):
+            miss = now - goal - ridge * pull
+            if np.abs(miss).sum() <= TOLERANCE * goal.sum() or size < 1e-6:
+                break
+            white = np.linalg.pinv(gram + np.eye(k) * (ridge + 1e-6 * np.trace(gram) / k))
+            tried = pull + size * (white @ miss)
+            half, then, gram_then = look(tried)
+            value = half + tried @ goal + ridge / 2 * tried @ tried
+            if value < dual:
+                pull, now, gram, dual, size = tried, then, gram_then, value, min(1.0, size * 2)
+            else:
+                size /= 2
+        return pull, np.abs(now - goal).sum() / goal.sum()
+
+    start = look(np.zeros(k))
+    now = start[1]
     if not now.sum():
-        return pull
+        return np.zeros(k)
     share = np.array([targets[n] for n in names], float) * (now > 0)
     if not share.sum() or (anchor is not None and not share[names.index(anchor)]):
-        return pull
+        warnings.warn("mixing: no document of a domain that the targets need; all rates are 1", stacklevel=2)
+        return np.zeros(k)
     share /= share.sum()
     goal = share * (now.sum() if anchor is None else now[names.index(anchor)] / share[names.index(anchor)])
-    size, dual = 1.0, half
-    for _ in range(STEPS):
-        if np.abs(now - goal).sum() <= TOLERANCE * goal.sum() or size < 1e-6:
-            break
-        white = np.linalg.pinv(gram + np.eye(k) * 1e-6 * np.trace(gram) / k)
-        tried = pull + size * (white @ (now - goal))
-        half, then, gram_then = look(tried)
-        if half + tried @ goal < dual:
-            pull, now, gram, dual, size = tried, then, gram_then, half + tried @ goal, min(1.0, size * 2)
-        else:
-            size /= 2
+    pull, missed = steps(goal, 0.0)
+    if missed > TOLERANCE:
+        pull, left = steps(goal, RIDGE * now.sum())
+        warnings.warn(
+            f"mixing: targets not met (missed by {missed:.3g} of the goal); bounded rates miss them by {left:.3g}", stacklevel=2)
     return pull
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salescast.llm import (
     decontamination, embedding_dedup, language, mixing, ngram_join, quality, secrets, sharding, suffix_dedup, token_counts,
@@ -321,3 +322,23 @@ def test_mixing_counts_labels_of_its_own_documents_only(spark, tmp_path):
     assert {r.domain for r in own.collect()} == {"clean", "toxic"}
     members = mixing.memberships(docs, own, names)
     assert all(r.p[1] == 0 and abs(sum(r.p) - 1) < 1e-9 for r in members.collect())
+
+
+def test_unmet_targets_are_told_and_rates_stay_bounded(spark):
+    rows = [(i, 1, 100, [0.9, 0.1] if i % 2 else [0.8, 0.2]) for i in range(40)]
+    members = spark.createDataFrame(rows, "doc_id long, copies long, tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="targets not met"):
+        pull = mixing.fit_rates(members, ["clean", "low"], {"clean": 1.0, "low": 0.0}, "clean")
+    rates = [r[0] for r in members.select(mixing.rate_expression(pull)).collect()]
+    assert all(0.5 < r < 1.5 for r in rates)
+
+
+def test_pipeline_mixing_keeps_clean_documents_of_unsure_domains(spark, tmp_path):
+    import corpus_pipeline
+
+    # A quarter of the documents tells its domain; the rest have the prior as posterior.
+    docs, clean = cleaned(spark, tmp_path, n=600)
+    plain = docs.where("doc_id % 4 > 0").withColumn("text", F.expr("repeat(concat(xxhash64(doc_id), ' '), 60)"))
+    with pytest.warns(UserWarning, match="targets not met"):
+        out = corpus_pipeline.mixing(spark, docs.where("doc_id % 4 = 0").union(plain), str(tmp_path)).collect()
+    assert len({r.doc_id for r in out} & clean) >= 0.85 * len(clean)
