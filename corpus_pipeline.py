@@ -1,8 +1,8 @@
 """From raw documents to byte-balanced shards of training text, in five written stages.
 
 Quality first drops junk, so that later stages do not compare it; near duplicates leave one document
-of each group; documents that hold a benchmark item go; mixing repeats or drops documents until
-toxic text has its target share; sharding deals the rest.
+of each group; documents that hold a benchmark item go; mixing drops documents until toxic
+text has at most its target share (clean ones may repeat to keep their tokens); sharding deals the rest.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at the rates that give domains their target shares; a rate over 1 may repeat a document."""
-    return mixed_documents(docs, table(spark, sf_dir, "labels"), TARGETS, "clean")
+    return mixed_documents(docs, table(spark, sf_dir, "labels"), TARGETS, "clean", thin=True)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

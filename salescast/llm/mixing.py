@@ -132,9 +132,10 @@ def rate_expression(pull: np.ndarray, p: str = "p") -> Column:
     return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(p)[k] * float(v) for k, v in enumerate(pull)), F.lit(0.0)))
 
 
-def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], anchor: str | None = None) -> np.ndarray:
+def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], anchor: str | None = None, thin: bool = False) -> np.ndarray:
     """Summed steps of the projected gradient (lazy projection). Targets are shares of all tokens, or,
-    with ``anchor``, are scaled so that the anchor domain's target is what it has.
+    with ``anchor``, are scaled so that the anchor domain's target is what it has. ``thin`` caps the target
+    of a domain at what it has.
 
     The sum of steps is the dual variable of the targets; a step that does not lower the dual function
     is halved and tried again, so the steps also settle where many rates are 0. Targets that are not met
@@ -185,6 +186,8 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
         return np.zeros(k)
     share /= share.sum()
     goal = share * (now.sum() if anchor is None else now[names.index(anchor)] / share[names.index(anchor)])
+    if thin:
+        goal = np.minimum(goal, now)
     pull, missed = steps(goal, 0.0)
     if missed > TOLERANCE:
         pull, left = steps(goal, RIDGE * now.sum())
@@ -193,17 +196,18 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
     return pull
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, anchor: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, anchor: str | None = None,
+        thin: bool = False) -> DataFrame:
     """(doc_id, rid, copies, tokens, p, rate), one row per distinct row of ``docs``."""
     targets = targets or TARGETS
     names = sorted(targets)
     members = stage(memberships(docs, stage(own_labels(docs, labels), "mix-domains"), names), "mix-members")
-    return members.withColumn("rate", rate_expression(fit_rates(members, names, targets, anchor)))
+    return members.withColumn("rate", rate_expression(fit_rates(members, names, targets, anchor, thin)))
 
 
-def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], anchor: str) -> DataFrame:
+def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], anchor: str, thin: bool = False) -> DataFrame:
     """Documents repeated or left out at their rates: floor(rate + u), u fixed by the id."""
-    rates = mix(docs, labels, targets, anchor)
+    rates = mix(docs, labels, targets, anchor, thin)
     u = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
     times = rates.select("rid", F.floor(F.round("rate", 2) + u).cast("int").alias("times")).where("times > 0")
     rows = pick(docs, *DOC_COLS).withColumn("rid", F.xxhash64("doc_id", "text")).join(times, "rid")

@@ -342,3 +342,11 @@ def test_pipeline_mixing_keeps_clean_documents_of_unsure_domains(spark, tmp_path
     with pytest.warns(UserWarning, match="targets not met"):
         out = corpus_pipeline.mixing(spark, docs.where("doc_id % 4 = 0").union(plain), str(tmp_path)).collect()
     assert len({r.doc_id for r in out} & clean) >= 0.85 * len(clean)
+
+
+def test_pipeline_mixing_does_not_repeat_rare_toxic_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    docs, _ = cleaned(spark, tmp_path, toxic_every=60, n=1200)
+    out = corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in out) == list(range(1200))
