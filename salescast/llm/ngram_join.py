@@ -293,11 +293,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return members, now, by_component(by_component(more, "a", now), "b", now)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+def placed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, sig, component) of every row of ``docs``."""
     members, now, more = links(docs)
     placed = by_component(members.withColumn("component", F.col("sig")), "component", now)
-    placed = by_component(placed, "component", components(more, "ngram"))
+    return by_component(placed, "component", components(more, "ngram"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    placed = placed_rows(docs)
     least = placed.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     full = placed.where("n > 0").join(least, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
@@ -305,10 +310,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of every group of linked documents; of repeated rows, one."""
-    drop = near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    left = pick(docs, *DOC_COLS).join(drop, "doc_id", "left_anti")
-    return left.withColumn("_row", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "_row"]).select(*DOC_COLS)
+    """The document with the smallest id of every group of linked documents; of repeated rows, one.
+
+    Rows are named by id and text, so that an id with several texts loses only those that are near copies.
+    """
+    rows = pick(docs, *DOC_COLS).withColumn("_row", F.xxhash64("doc_id", "text"))
+    placed = placed_rows(rows.select(F.col("_row").alias("doc_id"), "text")).where("n > 0")
+    groups = placed.select(F.col("doc_id").alias("_row"), "component").distinct()
+    groups = stage(groups.join(rows.select("_row", "doc_id").distinct(), "_row"), "ngram-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    least = groups.groupBy("component").agg(F.min(order).alias("least"))
+    drop = groups.join(least, "component").where(F.col("_row") != F.col("least._row")).select("_row")
+    return rows.join(drop, "_row", "left_anti").dropDuplicates(["_row"]).select(*DOC_COLS)
 
 
 def op6_ngram_join(spark, sf_dir) -> DataFrame:

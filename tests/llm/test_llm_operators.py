@@ -350,3 +350,11 @@ def test_pipeline_mixing_does_not_repeat_rare_toxic_documents(spark, tmp_path):
     docs, _ = cleaned(spark, tmp_path, toxic_every=60, n=1200)
     out = corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in out) == list(range(1200))
+
+
+def test_an_id_with_two_texts_loses_only_the_near_copy(spark):
+    copied, own = prose(50), prose(50)
+    rows = [(1, copied), (5, copied + " tail"), (5, own), (5, own), (None, copied), (7, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = ngram_join.one_of_each_group(docs).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter([(1, copied), (5, own), (7, None)])
