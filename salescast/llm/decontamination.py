@@ -1,4 +1,4 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination: exact shingles retrieve item-sized windows, SimHash only filters them.
 
 Words are runs of letters and digits, lower-cased (ASCII and Latin-1 letters); shingles are five words.
 A benchmark item of L words meets windows of L words of a document. A window can only be similar to an
