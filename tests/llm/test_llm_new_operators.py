@@ -116,7 +116,7 @@ def brute_alignment(tool, text):
         return none
     data = (" " + text).encode()
     a, b = tool.a.encode(" " + text, add_special_tokens=False).ids, tool.b.encode(text)
-    parts = [tool.bytes_a.get(i, b"") for i in a], [tool.bytes_b[i] for i in b]
+    parts = [tool.bytes_a[i] for i in a], [tool.bytes_b[i] for i in b]
     if any(b"".join(p) != data for p in parts):
         return none
 
