@@ -11,7 +11,7 @@ the score that tells their two verdicts apart best (balanced accuracy; the small
 Counts cover all URLs, each distinct URL once, and models grow with the contexts seen. Characters'
 log ratios are found once per distinct window of ``ORDER`` + 1 characters, rounded to millionths of
 a nat and summed as integers, so that results depend on no order of sums. URLs that repeat are
-judged once and joined back over salted keys.
+judged once and joined back; where one URL owns a third of the rows, the adaptive skew join splits them.
 
 Defined results: a null or empty URL has empty host and path, no rule and score 0; without held-out URLs
 of both verdicts the threshold is 0, and without any ruled URL of a verdict its model is uniform;
@@ -25,7 +25,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.functions.joins import salted_join
 from salescast.llm.common import pick, stage, table
 
 #: Longest context in characters.
@@ -40,7 +39,6 @@ BOUND = 2_000
 HELD_OUT = "0123"
 #: Stands before the first character of a URL.
 PAD = "\u0001"
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -181,7 +179,7 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     chosen = F.when(F.col("score") >= cut.scalar(), F.lit("allow")).otherwise(F.lit("block"))
     judged = told.select("url", "host", "path", "rule", F.coalesce("verdict", chosen).alias("verdict"), "score")
     keyed = rows.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"))
-    return salted_join(keyed, judged, ["url"], [F.col("page_id")], SALTS).drop("url")
+    return keyed.join(judged, "url", "left").drop("url")
 
 
 def op11_url_filter(spark, sf_dir) -> DataFrame:
