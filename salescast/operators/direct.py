@@ -35,10 +35,6 @@ def train_origins(fold: int, n: int, stride: int, horizon: int) -> list[int]:
     return _grid(fold - horizon, n, stride)
 
 
-def fold_pairs(folds: list[int], n: int, stride: int, horizon: int) -> list[tuple[int, int]]:
-    return [(f, o) for f in folds for o in train_origins(f, n, stride, horizon)]
-
-
 def holdout(origins: list[int]) -> tuple[list[int], int]:
     """(training origins, newest origin); needs at least two."""
     if len(origins) < 2:

@@ -13,7 +13,7 @@ from salescast.functions import metrics as M
 from salescast.functions.quantiles import monotone
 from salescast.operators import bias, boosting, direct, drift, eda, features as FE, forecast, monitor, panel
 from salescast.operators import registry, reshape, validate
-from salescast.plans import jobs
+from salescast.plans import backtest, jobs
 from salescast.plans.mart import SalesMart
 from salescast.schema import (
     CALENDAR_ATTRS, DYNAMIC_COLS, ID_COLS, LEVELS, MODEL_COLS, MONITORED_COLS, SALES_LONG_COLS, TARGET_COLS, q_name, q_names,
@@ -39,8 +39,10 @@ AB_PERCENT = 20
 MIN_ROWS = 100_000
 MODEL_NAME = "store-department-prior"
 FILL_COLS = ["sell_price", "price_rel_dept", "price_pct_change", "wday", "snap"]
-# Small boosting budget, so that the rows-only queries stay within minutes on one machine.
-BOOST = boosting.BoostParams(rounds=4, learning_rate=0.3, max_depth=4, min_rows=50, checkpoint_every=2)
+# Boosting budget of the registered fits; the search runs its candidates deeper but for fewer rounds.
+BOOST = boosting.BoostParams(rounds=60, learning_rate=0.1, max_leaves=16, max_depth=4, min_rows=50, checkpoint_every=10)
+SEARCH = boosting.BoostParams(rounds=16, max_depth=8, checkpoint_every=8)
+CANDIDATES = 6
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -697,17 +699,22 @@ def gbt_start_loss(m):
     return m.spark.createDataFrame(rows, "quantile double, start_loss double, never_worse boolean")
 
 
+def boosted_backtest(m: SalesMart) -> DataFrame:
+    path = m.path("boost_backtest", lambda p: backtest.boost_backtest(m.features, m.folds, m.settings, BOOST).write.parquet(p))
+    return m.spark.read.parquet(path)
+
+
 @query
 def backtest_gbt(m):
-    path = m.path(
-        "boost_backtest",
-        lambda p: jobs.boost_backtest(m.features, m.folds, m.settings, BOOST).write.parquet(p),
-    )
+    return boosted_backtest(m)
+
+
+def searched(m: SalesMart) -> DataFrame:
+    tries = jobs.candidates(CANDIDATES, SEED, SEARCH)
+    path = m.path("search", lambda p: jobs.tune(m.spark, m.features, m.origins, m.settings, tries).coalesce(1).write.parquet(p))
     return m.spark.read.parquet(path)
 
 
 @query
 def tune_holdout(m):
-    base = boosting.BoostParams(rounds=2, checkpoint_every=2)
-    tries = jobs.candidates(2, SEED, base)
-    return jobs.tune(m.spark, m.features, m.origins, m.settings, tries)
+    return searched(m)

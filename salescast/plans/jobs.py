@@ -14,14 +14,19 @@ from salescast.functions import metrics as M
 from salescast.operators import direct as D
 from salescast.operators import monitor as MO
 from salescast.operators import panel as P
-from salescast.operators.boosting import BoostParams, QuantileBoostModel, fit_quantile_boost
+from salescast.operators.boosting import Boosting, BoostParams, Fit, QuantileBoostModel, fit_quantile_boost
 from salescast.operators.forecast import Forecaster, catalogue, group_priors
 from salescast.operators.reshape import cap_series, eligible_series, only_state
-from salescast.plans.backtest import refit_backtest
+from salescast.plans.backtest import boost_backtest
 from salescast.schema import MEDIAN, Settings
 from salescast.sources.archive import latest_archive, write_archive
 from salescast.sources.export import save_panel
 
+# Bounds of the hyper-parameter search.
+RATE_RANGE = (0.01, 0.1)
+LEAF_RANGE = (31, 255)
+ROW_RANGE = (20, 200)
+
 
 def selected(features: DataFrame, settings: Settings) -> DataFrame:
     return cap_series(only_state(features, settings.state_filter), settings.max_series, settings.seed)
@@ -32,11 +37,6 @@ def fit_on(features: DataFrame, origins: list[int], settings: Settings, params:
     return fit_quantile_boost(table, settings.quantiles, params)
 
 
-def boost_backtest(features: DataFrame, folds: list[int], settings: Settings, params: BoostParams) -> DataFrame:
-    """Rolling-origin backtest that refits the boosted model before every fold."""
-    return refit_backtest(features, lambda t: fit_quantile_boost(t, settings.quantiles, params), folds, settings)
-
-
 def evaluate(
     spark: SparkSession, features: DataFrame, settings: Settings, params: BoostParams, out: str
 ) -> DataFrame:
@@ -64,7 +64,7 @@ def train(
         "finished": F.current_timestamp(),
         "rounds": F.lit(params.rounds),
         "learning_rate": F.lit(params.learning_rate),
-        "max_depth": F.lit(params.max_depth),
+        "max_leaves": F.lit(params.max_leaves),
         "model_path": F.lit(f"{out}/model"),
         "train_rows": F.lit(model.train_rows),
         "n_series": F.lit(chosen.select("id").distinct().count()),
@@ -97,35 +97,50 @@ def compare(
 
 
 def candidates(n: int, seed: int, base: BoostParams) -> list[BoostParams]:
-    """Random search space: log-uniform rate, tree depth for 31-255 leaves, rows per leaf."""
+    """Random draws from the search space: log-uniform rate, leaves, rows per leaf."""
     rng = random.Random(seed)
+    low, high = map(math.log, RATE_RANGE)
     return [
         replace(
             base,
-            learning_rate=math.exp(rng.uniform(math.log(0.01), math.log(0.1))),
-            max_depth=rng.randint(5, 8),
-            min_rows=rng.randint(20, 200),
+            learning_rate=math.exp(rng.uniform(low, high)),
+            max_leaves=rng.randint(*LEAF_RANGE),
+            min_rows=rng.randint(*ROW_RANGE),
         )
         for _ in range(n)
     ]
 
 
 def tune(
-    spark: SparkSession, features: DataFrame, origins: list[int], settings: Settings, tries: list[BoostParams]
+    spark: SparkSession, features: DataFrame, origins: list[int], settings: Settings, tries: list[BoostParams],
+    rungs: int = 3,
 ) -> DataFrame:
-    """WAPE of every candidate on the newest origin, which no candidate has trained on."""
+    """WAPE of every candidate on the newest origin, which no candidate has trained on.
+
+    All candidates grow in the same jobs over one binned table, which also carries the held-out rows. At each
+    rung, a half, a quarter, ... of the full rounds before the last, the worse half stops; ``rounds`` says how far
+    a candidate came.
+    """
     known, newest = D.holdout(origins)
-    test = D.direct_table(features, [newest], settings.horizon)
-    scores = []
-    for i, params in enumerate(tries):
-        model = fit_on(features, known, settings, params)
-        wape = model(test).agg(M.wape("sales", MEDIAN)).first()[0]
-        scores.append((i, params.learning_rate, params.max_depth, params.min_rows, wape))
-    table = spark.createDataFrame(
-        scores, "candidate int, learning_rate double, max_depth int, min_rows int, val_wape double"
+    table = D.direct_table(features, [*known, newest], settings.horizon)
+    rows = F.col("origin") != newest
+    boosting = Boosting(table, settings.quantiles, {i: Fit(p, rows) for i, p in enumerate(tries)})
+    full = max(p.rounds for p in tries)
+    alive, done, wape, came = list(range(len(tries))), 0, {}, {}
+    for stop in sorted({max(1, full >> k) for k in range(rungs)}):
+        while done < stop:
+            boosting.round(alive)
+            done += 1
+        wape |= boosting.held_out_wape(alive)
+        came |= dict.fromkeys(alive, done)
+        last = alive
+        alive = sorted(alive, key=lambda i: (wape[i] is None, wape[i], i))[: -(-len(alive) // 2)]
+    boosting.close()
+    best = min(last, key=lambda i: (wape[i] is None, wape[i], i))
+    return spark.createDataFrame(
+        [(i, p.learning_rate, p.max_leaves, p.min_rows, came[i], wape[i], i == best) for i, p in enumerate(tries)],
+        "candidate int, learning_rate double, max_leaves int, min_rows int, rounds int, val_wape double, best boolean",
     )
-    best = table.agg(F.min_by("candidate", "val_wape")).scalar()
-    return table.withColumn("best", F.col("candidate") == best)
 
 
 def run_batch(

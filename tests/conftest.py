@@ -77,15 +77,35 @@ def prices(spark):
     return spark.createDataFrame(rows, "store_id string, item_id string, wm_yr_wk int, sell_price double")
 
 
-def designed(spark, series=("S1", "S2", "S3"), days=80):
-    """3 series x 80 days with sales = lag_7 = lag_28 = d."""
+# Series of the feature table: their stores differ, their department is one. The last one can be cut short.
+SERIES = ["elm-east", "oak-east", "oak-west", "fir-east"]
+COLD = "fir-east"
+LAST_DAY = 96
+
+
+def units(name: str, d: int, series=SERIES) -> int:
+    """Rising units whose place in the series can be told from the value."""
+    return 2 * d + 7 * (list(series).index(name) % 5)
+
+
+def designed(spark, series=SERIES, days=LAST_DAY):
+    """Feature rows with true lags and rolling statistics of :func:`units`, a price step every 24 days and one fair."""
     rows = []
     for s, name in enumerate(series):
+        west = name.endswith("west")
         for d in range(1, days + 1):
+            y = [units(name, k, series) for k in range(1, d + 1)]
+            past = y[:-1]
+            rolling = []
+            for w in (7, 28):
+                cut = past[-w:]
+                mean = sum(cut) / w if len(cut) == w else None
+                rolling += [mean, (sum((v - mean) ** 2 for v in cut) / (w - 1)) ** 0.5 if mean is not None else None]
+            lag = [float(past[-k]) if len(past) >= k else None for k in (7, 28)]
             rows.append((
-                name, name, "FOODS_1", "FOODS", "CA_1", "CA", d, d, float(d), float(d),
-                float((d + s) % 5), float((d * 7 + s) % 10) / 10, float((d + s) % 6), float((d * 3 + s) % 10) / 10,
-                d % 7 + 1, (d // 30) % 12 + 1, "None", "None", d % 2, 2 + (d % 5) * 0.1, 1.0,
+                name, name.split("-")[0], "TREES_2", "TREES", "NV_2" if west else "OR_4", "NV" if west else "OR", d, y[-1], *lag, *rolling,
+                (d + 2) % 7 + 1, 3 + d // 31, "Fair" if d % 40 == 9 else None, "Cultural" if d % 40 == 9 else None,
+                int(d % 5 < 2), 6.5 + s % 5 + 0.75 * (d // 24), 0.9 + 0.05 * (s % 5),
             ))
     return spark.createDataFrame(
         rows,
@@ -102,4 +122,4 @@ def feature_rows(spark):
 
 @pytest.fixture
 def cold_rows(feature_rows):
-    return feature_rows.where((F.col("id") != "S3") | (F.col("d") <= 10))
+    return feature_rows.where((F.col("id") != COLD) | (F.col("d") <= 10))

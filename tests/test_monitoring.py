@@ -71,7 +71,7 @@ def test_drift_table_flags_and_skips_absent_columns(spark):
 
 
 def archived(features, path, run_date="2024-01-02"):
-    model = FC.prior_forecaster(features, [75], QS, 28)
+    model = FC.prior_forecaster(features, [91], QS, 28)
     jobs.run_batch(features, model, path, run_date, "prior", "v1", SMALL)
 
 
@@ -82,14 +82,14 @@ def test_batch_archive_and_monitoring(spark, cold_rows, tmp_path):
     archived(cold_rows, path)
     batch = latest_archive(spark, path)
     health = MO.operational_summary(batch).first()
-    assert health["n_forecasts"] == 15 and health["n_series"] == 3 and health["n_cold_start_series"] == 1
-    assert health["horizons"] == 5 and health["origin"] == 75 and health["run_date"] == "2024-01-02"
-    # S3 has no observed days after the origin, so only two series can be scored.
+    assert health["n_forecasts"] == 20 and health["n_series"] == 4 and health["n_cold_start_series"] == 1
+    assert health["horizons"] == 5 and health["origin"] == 91 and health["run_date"] == "2024-01-02"
+    # The cut series has no observed days after the origin, so only three series can be scored.
     scored = MO.score_forecasts(batch, cold_rows, QS).orderBy("horizon").collect()
-    assert [r["horizon"] for r in scored] == [1, 2, 3, 4, 5] and {r["n"] for r in scored} == {2}
+    assert [r["horizon"] for r in scored] == [1, 2, 3, 4, 5] and {r["n"] for r in scored} == {3}
     jobs.run_monitoring(spark, cold_rows, path, f"{tmp_path}/out", SMALL)
     head = spark.read.json(f"{tmp_path}/out/headline").first()
-    assert head["n_scored"] == 10 and head["n_series"] == 3
+    assert head["n_scored"] == 15 and head["n_series"] == 4
     assert spark.read.json(f"{tmp_path}/out/data_drift").count() == 6
 
 
@@ -97,9 +97,9 @@ def test_nothing_observed_scores_minus_one(spark, feature_rows, tmp_path):
     path = f"{tmp_path}/archive"
     archived(feature_rows, path)
     batch = spark.read.parquet(path)
-    early = feature_rows.where(F.col("d") <= 75)
+    early = feature_rows.where(F.col("d") <= 91)
     assert MO.score_forecasts(batch, early, QS).count() == 0
-    head = MO.summary(batch, early, 75, SMALL)
+    head = MO.summary(batch, early, 91, SMALL)
     assert head.first()["forecast_wape"] == -1.0 and head.first()["n_scored"] == 0
     assert not MO.retrain_trigger(head).first()["retrain"]
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from conftest import COLD, SERIES
 from pyspark.sql import functions as F
 
 from salescast.operators import reshape as R
@@ -54,13 +55,13 @@ def test_cap_is_reproducible_and_zero_keeps_all(feature_rows):
 
 def test_eligible_series_need_history(cold_rows):
     got = {r["id"] for r in R.eligible_series(cold_rows, 47, 33, 5, 42).collect()}
-    assert got == {"S1", "S2"}
+    assert got == set(SERIES) - {COLD}
 
 
 def test_state_filter(feature_rows):
-    assert R.only_state(feature_rows, "CA").count() == 240
+    assert R.only_state(feature_rows, "OR").count() == 288
     assert R.only_state(feature_rows, "TX").count() == 0
-    assert R.only_state(feature_rows, "").count() == 240
+    assert R.only_state(feature_rows, "").count() == 384
 
 
 def test_history_window_cuts_and_skips_series_without_history(spark):
@@ -80,16 +81,16 @@ def test_label_frame(spark):
 
 
 def test_sample_has_record_id_and_event_time(feature_rows):
-    out = R.feature_sample(feature_rows, "2011-01-29", 5).orderBy("d").collect()
-    assert len(out) == 5 and out[0]["record_id"] == "S1_1"
-    assert out[0]["event_time"] == "2011-01-29T00:00:00Z" and out[1]["event_time"] == "2011-01-30T00:00:00Z"
+    out = R.feature_sample(feature_rows, "2014-03-05", 5).orderBy("d").collect()
+    assert len(out) == 5 and out[0]["record_id"] == "elm-east_1"
+    assert out[0]["event_time"] == "2014-03-05T00:00:00Z" and out[1]["event_time"] == "2014-03-06T00:00:00Z"
 
 
 def test_as_of_never_looks_ahead(cold_rows):
     got = {r["id"]: r["d"] for r in R.as_of(cold_rows, 40, ["sales"]).collect()}
-    assert got == {"S1": 40, "S2": 40, "S3": 10}
-    top = R.newest_rows(cold_rows, "2011-02-01T00:00:00Z", "2011-01-29", 4).collect()
-    assert [r["d"] for r in top] == [4, 4, 4, 3]
+    assert got == dict.fromkeys(SERIES, 40) | {COLD: 10}
+    top = R.newest_rows(cold_rows, "2014-03-08T00:00:00Z", "2014-03-05", 5).collect()
+    assert [r["d"] for r in top] == [4, 4, 4, 4, 3]
 
 
 def test_calendar_export_writes_iso_dates(calendar):

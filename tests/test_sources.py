@@ -78,23 +78,23 @@ def test_quality_rules(feature_rows):
     bad = feature_rows.withColumn("sales", F.when(F.col("d") == 1, -1).otherwise(F.col("sales"))).withColumn(
         "sell_price", F.when(F.col("d") == 2, None).otherwise(F.col("sell_price")))
     got = {r["rule"]: (r["observed"], r["passed"]) for r in V.quality_rules(bad, 1000).collect()}
-    assert got["sales >= 0"] == (3, False) and got["sell_price > 0"] == (3, False) and not got["row count > 1000"][1]
+    assert got["sales >= 0"] == (4, False) and got["sell_price > 0"] == (4, False) and not got["row count > 1000"][1]
 
 
 def test_feature_scan_pushes_state_and_columns(spark, feature_rows, tmp_path):
     path = f"{tmp_path}/features"
     T.write_features(feature_rows.withColumn("unused", F.lit(1)), path)
-    out = T.load_features(spark, path, "CA", 2, 42)
+    out = T.load_features(spark, path, "OR", 2, 42)
     assert out.select("id").distinct().count() == 2 and "unused" not in out.columns
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(state_id,CA)" in plan and "unused" not in plan
+    assert "EqualTo(state_id,OR)" in plan and "unused" not in plan
     assert T.load_features(spark, path, "TX").count() == 0
 
 
 def test_views_answer_sql(spark, wide, calendar, prices, feature_rows):
     T.register_views(R.to_long(wide), calendar, prices, feature_rows)
     assert spark.sql("SELECT count(DISTINCT id) n FROM sales_long").first()["n"] == 4
-    assert spark.sql("SELECT count(*) n FROM features").first()["n"] == 240
+    assert spark.sql("SELECT count(*) n FROM features").first()["n"] == 384
 
 
 def test_catalog_tables_over_folders(spark, wide, calendar, prices, feature_rows, tmp_path):
@@ -107,7 +107,7 @@ def test_catalog_tables_over_folders(spark, wide, calendar, prices, feature_rows
     assert [r["state_id"] for r in got.collect()] == ["OR", "NV"]
     for name in named:
         spark.sql(f"DROP TABLE default.{name}")  # external: the files stay
-    assert spark.read.parquet(f"{tmp_path}/features").count() == 240
+    assert spark.read.parquet(f"{tmp_path}/features").count() == 384
 
 
 def forecasts(spark, value):
