@@ -258,25 +258,29 @@ class Boosting:
         cells = inputs * width
         slots = []
         for k, i in enumerate(places):
-            slot = np.full(len(forest.feature), -1, np.int64)
+            slot = np.full(len(forest.value), -1, np.int64)
             for s, node in enumerate(nodes[i]):
                 slot[forest.root[k] + node] = s
             slots.append(slot)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = [np.zeros((len(nodes[i]) * cells, 2), np.int64) for i in places]
+            sums = [np.zeros(len(nodes[i]) * cells * 2, np.int64) for i in places]
             base = np.arange(inputs, dtype=np.int64) * width
             for batch in batches:
                 y, member, bins, at = read(batch)
-                flat = base + bins
+                flat = 2 * (base + bins)
                 for k, i in enumerate(places):
                     slot = slots[k][forest.apply(k, bins)]
-                    use = np.flatnonzero((slot >= 0) & ((member >> bit[k]) & 1 == 1))
-                    cell = slot[use, None] * cells + flat[use]
-                    under = y[use] <= at[use, i]
-                    sums[k][:, 0] += np.bincount(cell.ravel(), minlength=len(sums[k]))
-                    sums[k][:, 1] += np.bincount(cell[under].ravel(), minlength=len(sums[k]))
-            out = [(i, node, sums[k].reshape(len(nodes[i]), -1)[s]) for k, i in enumerate(places) for s, node in enumerate(nodes[i])]
+                    use = (slot >= 0) & ((member >> bit[k]) & 1 == 1)
+                    # One count per node, input, code and side of the forecast.
+                    place = slot * (2 * cells) + (y <= at[:, i])
+                    cell = flat + place[:, None] if use.all() else flat[use] + place[use, None]
+                    sums[k] += np.bincount(cell.ravel(), minlength=len(sums[k]))
+            out = []
+            for k, i in enumerate(places):
+                sides = sums[k].reshape(len(nodes[i]), cells, 2)
+                both = np.stack([sides.sum(2), sides[..., 1]], 2)  # rows, and rows at or under their forecast
+                out += [(i, node, both[s]) for s, node in enumerate(nodes[i])]
             yield pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int32()),
                 pa.array([r[2].tobytes() for r in out], pa.binary())], names=["tree", "node", "counts"])

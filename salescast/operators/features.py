@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from salescast.functions.joins import salted_join
 from salescast.operators.reshape import listed_only
 from salescast.schema import CALENDAR_ATTRS, ID_COLS, SNAP_PREFIX, Settings, snap_states
+from salescast.session import deal_by_key_subset
 
 # Prices are averaged as whole millionths: the sum is exact in any order.
 PRICE_UNIT = 1_000_000
@@ -79,36 +80,35 @@ def price_features(prices: DataFrame) -> DataFrame:
 PRICE_FEATURES = ["sell_price", "price_pct_change", "price_rel_dept"]
 
 
-def series_prices(sales: DataFrame, prices: DataFrame) -> DataFrame:
-    """One row per series: its identity and a map from week to price features.
-
-    The map is bounded by the weeks on record.
-    """
-    keys = ["store_id", "item_id"]
-    per_item = price_features(prices).groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("wm_yr_wk", F.struct(*PRICE_FEATURES)))).alias("_weeks")
-    )
-    return sales.select(*ID_COLS).distinct().join(per_item, keys, "left")
+def series_table(sales: DataFrame) -> DataFrame:
+    """One row per series with its identity, combined before the shuffle."""
+    return sales.select(*ID_COLS).distinct()
 
 
-def week_prices() -> list:
-    """The price features of the row's week; NULL before the first listed week."""
-    week = F.try_element_at("_weeks", F.col("wm_yr_wk"))
-    return [week[c].alias(c) for c in PRICE_FEATURES]
+def series_prices(series: DataFrame, prices: DataFrame) -> DataFrame:
+    """Weekly price features by series id: (id, wm_yr_wk, price features)."""
+    keys = ["store_id", "item_id"]
+    return price_features(prices).join(series.select("id", *keys), keys).select("id", "wm_yr_wk", *PRICE_FEATURES)
 
 
-def attach_prices(daily: DataFrame, prices: DataFrame) -> DataFrame:
-    """Daily rows (with identity and week) and their week's price features.
+def merge_by_series(daily: DataFrame, weekly: DataFrame) -> DataFrame:
+    """Daily rows (with id and week) and their week's price features; NULL before the first listed week.
 
-    The weeks of a series join as one row on the series id, so the daily table is exchanged by
-    series and not by week.
+    Both sides are dealt by the series id alone, a part of the join key: daily rows that windows have
+    already exchanged by series stay where they lie and keep their order, and the weekly rows of
+    their series come to them. Weekly rows are few beside daily ones and are the hashed side.
     """
-    per_series = series_prices(daily, prices).select("id", "_weeks")
-    return daily.join(per_series, "id", "left").select(
-        *[daily[c] for c in daily.columns], *week_prices()
+    deal_by_key_subset(daily.sparkSession)
+    return daily.join(weekly.hint("shuffle_hash"), ["id", "wm_yr_wk"], "left").select(
+        *[daily[c] for c in daily.columns], *[weekly[c] for c in PRICE_FEATURES]
     )
 
 
+def attach_prices(daily: DataFrame, prices: DataFrame, series: DataFrame | None = None) -> DataFrame:
+    """Daily rows (with identity and week) and their week's price features."""
+    return merge_by_series(daily, series_prices(series_table(daily) if series is None else series, prices))
+
+
 def lag_columns(lags) -> list:
     by_day = Window.partitionBy("id").orderBy("d")
     return [F.lag("sales", k).over(by_day).alias(f"lag_{k}") for k in lags]
@@ -156,19 +156,20 @@ def with_history(daily: DataFrame, lags, windows) -> DataFrame:
 
 
 def build_features(
-    sales: DataFrame, calendar: DataFrame, prices: DataFrame, settings: Settings = Settings()
+    sales: DataFrame, calendar: DataFrame, prices: DataFrame, settings: Settings = Settings(),
+    series: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table, one row per series and listed day.
 
     The daily table crosses the network and is sorted once, by series and day, as (id, d,
-    units) only: the windows come first, and identity and prices then join on the series in
-    the order the windows left. Windows run over the full day grid before the pre-release rows
-    go, so k rows are k days.
+    units) only: the windows come first, and identity and weekly prices then join on the exchange
+    by series that the windows made. Windows run over the full day grid before the pre-release
+    rows go, so k rows are k days. ``series`` (:func:`series_table`) saves a second scan of the sales.
     """
+    series = series_table(sales) if series is None else series
     history = with_history(sales.select("id", "d", "sales"), settings.lags, settings.windows)
-    known = history.join(series_prices(sales, prices), "id", "left")
-    dated = attach_calendar(known, calendar)
-    full = dated.select(*[c for c in dated.columns if c != "_weeks"], *week_prices())
+    known = history.join(series.select(*ID_COLS), "id", "left")
+    full = merge_by_series(attach_calendar(known, calendar), series_prices(series, prices))
     out = listed_only(full) if settings.drop_pre_release else full
     front = [*ID_COLS, "d", *CALENDAR_ATTRS, "snap", "sales", "sell_price", "price_pct_change", "price_rel_dept"]
     return out.select(*front, *[c for c in out.columns if c not in front])

@@ -50,33 +50,41 @@ class Tree:
 
 
 class Forest:
-    """Trees end to end in arrays; ``apply`` walks one tree for many rows at once."""
+    """Trees end to end in arrays; ``apply`` walks one tree for many rows at once.
+
+    The right child of a split stands behind its left one, and a leaf is its own left child, to which
+    every code goes: all rows take the same steps.
+    """
 
     def __init__(self, trees: list[Tree]):
         sizes = [len(t.feature) for t in trees]
-        self.root = np.cumsum([0, *sizes])[:-1].astype(np.int32)
+        self.root = np.cumsum([0, *sizes])[:-1].astype(np.int64)
         self.depth = [t.depth for t in trees]
-        base = np.repeat(self.root, sizes)
         cat = lambda name, dtype: np.array([v for t in trees for v in getattr(t, name)], dtype)
-        self.feature = cat("feature", np.int16)
-        self.left, self.right = cat("left", np.int32) + base, cat("right", np.int32) + base
+        feature = cat("feature", np.int64)
+        leaf = feature == LEAF
+        self.feature = np.where(leaf, 0, feature)
+        self.left = np.where(leaf, np.arange(len(feature)), cat("left", np.int64) + np.repeat(self.root, sizes))
         self.value = cat("value", np.float64)
-        masks = b"".join(m for t in trees for m in t.mask)
-        self.mask = np.frombuffer(masks, np.uint8).reshape(-1, MASK_BYTES)
+        masks = np.frombuffer(b"".join(m for t in trees for m in t.mask), np.uint8).reshape(-1, MASK_BYTES)
+        bits = np.unpackbits(masks, axis=1, bitorder="little")
+        used = np.flatnonzero(bits.any(0))
+        # Codes behind the last one that goes left anywhere share a column.
+        self.width = int(used[-1]) + 2 if len(used) else 1
+        bits = np.append(bits, np.zeros((len(bits), 1), np.uint8), 1)[:, : self.width]
+        self.goes_right = (1 - np.where(leaf[:, None], 1, bits)).astype(np.uint8).ravel()
 
     def apply(self, tree: int, bins: np.ndarray) -> np.ndarray:
         """The leaf (in this forest's numbering) of every row of ``bins``."""
-        row = np.arange(len(bins))
-        node = np.full(len(bins), self.root[tree], np.int32)
+        flat, at = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+        node = np.full(len(bins), self.root[tree], np.int64)
         for _ in range(self.depth[tree]):
-            f = self.feature[node]
-            code = bins[row, np.maximum(f, 0)]
-            goes = (self.mask[node, code >> 3] >> (code & 7)) & 1
-            node = np.where(f == LEAF, node, np.where(goes == 1, self.left[node], self.right[node]))
+            code = np.minimum(flat.take(at + self.feature.take(node)), self.width - 1)
+            node = self.left.take(node) + self.goes_right.take(node * self.width + code)
         return node
 
     def gain(self, tree: int, bins: np.ndarray) -> np.ndarray:
-        return self.value[self.apply(tree, bins)]
+        return self.value.take(self.apply(tree, bins))
 
 
 def best_split(counts: np.ndarray, q: float, categories: np.ndarray, min_rows: int):

@@ -41,7 +41,7 @@ MODEL_NAME = "store-department-prior"
 FILL_COLS = ["sell_price", "price_rel_dept", "price_pct_change", "wday", "snap"]
 # Boosting budget of the registered fits; the search runs its candidates deeper but for fewer rounds.
 BOOST = boosting.BoostParams(rounds=60, learning_rate=0.1, max_leaves=16, max_depth=4, min_rows=50, checkpoint_every=10)
-SEARCH = boosting.BoostParams(rounds=16, max_depth=8, checkpoint_every=8)
+SEARCH = boosting.BoostParams(rounds=12, max_depth=6, checkpoint_every=6)
 CANDIDATES = 6
 
 
@@ -94,7 +94,7 @@ def calendar_snap(m):
 @query
 def price_features(m):
     daily = FE.attach_calendar(m.sales, m.calendar, attrs=["wm_yr_wk"], snap=False)
-    return FE.attach_prices(daily, m.prices).select(
+    return FE.attach_prices(daily, m.prices, m.series).select(
         "id", "d", "sell_price", "price_pct_change", "price_rel_dept"
     )
 
@@ -114,7 +114,7 @@ def rolling_features(m):
 @query
 def pre_release_drop(m):
     daily = FE.attach_calendar(m.sales, m.calendar, attrs=["wm_yr_wk"], snap=False)
-    return reshape.listed_only(FE.attach_prices(daily, m.prices)).select("id", "d", "sales", "sell_price")
+    return reshape.listed_only(FE.attach_prices(daily, m.prices, m.series)).select("id", "d", "sales", "sell_price")
 
 
 # -- sources and sinks --------------------------------------------------------------------
@@ -699,6 +699,41 @@ def gbt_start_loss(m):
     return m.spark.createDataFrame(rows, "quantile double, start_loss double, never_worse boolean")
 
 
+@query
+def train_gbt_checks(m):
+    """Per quantile: rows of the fit, losses noted, and whether all trees keep to their leaves and the loss fell."""
+    model = boosted(m)
+    rows = [(
+        q, model.train_rows, len(model.losses), all(len(stage[q].leaves) <= BOOST.max_leaves for stage in model.rounds),
+        model.losses[-1][q] < model.losses[0][q],
+    ) for q in model.quantiles]
+    return m.spark.createDataFrame(rows, "quantile double, train_rows long, n_losses long, leaves_kept boolean, fell boolean")
+
+
+@query
+def forecast_gbt_checks(m):
+    """Per horizon: series forecast, units that came, and rows that break the rules of a forecast."""
+    qs, names = m.settings.quantiles, q_names(m.settings.quantiles)
+    scored = boosted(m)(direct.direct_table(m.features, [m.origin], m.settings.horizon))
+    holes = F.count_if(F.greatest(*[F.col(c).isNull().cast("int") for c in names]) > 0)
+    return scored.groupBy("horizon").agg(
+        *forecast.gate_columns(qs), F.countDistinct("id").alias("n_series"), holes.alias("n_null"),
+        F.sum(F.col("sales").cast("long")).alias("units"),
+    )
+
+
+@query
+def backtest_gbt_checks(m):
+    """Per fold: rows, series, units that came, broken rows, and whether the boosted median beats the last season's."""
+    wape = M.wape("actual", "q50").alias("wape")
+    naive = m.naive_backtest.groupBy("origin").agg(wape.alias("naive_wape"))
+    boosted_folds = boosted_backtest(m).groupBy("origin").agg(
+        *forecast.gate_columns(m.settings.quantiles), F.countDistinct("id").alias("n_series"),
+        F.sum(F.col("actual").cast("long")).alias("units"), wape,
+    )
+    return boosted_folds.join(naive, "origin").withColumn("beats_naive", F.col("wape") < F.col("naive_wape")).drop("wape", "naive_wape")
+
+
 def boosted_backtest(m: SalesMart) -> DataFrame:
     path = m.path("boost_backtest", lambda p: backtest.boost_backtest(m.features, m.folds, m.settings, BOOST).write.parquet(p))
     return m.spark.read.parquet(path)
@@ -718,3 +753,14 @@ def searched(m: SalesMart) -> DataFrame:
 @query
 def tune_holdout(m):
     return searched(m)
+
+
+@query
+def tune_holdout_checks(m):
+    """Candidates scored, how many came through all rounds, and whether the best one is the least of those."""
+    full = F.col("rounds") == SEARCH.rounds
+    return searched(m).agg(
+        F.count(F.lit(1)).alias("n_candidates"), F.count("val_wape").alias("n_scored"), F.count_if(full).alias("n_full"),
+        F.count_if("best").alias("n_best"),
+        (F.min(F.when(F.col("best"), F.col("val_wape"))) == F.min(F.when(full, F.col("val_wape")))).alias("best_is_least"),
+    )

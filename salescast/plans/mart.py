@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from salescast.operators.direct import last_day, origins_ending
-from salescast.operators.features import build_features
+from salescast.operators.features import build_features, series_table
 from salescast.plans.backtest import backtest
 from salescast.operators.forecast import group_priors, prior_forecaster, seasonal_naive_forecaster
 from salescast.schema import Settings
@@ -54,8 +54,13 @@ class SalesMart:
     def prices(self) -> DataFrame:
         return self._stage("prices", lambda: starschema.weekly_prices(self.daily))
 
+    @cached_property
+    def series(self) -> DataFrame:
+        """One row per series with its identity."""
+        return self._stage("series", lambda: series_table(self.sales))
+
     def build_features(self) -> DataFrame:
-        return build_features(self.sales, self.calendar, self.prices, self.settings)
+        return build_features(self.sales, self.calendar, self.prices, self.settings, self.series)
 
     @cached_property
     def features(self) -> DataFrame:

@@ -47,7 +47,7 @@ feat0 AS (SELECT sl.*, pf.sell_price, pf.price_pct_change, pf.price_rel_dept,
    FROM sales_long sl LEFT JOIN pf USING (store_id,item_id,wm_yr_wk)
    WINDOW w AS (PARTITION BY id ORDER BY d), w7 AS (PARTITION BY id ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING),
           w28 AS (PARTITION BY id ORDER BY d ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)),
-feat AS (SELECT * FROM feat0 WHERE sell_price IS NOT NULL),
+feat AS MATERIALIZED (SELECT * FROM feat0 WHERE sell_price IS NOT NULL),
 lastd AS (SELECT max(d) AS last FROM feat)
 """
 
@@ -104,13 +104,13 @@ NAIVE = f"""naive AS (SELECT {cols(IDS, 'x')}, x.origin, x.horizon, x.target_day
 
 BACKTEST = (FOLDS, DIRECT, PRIORS, PRED)
 
-COLD = f"""cold AS (SELECT id, count(*) AS n_days FROM feat, orig WHERE d<=origin GROUP BY id HAVING count(*)<{S.min_history})"""
+COLD = f"""cold AS MATERIALIZED (SELECT id, count(*) AS n_days FROM feat, orig WHERE d<=origin GROUP BY id HAVING count(*)<{S.min_history})"""
 PRED_KEYS = f"{cols(IDS)}, origin, horizon, target_day"
 CATALOGUE = f"""cat0 AS (
-   SELECT {PRED_KEYS}, {cols(QN)}, false AS is_cold_start FROM pred WHERE NOT EXISTS (SELECT 1 FROM cold c WHERE c.id=pred.id)
+   SELECT {PRED_KEYS}, {cols(QN)}, false AS is_cold_start FROM pred ANTI JOIN cold USING (id)
    UNION ALL
    SELECT {cols(IDS, 's')}, o.origin, CAST(h AS INTEGER) AS horizon, CAST(o.origin+h AS INTEGER) AS target_day, {Q_FILLED}, true AS is_cold_start
-   FROM (SELECT DISTINCT {cols(IDS)} FROM feat WHERE id IN (SELECT id FROM cold)) s CROSS JOIN orig o CROSS JOIN range(1,{H + 1}) t(h)
+   FROM (SELECT DISTINCT {cols(IDS)} FROM feat SEMI JOIN cold USING (id)) s CROSS JOIN orig o CROSS JOIN range(1,{H + 1}) t(h)
    LEFT JOIN priors p ON p.origin=o.origin AND p.store_id=s.store_id AND p.dept_id=s.dept_id)"""
 # The newest batch of the archive: one origin, whose series are all warm or cold by the same rule.
 BATCH = (LATEST, DIRECT, PRIORS, PRED, COLD, CATALOGUE)
@@ -559,3 +559,19 @@ ORACLE["gbt_start_loss"] = sql(
     select="SELECT CAST(quantile AS DOUBLE) AS quantile, round(avg(greatest(quantile*(sales-v), (quantile-1)*(sales-v))), 6) AS start_loss, "
     "true AS never_worse FROM start, direct GROUP BY 1",
 )
+ORACLE["train_gbt_checks"] = sql(
+    TRAIN, DIRECT, select=f"SELECT CAST(quantile AS DOUBLE) AS quantile, n AS train_rows, CAST(61 AS BIGINT) AS n_losses, true AS leaves_kept, "
+    f"true AS fell FROM (SELECT unnest({Q}) AS quantile), (SELECT count(*) AS n FROM direct)",
+)
+BROKEN = "CAST(0 AS BIGINT) AS n_negative, CAST(0 AS BIGINT) AS n_crossing, count(DISTINCT id) AS n_series"
+ORACLE["forecast_gbt_checks"] = sql(
+    LATEST, DIRECT, select=f"SELECT horizon, count(*) AS n_rows, {BROKEN}, CAST(0 AS BIGINT) AS n_null, CAST(sum(sales) AS BIGINT) AS units FROM direct GROUP BY horizon",
+)
+ORACLE["backtest_gbt_checks"] = sql(
+    FOLDS, DIRECT, select=f"SELECT origin, count(*) AS n_rows, {BROKEN}, CAST(sum(sales) AS BIGINT) AS units, true AS beats_naive FROM direct GROUP BY origin",
+)
+# Six candidates; three go on at a quarter of the rounds, two at the half.
+ORACLE["tune_holdout_checks"] = sql(
+    LATEST, DIRECT, select="SELECT CAST(6 AS BIGINT) AS n_candidates, CAST(6 AS BIGINT) AS n_scored, CAST(2 AS BIGINT) AS n_full, "
+    "CAST(1 AS BIGINT) AS n_best, count(*) > 0 AS best_is_least FROM direct",
+)

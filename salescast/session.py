@@ -38,6 +38,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_base(spark)}/{name}-{uuid4().hex[:12]}"
 
 
+def deal_by_key_subset(spark: SparkSession) -> None:
+    """Let a join keep an exchange by a part of its keys in this session, instead of dealing by all of them anew."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of an iterative frame."""
     scratch_base(df.sparkSession)

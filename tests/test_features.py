@@ -114,17 +114,25 @@ def plan_of(df):
 
 
 def test_feature_plan_moves_the_daily_rows_once(wide, calendar, prices, tmp_path, spark):
-    for name, df in [("s", R.to_long(wide)), ("c", calendar), ("p", prices)]:
+    long = R.to_long(wide)
+    for name, df in [("sales", long), ("calendar", calendar), ("prices", prices), ("series", FE.series_table(long))]:
         df.write.parquet(f"{tmp_path}/{name}")
-    sales, cal, pr = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("s", "c", "p"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+    sales, cal, pr, series = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("sales", "calendar", "prices", "series"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lines = plan_of(FE.build_features(sales, cal, pr, SMALL)).splitlines()
+        built = FE.build_features(sales, F.broadcast(cal), pr, SMALL, series)
+        lines = plan_of(built).splitlines()
+        rows = built.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    by_series = [x for x in lines if "Exchange hashpartitioning(id" in x and "store_id" not in x]
-    # one for the daily rows and one for the weekly price maps
-    assert len(by_series) <= 2
+    assert rows == FE.build_features(long, calendar, prices, SMALL).count()
+    scans = [x for x in lines if "FileScan" in x and f"{tmp_path}/sales" in x]
+    assert len(scans) == 1 and "ReadSchema: struct<id:string,d:int,sales:int>" in scans[0]
+    # The daily rows cross the network by series only; week, identity and prices come to them.
+    dealt = [x for x in lines if "Exchange hashpartitioning(" in x]
+    assert not [x for x in dealt if "wm_yr_wk" in x and "hashpartitioning(id" in x]
+    assert sum("ShuffledHashJoin [id" in x and "wm_yr_wk" in x for x in lines) == 1
+    assert not [x for x in lines if "map_from_entries" in x or "element_at" in x]
     assert sum("Sort [id" in x and ", d#" in x for x in lines) == 1
 
 
