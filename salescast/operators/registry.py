@@ -1,10 +1,19 @@
-"""Model registry as a small table: newest version, promotion, rollback, traffic split."""
+"""Model registry as an append-only log of events: newest version, promotion, rollback, traffic split.
+
+The state of the registry is the fold of its events. A command reads the state, decides, and commits one
+event under the next number; where another command has taken that number it fails with
+:class:`~salescast.session.Conflict` and nothing is changed.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salescast.session import create_once, path_exists
+
 # Approval states.
 APPROVED = "Approved"
 PENDING = "PendingManualApproval"
@@ -67,6 +76,80 @@ def rolled_back(registry: DataFrame) -> DataFrame:
     return ranked.withColumn("status", F.when(top, F.lit(REJECTED)).otherwise(F.col("status"))).drop("_rank")
 
 
+# -- the log ----------------------------------------------------------------------------------
+
+EVENTS = "seq long, event string, version int, created long, status string, wape double, reason string"
+REGISTERED, MOVED = "registered", "moved"
+
+
+def events(spark: SparkSession, path: str) -> DataFrame:
+    """All committed events; an absent log is an empty one."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], EVENTS)
+    return spark.read.schema(EVENTS).json(path)
+
+
+def state(log: DataFrame) -> DataFrame:
+    """(version, created, status, wape) of every version: its registration, and the status of its last event."""
+    born = F.col("event") == REGISTERED
+    return log.groupBy("version").agg(
+        F.max(F.when(born, F.col("created"))).alias("created"), F.max_by("status", "seq").alias("status"),
+        F.max(F.when(born, F.col("wape"))).alias("wape"),
+    )
+
+
+def last_seq(log: DataFrame) -> int:
+    return log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+
+
+def commit(spark: SparkSession, path: str, seen: int, **event) -> int:
+    """Append one event on top of the ``seen`` ones; returns its number."""
+    seq = seen + 1
+    create_once(spark, f"{path}/{seq:012d}.json", json.dumps({"seq": seq, **event}) + "\n")
+    return seq
+
+
+def register(spark: SparkSession, path: str, created: int, wape: float | None, line: float | None = REGISTER_WAPE) -> int | None:
+    """A new pending version, if its backtest WAPE is at or under ``line`` (no gate when None); its number or None."""
+    if line is not None and (wape is None or wape > line):
+        return None
+    log = events(spark, path)
+    version = (log.agg(F.max("version")).first()[0] or 0) + 1
+    commit(spark, path, last_seq(log), event=REGISTERED, version=version, created=created, status=PENDING, wape=wape)
+    return version
+
+
+def set_status(spark: SparkSession, path: str, version: int, status: str, reason: str = "", seen: int | None = None) -> int:
+    """Move one version to a status. ``seen`` is the log the caller has decided on (the newest when None)."""
+    log = events(spark, path)
+    if log.where(F.col("version") == version).isEmpty():
+        raise ValueError(f"version {version} is not registered")
+    return commit(spark, path, last_seq(log) if seen is None else seen, event=MOVED, version=version, status=status, reason=reason)
+
+
+def promote(spark: SparkSession, path: str) -> bool | None:
+    """Approve the newest pending version if the rule lets it replace the incumbent, else reject it; None without one."""
+    log = events(spark, path)
+    seen, row = last_seq(log), promote_decision(state(log)).first()
+    if row["candidate"] is None:
+        return None
+    set_status(spark, path, row["candidate"], APPROVED if row["promote"] else REJECTED, "promotion", seen)
+    return row["promote"]
+
+
+def roll_back(spark: SparkSession, path: str) -> int | None:
+    """Reject the newest approved version, so the one before it is in production again; that one or None."""
+    log = events(spark, path)
+    seen = last_seq(log)
+    approved = versions(state(log).where(F.col("status") == APPROVED)).limit(2).collect()
+    if not approved:
+        return None
+    set_status(spark, path, approved[0]["version"], REJECTED, "rollback", seen)
+    return approved[1]["version"] if len(approved) > 1 else None
+
+
+# -- traffic ----------------------------------------------------------------------------------
+
 def traffic_bucket(id_col: str = "id"):
     """0..99 from the first eight hex digits of the id's md5."""
     return (F.conv(F.substring(F.md5(id_col), 1, 8), 16, 10).cast("long") % 100).cast("int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,12 +14,12 @@ from salescast.functions import metrics as M
 from salescast.functions.quantiles import monotone
 from salescast.operators import bias, boosting, direct, drift, eda, features as FE, forecast, monitor, panel
 from salescast.operators import registry, reshape, validate
-from salescast.plans import backtest, jobs
+from salescast.plans import backtest, exploration, jobs
 from salescast.plans.mart import SalesMart
 from salescast.schema import (
     CALENDAR_ATTRS, DYNAMIC_COLS, ID_COLS, LEVELS, MODEL_COLS, MONITORED_COLS, SALES_LONG_COLS, TARGET_COLS, q_name, q_names,
 )
-from salescast.sources import archive, export, tables
+from salescast.sources import archive, export, runs, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -39,8 +40,10 @@ AB_PERCENT = 20
 MIN_ROWS = 100_000
 MODEL_NAME = "store-department-prior"
 FILL_COLS = ["sell_price", "price_rel_dept", "price_pct_change", "wday", "snap"]
-# Boosting budget of the registered fits; the search runs its candidates deeper but for fewer rounds.
+# Boosting budgets of the registered fits: half the rounds for the backtest, which fits three folds at once, and
+# fewer but larger trees for the search.
 BOOST = boosting.BoostParams(rounds=60, learning_rate=0.1, max_leaves=16, max_depth=4, min_rows=50, checkpoint_every=10)
+FOLD_BOOST = replace(BOOST, rounds=30)
 SEARCH = boosting.BoostParams(rounds=12, max_depth=6, checkpoint_every=6)
 CANDIDATES = 6
 
@@ -546,6 +549,48 @@ def promote_decision(m):
     return registry.promote_decision(registry_table(m))
 
 
+@query
+def register_gate(m):
+    """Which fold's model the gate lets into the registry: its WAPE against the line."""
+    path = m.path("registry-gated", lambda p: fold_registry(m, p, registry.REGISTER_WAPE))
+    folds = panel.fold_metrics(m.prior_backtest, m.settings.quantiles).select(F.col("fold_origin").alias("created"), "wape")
+    return folds.join(registry.state(registry.events(m.spark, path)).select(F.col("created").cast("int").alias("created"), "status"), "created", "left").select(
+        "created", "wape", F.col("status").isNotNull().alias("registered")
+    )
+
+
+def fold_registry(m: SalesMart, path: str, line: float | None) -> None:
+    """A log with one version per backtest fold; all but the newest are approved as they come."""
+    folds = panel.fold_metrics(m.prior_backtest, m.settings.quantiles).orderBy("fold_origin").collect()  # one row per fold
+    for r in folds:
+        version = registry.register(m.spark, path, r["fold_origin"], r["wape"], line)
+        if version and r is not folds[-1]:
+            registry.set_status(m.spark, path, version, registry.APPROVED)
+
+
+def registry_log(m: SalesMart, name: str, *commands) -> DataFrame:
+    """State of the folds' log after the commands."""
+    def write(path: str) -> None:
+        fold_registry(m, path, None)
+        for command in commands:
+            command(m.spark, path)
+
+    log = registry.events(m.spark, m.path(name, write))
+    return registry.state(log).select("version", F.col("created").cast("int").alias("created"), "status", "wape")
+
+
+@query
+def registry_flip(m):
+    """The newest pending version approved or rejected by the promotion rule."""
+    return registry_log(m, "registry-flip", registry.promote)
+
+
+@query
+def registry_rollback(m):
+    """The newest approved version withdrawn."""
+    return registry_log(m, "registry-rollback", registry.roll_back)
+
+
 @query
 def ab_split(m):
     newest = F.col("origin") == max(m.folds)
@@ -635,6 +680,41 @@ def eda_price_change(m):
     return eda.price_changes(m.prices)
 
 
+def explored(name: str, **parameters):
+    """Register one SQL statement as ``sql_<name>``."""
+    def run(m: SalesMart) -> DataFrame:
+        tables = {"sales": m.sales, "calendar": m.calendar.withColumn("day", F.substring_index("d", "_", -1).cast("int"))}
+        return exploration.explore(m.spark, name, tables, **parameters)
+
+    run.__name__ = f"sql_{name}"
+    query(run)
+
+
+for _name in exploration.STATEMENTS:
+    explored(_name, top=20, state="")
+
+
+@query
+def calendar_export(m):
+    return reshape.calendar_export(m.calendar.select("date", "d", "wm_yr_wk", "weekday", "wday", "month", "year"))
+
+
+@query
+def panel_artifacts(m):
+    """The level table of an evaluation, read back from its committed run."""
+    root = m.path("panel-runs", lambda p: runs.write_run(m.spark, p, "prior", panel_of(m, m.prior_backtest)))
+    return runs.read_run(m.spark, root)["by_level"]
+
+
+@query
+def monitor_artifacts(m):
+    """The error table of a monitoring run, read back from its committed run."""
+    def write(path: str) -> None:
+        jobs.run_monitoring(m.spark, m.features, archive_path(m), path, m.settings, run="newest")
+
+    return runs.read_run(m.spark, m.path("monitor-runs", write))["forecast_error"]
+
+
 # -- boosted model (rows-only: an iterative fit has no SQL twin) -----------------------------------
 
 def boosted(m: SalesMart) -> boosting.QuantileBoostModel:
@@ -701,13 +781,13 @@ def gbt_start_loss(m):
 
 @query
 def train_gbt_checks(m):
-    """Per quantile: rows of the fit, losses noted, and whether all trees keep to their leaves and the loss fell."""
+    """Per quantile: rows of the fit, losses noted, and whether all trees keep to their leaves and the loss never rose."""
     model = boosted(m)
     rows = [(
         q, model.train_rows, len(model.losses), all(len(stage[q].leaves) <= BOOST.max_leaves for stage in model.rounds),
-        model.losses[-1][q] < model.losses[0][q],
+        all(b[q] <= a[q] * (1 + 1e-9) for a, b in zip(model.losses, model.losses[1:])),
     ) for q in model.quantiles]
-    return m.spark.createDataFrame(rows, "quantile double, train_rows long, n_losses long, leaves_kept boolean, fell boolean")
+    return m.spark.createDataFrame(rows, "quantile double, train_rows long, n_losses long, leaves_kept boolean, never_rose boolean")
 
 
 @query
@@ -735,7 +815,7 @@ def backtest_gbt_checks(m):
 
 
 def boosted_backtest(m: SalesMart) -> DataFrame:
-    path = m.path("boost_backtest", lambda p: backtest.boost_backtest(m.features, m.folds, m.settings, BOOST).write.parquet(p))
+    path = m.path("boost_backtest", lambda p: backtest.boost_backtest(m.features, m.folds, m.settings, FOLD_BOOST).write.parquet(p))
     return m.spark.read.parquet(path)
 
 

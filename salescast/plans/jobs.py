@@ -7,13 +7,14 @@ import random
 import time
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.functions import metrics as M
 from salescast.operators import direct as D
 from salescast.operators import monitor as MO
 from salescast.operators import panel as P
+from salescast.operators import registry as RG
 from salescast.operators.boosting import Boosting, BoostParams, Fit, QuantileBoostModel, fit_quantile_boost
 from salescast.operators.forecast import Forecaster, catalogue, group_priors
 from salescast.operators.reshape import cap_series, eligible_series, only_state
@@ -21,6 +22,7 @@ from salescast.plans.backtest import boost_backtest
 from salescast.schema import MEDIAN, Settings
 from salescast.sources.archive import latest_archive, write_archive
 from salescast.sources.export import save_panel
+from salescast.sources.runs import write_run
 
 # Bounds of the hyper-parameter search.
 RATE_RANGE = (0.01, 0.1)
@@ -52,15 +54,23 @@ def evaluate(
 
 
 def train(
-    spark: SparkSession, features: DataFrame, settings: Settings, params: BoostParams, out: str
+    spark: SparkSession, features: DataFrame, settings: Settings, params: BoostParams, out: str,
+    registry: str | None = None,
 ) -> QuantileBoostModel:
-    """Evaluate, fit the final model on the newest origins, save it and log the run."""
+    """Evaluate, fit the final model on the newest origins, save it, log the run, and register what passes the gate.
+
+    ``registry`` is the folder of the registry's log (``<out>/registry`` by default). The version that
+    was registered stands in the run; it is NULL where the backtest's WAPE is over the line.
+    """
     head = evaluate(spark, features, settings, params, f"{out}/evaluation")
     chosen = selected(features, settings)
     origins = D.origins_ending(D.last_day(chosen), settings.n_train_origins, settings.origin_stride, settings.horizon)
     model = fit_on(chosen, origins, settings, params)
     model.save(f"{out}/model")
+    wape = head.first()["wape_item_store"]
+    version = RG.register(spark, registry or f"{out}/registry", origins[-1], wape)
     run = head.withColumns({
+        "version": F.lit(version).cast("int"),
         "finished": F.current_timestamp(),
         "rounds": F.lit(params.rounds),
         "learning_rate": F.lit(params.learning_rate),
@@ -76,24 +86,27 @@ def train(
 def compare(
     spark: SparkSession, features: DataFrame, settings: Settings, models: dict[str, object],
     out: str, min_history: int,
-) -> tuple[DataFrame, list[tuple[str, float]]]:
-    """Two backtests on the same series: side-by-side levels and wall-clock seconds.
+) -> DataFrame:
+    """Two backtests on the same series: side-by-side levels, and what each cost.
 
-    ``models`` maps a name to a function (features, folds) -> prediction frame.
+    ``models`` maps a name to a function (features, folds) -> prediction frame. Cost columns, equal on
+    all rows: wall-clock seconds of the fit and its written backtest, and the rows it wrote, which are
+    observed while they are written.
     """
     rows = only_state(features, settings.state_filter)
     folds = D.origins_ending(D.last_day(rows), settings.n_folds, settings.fold_stride, settings.horizon)
     chosen = eligible_series(rows, min(folds), min_history, settings.max_series, settings.seed)
     shared = rows.join(chosen.select("id"), "id", "left_semi")
-    levels, seconds = [], []
+    levels, costs = [], {}
     for name, run in models.items():
-        begun = time.perf_counter()
-        run(shared, folds).write.mode("overwrite").parquet(f"{out}/{name}")
-        seconds.append((name, time.perf_counter() - begun))
+        begun, seen = time.perf_counter(), Observation(f"backtest of {name}")
+        run(shared, folds).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/{name}")
+        costs[f"seconds_{name}"] = F.lit(time.perf_counter() - begun)
+        costs[f"rows_{name}"] = F.lit(seen.get["n"])
         preds = spark.read.parquet(f"{out}/{name}")
         levels.append(P.by_level(preds, P.history_before(shared, min(folds))))
     first, second = list(models)
-    return P.compared(levels[0], levels[1], (first, second)), seconds
+    return P.compared(levels[0], levels[1], (first, second)).withColumns(costs)
 
 
 def candidates(n: int, seed: int, base: BoostParams) -> list[BoostParams]:
@@ -157,16 +170,17 @@ def run_batch(
 
 
 def run_monitoring(
-    spark: SparkSession, features: DataFrame, archive: str, out: str, settings: Settings = Settings()
+    spark: SparkSession, features: DataFrame, archive: str, out: str, settings: Settings = Settings(), run: str | None = None,
 ) -> None:
-    """Health, drift, error and headline tables of the newest archived batch."""
+    """Health, drift, error and headline tables of the newest archived batch, committed as one run.
+
+    The run is named after the batch's run date unless it is given.
+    """
     batch = latest_archive(spark, archive)
     last = D.last_day(features)
-    tables = {
+    write_run(spark, out, run or batch.agg(F.max("run_date")).first()[0], {
         "operational": MO.operational_summary(batch),
         "forecast_error": MO.score_forecasts(batch, features, settings.quantiles),
         "data_drift": MO.drift_table(features, last, settings.drift_window),
         "headline": MO.summary(batch, features, last, settings),
-    }
-    for name, table in tables.items():
-        table.coalesce(1).write.mode("overwrite").json(f"{out}/{name}")
+    })

@@ -505,6 +505,18 @@ ORACLE["promote_decision"] = sql(
     "CASE WHEN can.version IS NULL THEN false WHEN inc.wape IS NULL THEN true WHEN can.wape IS NULL THEN false ELSE can.wape<=inc.wape END AS promote, "
     "coalesce(can.wape<=0.75, false) AS registrable FROM (SELECT 1) one LEFT JOIN inc ON true LEFT JOIN can ON true",
 )
+ORACLE["register_gate"] = sql(*REGISTRY, select=f"SELECT created, {r6('wape')}, coalesce(wape<=0.75, false) AS registered FROM reg")
+ORACLE["registry_flip"] = sql(
+    *REGISTRY,
+    "inc AS (SELECT wape FROM reg WHERE status='Approved' ORDER BY created DESC LIMIT 1)",
+    select="SELECT version, created, CASE WHEN status='Approved' THEN status WHEN NOT EXISTS (SELECT 1 FROM inc WHERE inc.wape IS NOT NULL) "
+    f"OR reg.wape <= (SELECT wape FROM inc) THEN 'Approved' ELSE 'Rejected' END AS status, {r6('wape')} FROM reg",
+)
+ORACLE["registry_rollback"] = sql(
+    *REGISTRY,
+    select="SELECT version, created, CASE WHEN status='Approved' AND version=(SELECT max(version) FROM reg WHERE status='Approved') "
+    f"THEN 'Rejected' ELSE status END AS status, {r6('wape')} FROM reg",
+)
 ORACLE["ab_split"] = sql(
     *BACKTEST, NAIVE,
     select=f"SELECT id, origin, horizon, target_day, {r6('q50')}, 'champion' AS variant FROM pred WHERE origin=(SELECT max(origin) FROM orig) AND {BUCKET}>=20 "
@@ -561,7 +573,7 @@ ORACLE["gbt_start_loss"] = sql(
 )
 ORACLE["train_gbt_checks"] = sql(
     TRAIN, DIRECT, select=f"SELECT CAST(quantile AS DOUBLE) AS quantile, n AS train_rows, CAST(61 AS BIGINT) AS n_losses, true AS leaves_kept, "
-    f"true AS fell FROM (SELECT unnest({Q}) AS quantile), (SELECT count(*) AS n FROM direct)",
+    f"true AS never_rose FROM (SELECT unnest({Q}) AS quantile), (SELECT count(*) AS n FROM direct)",
 )
 BROKEN = "CAST(0 AS BIGINT) AS n_negative, CAST(0 AS BIGINT) AS n_crossing, count(DISTINCT id) AS n_series"
 ORACLE["forecast_gbt_checks"] = sql(
@@ -575,3 +587,13 @@ ORACLE["tune_holdout_checks"] = sql(
     LATEST, DIRECT, select="SELECT CAST(6 AS BIGINT) AS n_candidates, CAST(6 AS BIGINT) AS n_scored, CAST(2 AS BIGINT) AS n_full, "
     "CAST(1 AS BIGINT) AS n_best, count(*) > 0 AS best_is_least FROM direct",
 )
+
+# -- the same statements as SQL text, exports and committed runs --------------------------------------------------
+for _sql, _eda in {"scale": "scale", "zero_share": "zero_share", "units_state": "units_state", "units_store": "units_store",
+                   "units_cat": "units_cat", "units_dept": "units_dept", "top_series": "top20", "daily_units": "daily_total"}.items():
+    ORACLE[f"sql_{_sql}"] = ORACLE[f"eda_{_eda}"]
+ORACLE["calendar_export"] = sql(
+    select="SELECT strftime(date, '%Y-%m-%d') AS date, 'd_' || d AS d, wm_yr_wk, weekday, wday, month, year FROM cal"
+)
+ORACLE["panel_artifacts"] = ORACLE["by_level"]
+ORACLE["monitor_artifacts"] = ORACLE["score_forecasts"]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from hashlib import md5
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _own_base: dict[str, str] = {}
@@ -49,6 +50,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Conflict(RuntimeError):
+    """Another writer has committed first."""
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file; raises :class:`Conflict` where it exists already.
+
+    The file system decides which of two writers comes first (HDFS and local folders do; an object store
+    without conditional writes does not).
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as e:
+        if fs.exists(target):
+            raise Conflict(f"{path} exists") from e
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def inputs_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Length and modification time of the inputs, so that changed files are read anew."""
     jvm = spark._jvm

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from salescast.operators import direct as D
 from salescast.operators import forest as FO
+from salescast.operators import registry as RG
 from salescast.operators.binning import Binner, binned, unpacked
 from salescast.operators.boosting import Boosting, BoostParams, Fit, QuantileBoostModel, fit_quantile_boost, fit_together
 from salescast.plans import jobs
@@ -309,6 +310,12 @@ def test_train_writes_panel_model_and_run(spark, rows, tmp_path):
     assert run["n_series"] == len(SERIES) and run["train_rows"] == len(SERIES) * 2 * 5
     assert spark.read.option("header", True).csv(f"{tmp_path}/run/evaluation/panel/by_level").count() == 6
     assert QuantileBoostModel.load(spark, f"{tmp_path}/run/model").quantiles == list(settings.quantiles)
+    # The gate: at or under the line the model is registered and waits for approval.
+    log = RG.state(RG.events(spark, f"{tmp_path}/run/registry")).collect()
+    if run["wape_item_store"] <= RG.REGISTER_WAPE:
+        assert run["version"] == 1 and [r["status"] for r in log] == [RG.PENDING]
+    else:
+        assert run["version"] is None and not log
 
 
 def test_tuning_stops_losing_candidates_early(spark, rows):
@@ -342,8 +349,9 @@ def test_comparison_runs_both_models_on_shared_series(spark, rows, tmp_path):
         "prior": lambda f, folds: backtest(f, prior_forecaster(f, folds, qs, 28), folds, 5, qs),
         "naive": lambda f, folds: backtest(f, seasonal_naive_forecaster(f, folds, qs), folds, 5, qs),
     }
-    table, seconds = jobs.compare(spark, rows, settings, models, f"{tmp_path}/cmp", 20)
-    assert table.count() == 6 and [name for name, _ in seconds] == ["prior", "naive"]
+    table = jobs.compare(spark, rows, settings, models, f"{tmp_path}/cmp", 20).collect()
+    assert len(table) == 6 and all(r["seconds_prior"] > 0 and r["seconds_naive"] > 0 for r in table)
+    assert {r["rows_prior"] for r in table} == {r["rows_naive"] for r in table} == {2 * 2 * 5}
     ids = [{r[0] for r in spark.read.parquet(f"{tmp_path}/cmp/{n}").select("id").distinct().collect()} for n in models]
     assert ids[0] == ids[1] and len(ids[0]) == 2
 

@@ -81,3 +81,81 @@ def test_exploration(spark, wide, calendar, prices):
     moves = E.price_changes(prices).first()
     assert moves["changed_share"] == pytest.approx(1 / 7) and moves["median_abs_change"] == pytest.approx(0.25)
     assert len(E.top_series(long, 2).collect()) == 2
+
+
+# -- the registry's log ------------------------------------------------------------------------
+
+def states(spark, path):
+    return {r["version"]: r["status"] for r in RG.state(RG.events(spark, path)).collect()}
+
+
+def test_the_gate_registers_at_or_under_the_line(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    assert RG.events(spark, path).count() == 0
+    assert RG.register(spark, path, 10, 0.76) is None and RG.register(spark, path, 10, None) is None
+    assert RG.register(spark, path, 11, 0.75) == 1 and RG.register(spark, path, 12, 0.9, line=None) == 2
+    row = RG.state(RG.events(spark, path)).where("version = 1").first()
+    assert (row["created"], row["status"], row["wape"]) == (11, RG.PENDING, 0.75)
+
+
+def test_promotion_and_rollback_are_events(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    assert RG.promote(spark, path) is None and RG.roll_back(spark, path) is None
+    RG.register(spark, path, 1, 0.7)
+    assert RG.promote(spark, path) is True
+    RG.register(spark, path, 2, 0.72)
+    assert RG.promote(spark, path) is False and states(spark, path) == {1: RG.APPROVED, 2: RG.REJECTED}
+    RG.register(spark, path, 3, 0.6)
+    assert RG.promote(spark, path) is True and RG.promote(spark, path) is None
+    assert RG.roll_back(spark, path) == 1 and states(spark, path) == {1: RG.APPROVED, 2: RG.REJECTED, 3: RG.REJECTED}
+    assert RG.roll_back(spark, path) is None
+    log = RG.events(spark, path).orderBy("seq").collect()
+    assert [r["seq"] for r in log] == list(range(1, 9))  # nothing is rewritten
+    with pytest.raises(ValueError):
+        RG.set_status(spark, path, 9, RG.APPROVED)
+
+
+def test_a_command_on_a_stale_state_changes_nothing(spark, tmp_path):
+    from salescast.session import Conflict
+
+    path = f"{tmp_path}/log"
+    RG.register(spark, path, 1, 0.7)
+    seen = RG.last_seq(RG.events(spark, path))
+    RG.set_status(spark, path, 1, RG.APPROVED, seen=seen)
+    with pytest.raises(Conflict):
+        RG.set_status(spark, path, 1, RG.REJECTED, seen=seen)
+    assert states(spark, path) == {1: RG.APPROVED}
+
+
+def test_a_run_is_seen_whole_or_not_at_all(spark, tmp_path):
+    from salescast.sources import runs
+
+    root, ids = f"{tmp_path}/runs", spark.range(3)
+    with pytest.raises(FileNotFoundError):
+        runs.read_run(spark, root)
+    broken = ids.select(F.raise_error(F.lit("lost")).alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        runs.write_run(spark, root, "a", {"good": ids, "bad": broken})
+    with pytest.raises(FileNotFoundError):
+        runs.read_run(spark, root)
+    runs.write_run(spark, root, "a", {"good": ids, "bad": ids.limit(1)})
+    runs.write_run(spark, root, "b", {"good": ids.limit(2)})
+    assert {k: v.count() for k, v in runs.read_run(spark, root, "a").items()} == {"good": 3, "bad": 1}
+    assert {k: v.count() for k, v in runs.read_run(spark, root).items()} == {"good": 2}
+    with pytest.raises(ValueError):
+        runs.write_run(spark, root, "a", {"good": ids})
+    ids.limit(1).write.mode("overwrite").parquet(f"{root}/a/good")
+    with pytest.raises(ValueError, match="manifest"):
+        runs.read_run(spark, root, "a")
+
+
+def test_statements_take_parameters(spark):
+    from salescast.plans.exploration import explore
+
+    sales = spark.createDataFrame([("a", "X", 1, 3), ("b", "Y", 1, 5), ("a", "X", 2, 0)], "id string, state_id string, d int, sales int")
+    days = spark.createDataFrame([(1, "2020-01-01"), (2, "2020-01-02")], "day int, date string")
+    tables = {"sales": sales, "calendar": days}
+    assert [r["id"] for r in explore(spark, "top_series", tables, top=1).collect()] == ["b"]
+    got = {r["d"]: r["total_units"] for r in explore(spark, "daily_units", tables, state="X").collect()}
+    assert got == {1: 3, 2: 0}
+    assert explore(spark, "zero_share", tables).first()[0] == pytest.approx(1 / 3)

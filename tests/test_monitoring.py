@@ -77,6 +77,7 @@ def archived(features, path, run_date="2024-01-02"):
 
 def test_batch_archive_and_monitoring(spark, cold_rows, tmp_path):
     from salescast.sources.archive import latest_archive
+    from salescast.sources.runs import read_run
 
     path = f"{tmp_path}/archive"
     archived(cold_rows, path)
@@ -88,9 +89,12 @@ def test_batch_archive_and_monitoring(spark, cold_rows, tmp_path):
     scored = MO.score_forecasts(batch, cold_rows, QS).orderBy("horizon").collect()
     assert [r["horizon"] for r in scored] == [1, 2, 3, 4, 5] and {r["n"] for r in scored} == {3}
     jobs.run_monitoring(spark, cold_rows, path, f"{tmp_path}/out", SMALL)
-    head = spark.read.json(f"{tmp_path}/out/headline").first()
+    run = read_run(spark, f"{tmp_path}/out")
+    head = run["headline"].first()
     assert head["n_scored"] == 15 and head["n_series"] == 4
-    assert spark.read.json(f"{tmp_path}/out/data_drift").count() == 6
+    assert run["data_drift"].count() == 6 and run["operational"].count() == 1 and run["forecast_error"].count() == 5
+    with pytest.raises(ValueError, match="committed already"):
+        jobs.run_monitoring(spark, cold_rows, path, f"{tmp_path}/out", SMALL)
 
 
 def test_nothing_observed_scores_minus_one(spark, feature_rows, tmp_path):
