@@ -2,9 +2,13 @@
 
 Groups are dealt by hash into buckets of about ``FAN`` groups. In each bucket the two partial
 partitions with the largest spread are combined again and again, the heavy end of one on the light
-end of the other. Every bucket leaves one partial partition of ``n_shards`` sums; those are bucketed
-and combined by the same rule, level by level, until one is left. Permutations are then composed
-from the top down, so no task and not the driver ever holds more than a bucket.
+end of the other, until one is left.
+
+A bucket can only even out groups that are small beside its own share of a shard, so groups are taken in
+classes of size, the largest class (one bucket) first. What the shards hold so far enters every bucket of
+the next class as one more partial partition, divided by the number of buckets: each bucket fills its
+part of the gaps, and the place of that partition names its shards. A class has a fraction of the groups
+of the one below, so there are few; no task and not the driver ever holds more than a bucket.
 
 Defined results: a null text counts as empty (size 8, crc32 0) and forms one group with empty
 texts; repeated rows each take a slot; an empty table gives an empty result; extra columns are left
@@ -14,6 +18,7 @@ out. A group larger than total / n_shards stays whole, and the other groups even
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -23,8 +28,8 @@ from salescast.llm.common import partitions_for, pick, stage, table
 
 N_SHARDS = 24
 FAN = 1024
-#: A group of more than total / (n_shards * LARGE) bytes is combined at the last level.
-LARGE = 64
+#: Groups of a class are at most this part of a bucket's bytes for one shard.
+SMALL = 0.5
 #: Rows of a shard and slot range that one task numbers.
 SLOT_ROWS = 50_000
 
@@ -66,24 +71,46 @@ def difference(sums: list[list[int]]) -> list[list[int]]:
     return where[: len(sums)]
 
 
-def _combine(k: int):
+def _deal(k: int, held: list[int]):
+    """Shards of a bucket's groups, beside which the shards hold ``held``."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node", kind="stable")
-        rows = [list(map(int, s)) for s in pdf["sums"]]
-        rows = [r + [0] * (k - len(r)) for r in rows]
-        places = difference(rows)
-        total = [0] * k
-        for r, p in zip(rows, places):
-            for v, at in zip(r, p):
-                total[at] += v
-        return pd.DataFrame({
-            "node": pdf["node"].to_numpy(), "up": pdf["up"].to_numpy(),
-            "place": places, "total": [total] + [None] * (len(rows) - 1),
-        })
+        pdf = pdf.sort_values("blob", kind="stable")
+        places = difference([[int(v)] + [0] * (k - 1) for v in pdf["bytes"]] + [held])
+        name = {place: i for i, place in enumerate(places[-1])}
+        return pd.DataFrame({"blob": pdf["blob"], "bytes": pdf["bytes"], "shard": [name[p[0]] for p in places[:-1]]})
 
     return run
 
 
+def size_classes(groups: DataFrame, n_shards: int) -> list[tuple[int, int]]:
+    """(least bytes, groups) of each class, the smallest groups first."""
+    out, low = [], 0
+    n, total = groups.agg(F.count("*"), F.sum("bytes")).first()
+    while n > FAN:
+        high = int(SMALL * total * FAN / (n * n_shards)) + 1
+        above, total_above = groups.where(F.col("bytes") >= high).agg(F.count("*"), F.sum("bytes")).first()
+        out.append((low, n - above))
+        low, n, total = high, above, total_above
+    return [*out, (low, n)] if n else out
+
+
+def group_shards(groups: DataFrame, n_shards: int) -> DataFrame:
+    """(blob, shard) of groups (blob, bytes)."""
+    held, done, high = [0] * n_shards, [], None
+    for low, n in reversed(size_classes(groups, n_shards)):
+        own = groups.where(F.col("bytes") >= low)
+        own = own if high is None else own.where(F.col("bytes") < high)
+        buckets = max(1, -(-n // FAN))
+        dealt = own.withColumn("bucket", F.pmod(F.xxhash64("blob"), F.lit(buckets))).groupBy("bucket").applyInPandas(
+            _deal(n_shards, [v // buckets for v in held]), "blob binary, bytes long, shard int")
+        done.append(stage(dealt, "shard-class"))
+        for r in done[-1].groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # one row per shard
+            held[r["shard"]] += r["bytes"]
+        high = low
+    return reduce(DataFrame.union, [d.select("blob", "shard") for d in done])
+
+
 def shard(docs: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row of ``docs``."""
     spark = docs.sparkSession
@@ -92,37 +119,10 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("blob"))
     rows = stage(rows, "shard-rows")
-    groups = rows.groupBy("blob").agg(F.sum("size").alias("bytes"))
-    groups = stage(groups.select(F.xxhash64("blob").alias("node"), "blob", "bytes"), "shard-groups")
-    levels, names = [], groups.select("blob", "node")
-    n, total = groups.agg(F.count("*"), F.sum("bytes")).first()
-    # Large groups (at most n_shards * LARGE of them) wait for the last level: no bucket can even them out.
-    nodes = groups.groupBy("node").agg(F.array(F.sum("bytes")).alias("sums"))
-    large = F.col("sums")[0] * (n_shards * LARGE) > F.lit(total or 0)
-    level = nodes.where(~large)
-    while n:
-        buckets = -(-n // FAN)
-        if buckets == 1:
-            level = level.union(nodes.where(large))
-        up = F.pmod(F.xxhash64("node", F.lit(len(levels))), F.lit(buckets))
-        done = stage(
-            level.withColumn("up", up).groupBy("up")
-            .applyInPandas(_combine(n_shards), "node long, up long, place array<int>, total array<long>"),
-            "shard-level")
-        levels.append(done)
-        if buckets == 1:
-            break
-        level = done.where("total is not null").select(F.col("up").alias("node"), F.col("total").alias("sums"))
-        n = level.count()
-    if not levels:
+    groups = stage(rows.groupBy("blob").agg(F.sum("size").alias("bytes")), "shard-groups")
+    if groups.isEmpty():
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    at = top = levels[-1].select("node", F.col("place").alias("spot"))
-    for below in reversed(levels[:-1]):
-        at = below.join(at.withColumnRenamed("node", "up"), "up").select(
-            "node", F.expr("transform(place, p -> spot[p])").alias("spot"))
-    if len(levels) > 1:
-        at = at.union(top.join(nodes.where(large).select("node"), "node", "left_semi"))
-    at = names.join(at, "node").select("blob", F.expr("spot[0]").cast("int").alias("shard"))
+    at = group_shards(groups, n_shards)
     placed = stage(rows.join(at, "blob").select("doc_id", "size", "text_crc32", "shard"), "shard-placed")
     parts = partitions_for(spark, placed.count(), SLOT_ROWS)
     placed = placed.withColumn("range", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
