@@ -45,6 +45,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(spark: SparkSession, *paths_of: DataFrame) -> None:
+    """Delete tables that :func:`stage` has written, once nothing that is still to run reads them."""
+    for df in paths_of:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def partitions_for(spark: SparkSession, items: int, per_task: int) -> int:
     """Tasks for ``items`` so that none holds more than about ``per_task``."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-items // per_task))
@@ -125,10 +133,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = _WOR
     stop = ok.copy()
     stop[:-1] &= ~ok[1:] | first[1:-1]
     s, e = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    sums = prefix_sums(data)
-    _, down = powers(len(data) + 1)
-    h = mix((sums[e] - sums[s]) * down[s])
-    return np.searchsorted(offsets, s, "right") - 1, h
+    # Each byte at its place in the word gives a mixed number; a word is their sum. A polynomial modulo 2**64 would
+    # give some pairs of long words one hash whatever its base.
+    place = np.arange(len(data)) - np.repeat(np.append(0, s), np.diff(np.append(np.append(0, s), len(data))))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(mix(_BYTE[data] + place.astype(np.uint64) * _BASE), out=sums[1:])
+    return np.searchsorted(offsets, s, "right") - 1, mix(sums[e] - sums[s] + (e - s).astype(np.uint64))
 
 
 def shingle_hashes(doc: np.ndarray, words: np.ndarray, k: int):
