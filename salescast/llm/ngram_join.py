@@ -36,7 +36,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BooleanType
 
 from salescast.llm.common import (
-    DOC_COLS, components, distinct_in_rows, mix, partitions_for, pick, shingles, slices, stage, table,
+    DOC_COLS, components, distinct_in_rows, mix, partitions_for, pick, shingles, slices, stage, table, unstage,
 )
 
 WORDS = 5
@@ -227,16 +227,6 @@ def _close(a: str, b: str):
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * most >= 3 * (n + m))
 
 
-def _may_share_enough():
-    """Positional filter of a pair by all its entries: ``c`` shared prefix shingles, the last at p and q.
-
-    Past those, the set whose prefix ends first has nothing shared in the rest of its prefix.
-    """
-    n, m, p, q = (F.col(c) for c in ("n", "m", "p", "q"))
-    rest = F.greatest(F.least(need_col(n) - 1, m - 1 - q), F.least(n - 1 - p, need_col(m) - 1))
-    return 7 * (F.col("c") + rest) >= 3 * (n + m)
-
-
 def need_col(n):
     return F.floor((3 * n + 3) / 4)
 
@@ -248,6 +238,19 @@ def by_component(nodes: DataFrame, column: str, found: DataFrame) -> DataFrame:
         column, F.coalesce("_component", column)).drop("_node", "_component")
 
 
+def contracted_components(edges: DataFrame, name: str) -> DataFrame:
+    """(node, component) as :func:`components` finds them, from one edge a node first.
+
+    A member of a group of near copies has links to many anchors. Its least one makes components; the other links
+    are then few links between those.
+    """
+    now = stage(components(edges.groupBy("a").agg(F.min("b").alias("b")), name), f"{name}-first")
+    rest = by_component(by_component(edges, "a", now), "b", now).where("a <> b").distinct()
+    top = stage(components(rest, name), f"{name}-top")
+    alone = top.join(now.select("node"), "node", "left_anti")
+    return by_component(now, "component", top).union(alone)
+
+
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """((doc_id, n, sig) of every row, (sig, component) by links to anchors, further links (a, b) of components)."""
     spark = docs.sparkSession
@@ -260,8 +263,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     prefix = rows.mapInArrow(_prefixes(shared), "shingle long, sig long, at long")
     spread = F.when(F.col("at") < 0, F.xxhash64("shingle", "sig")).otherwise(F.col("shingle"))
     lists = prefix.repartition(parts, spread).mapInArrow(_shared, "shingle long, sig long, n int, pos int")
-    before = F.row_number().over(Window.partitionBy("sig").orderBy("pos")) - 1
-    lists = stage(lists.withColumn("before", before), "ngram-lists")
+    in_order = Window.partitionBy("sig").orderBy("pos")
+    first_lists = stage(lists.withColumns({
+        "before": F.row_number().over(in_order) - 1, "prev": F.lag("shingle").over(in_order)}), "ngram-lists")
+    lists = first_lists
 
     spreads = profile.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("counts").alias("spread"))
     spreads = stage(spreads, "ngram-spreads")
@@ -279,17 +284,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     anchors = lists.groupBy("shingle").agg(F.min(F.struct("sig", "n", "pos", "before")).alias("t")).select("shingle", "t.*")
     star = lists.alias("l").join(anchors.alias("r"), "shingle").where(F.col("l.sig") != F.col("r.sig")).where(_close("l", "r"))
     edges = verify(star.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).distinct())
-    now = components(edges, "ngram").withColumnRenamed("node", "sig")
+    now = stage(contracted_components(edges, "ngram").withColumnRenamed("node", "sig"), "ngram-components")
     lists = lists.join(now, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     lists = stage(lists, "ngram-lists")
+    unstage(spark, first_lists)
     open_lists = lists.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     lists = lists.join(open_lists.where("lo <> hi").select("shingle"), "shingle")
+    # Two sets that also share the shingle before this one have met there.
     cross = lists.alias("l").join(lists.alias("r"), "shingle").where(
-        F.col("l.component") < F.col("r.component")).where(_close("l", "r"))
-    pairs = cross.groupBy(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).agg(
-        F.count("*").alias("c"), F.first("l.n").alias("n"), F.first("r.n").alias("m"),
-        F.max("l.pos").alias("p"), F.max("r.pos").alias("q"))
-    more = verify(pairs.where(_may_share_enough()).select("a", "b"))
+        (F.col("l.component") < F.col("r.component")) & ~F.coalesce(F.col("l.prev") == F.col("r.prev"), F.lit(False))).where(_close("l", "r"))
+    more = verify(cross.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).distinct())
     return members, now, by_component(by_component(more, "a", now), "b", now)
 
 
