@@ -283,7 +283,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     anchors = lists.groupBy("shingle").agg(F.min(F.struct("sig", "n", "pos", "before")).alias("t")).select("shingle", "t.*")
     star = lists.alias("l").join(anchors.alias("r"), "shingle").where(F.col("l.sig") != F.col("r.sig")).where(_close("l", "r"))
-    edges = verify(star.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).distinct())
+    # One candidate a set, the least anchor of its lists; what stays apart is left to the lists of several components.
+    edges = verify(star.groupBy(F.col("l.sig").alias("a")).agg(F.min("r.sig").alias("b")))
     now = stage(contracted_components(edges, "ngram").withColumnRenamed("node", "sig"), "ngram-components")
     lists = lists.join(now, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     lists = stage(lists, "ngram-lists")
