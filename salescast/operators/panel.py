@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,14 +40,14 @@ def _fan_out(df: DataFrame) -> DataFrame:
     ).drop("_part")
 
 
-def _upper_sums(df: DataFrame, day: str, sums: list[str]) -> DataFrame:
-    """Sums per (level, key, day) of the levels above the series.
+def _upper_sums(df: DataFrame, day: str, sums: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """Sums per (level, key, day) of the levels above the series, apart for each value of ``by``.
 
     One aggregate by store, category and department comes first, so the fan-out over levels
     touches that small result and not the series rows. Both combine before their shuffle.
     """
     totals = [F.sum(c).alias(c) for c in sums]
-    return _fan_out(df.groupBy(*_UPPER, day).agg(*totals)).groupBy("level", "key", day).agg(*totals)
+    return _fan_out(df.groupBy(*by, *_UPPER, day).agg(*totals)).groupBy(*by, "level", "key", day).agg(*totals)
 
 
 def _series_level(df: DataFrame) -> DataFrame:
@@ -59,46 +61,47 @@ def level_scales(history: DataFrame, season: int = 7) -> DataFrame:
     return upper.unionByName(_series_level(M.naive_scales(history, ["id"], season)))
 
 
-def rolled_up(preds: DataFrame) -> DataFrame:
+def rolled_up(preds: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Actual and median summed per (level, key, target day), over all folds."""
     sums = ["actual", MEDIAN]
-    series = preds.groupBy("id", "target_day").agg(*[F.sum(c).alias(c) for c in sums])
-    return _upper_sums(preds, "target_day", sums).unionByName(_series_level(series))
+    series = preds.groupBy(*by, "id", "target_day").agg(*[F.sum(c).alias(c) for c in sums])
+    return _upper_sums(preds, "target_day", sums, by).unionByName(_series_level(series))
 
 
-def group_weights(preds: DataFrame, weights: DataFrame) -> DataFrame:
+def group_weights(preds: DataFrame, weights: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Weight of every group: the sum over its forecast series; 1 for the total level."""
-    members = preds.select("id", *HIERARCHY).distinct().join(weights, "id")
-    bottom = members.groupBy(F.lit("item_store").alias("level"), F.col("id").alias("key")).agg(
+    members = preds.select(*by, "id", *HIERARCHY).distinct().join(weights, "id")
+    bottom = members.groupBy(*by, F.lit("item_store").alias("level"), F.col("id").alias("key")).agg(
         F.sum("weight").alias("weight")
     )
     upper = (
-        _fan_out(members.groupBy(*_UPPER).agg(F.sum("weight").alias("weight")))
-        .groupBy("level", "key")
+        _fan_out(members.groupBy(*by, *_UPPER).agg(F.sum("weight").alias("weight")))
+        .groupBy(*by, "level", "key")
         .agg(F.sum("weight").alias("weight"))
         .where(F.col("level") != "total")
     )
     return bottom.unionByName(upper)
 
 
-def by_level(preds: DataFrame, history: DataFrame) -> DataFrame:
-    """WAPE, MASE and RMSSE at each level.
+def by_level(preds: DataFrame, history: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """WAPE, MASE and RMSSE at each level; with ``by``, at each level for each of its values.
 
     WAPE is pooled over a level. MASE and RMSSE are scaled per group by the group's own
     history and then averaged by dollar weight; a group without a scale drops out.
     """
     keys = ["level", "key"]
     scales = level_scales(history)
-    scored = rolled_up(preds.withColumn("actual", F.col("actual").cast("double")))
+    scored = rolled_up(preds.withColumn("actual", F.col("actual").cast("double")), by)
     err = F.abs(F.col("actual") - F.col(MEDIAN))
-    errors = scored.groupBy(*keys).agg(
+    errors = scored.groupBy(*by, *keys).agg(
         F.sum(err).alias("abs_err"),
         F.sum(F.abs("actual")).alias("volume"),
         F.avg(err).alias("mae"),
         F.avg((F.col("actual") - F.col(MEDIAN)) * (F.col("actual") - F.col(MEDIAN))).alias("mse"),
     )
-    weights = group_weights(preds, dollar_weights(history))
-    groups = errors.join(scales, keys, "left").join(weights, keys, "left").select(
+    weights = group_weights(preds, dollar_weights(history), by)
+    groups = errors.join(scales, keys, "left").join(weights, [*by, *keys], "left").select(
+        *by,
         "level",
         "abs_err",
         "volume",
@@ -106,7 +109,7 @@ def by_level(preds: DataFrame, history: DataFrame) -> DataFrame:
         F.when(F.col("naive_mse") > 0, F.sqrt(F.col("mse") / F.col("naive_mse"))).alias("g_rmsse"),
         F.when(F.col("level") == "total", 1.0).otherwise(F.coalesce("weight", F.lit(0.0))).alias("weight"),
     )
-    return groups.groupBy("level").agg(
+    return groups.groupBy(*by, "level").agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.when(F.sum("volume") > 0, F.sum("abs_err") / F.sum("volume")).alias("wape"),
         M.weighted_mean("g_mase", "weight").alias("mase"),
@@ -169,12 +172,19 @@ def headline(panel: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def compared(first: DataFrame, second: DataFrame, names: tuple[str, str]) -> DataFrame:
-    """Two by-level tables side by side, metric columns suffixed by model name."""
-    metrics = ["wape", "mase", "rmsse"]
-    left = first.select("level", *[F.col(m).alias(f"{m}_{names[0]}") for m in metrics])
-    right = second.select("level", *[F.col(m).alias(f"{m}_{names[1]}") for m in metrics])
-    return left.join(right, "level").select("level", *[f"{m}_{n}" for m in metrics for n in names])
+def compared(models: dict[str, DataFrame], history: DataFrame) -> DataFrame:
+    """Levels of several models' forecasts side by side, metric columns suffixed by model name.
+
+    The model is a grouping key over one roll-up, so history is scaled and weighed once for all of
+    them. A level that some model lacks is left out.
+    """
+    columns = ["id", *HIERARCHY, "target_day", "actual", MEDIAN]
+    named = [preds.select(*columns, F.lit(name).alias("model")) for name, preds in models.items()]
+    levels = by_level(reduce(DataFrame.unionByName, named), history, ("model",))
+    return levels.groupBy("level").agg(F.count(F.lit(1)).alias("n_models"), *[
+        F.max(F.when(F.col("model") == name, F.col(m))).alias(f"{m}_{name}")
+        for m in ("wape", "mase", "rmsse") for name in models
+    ]).where(F.col("n_models") == len(models)).drop("n_models")
 
 
 def fold_metrics(preds: DataFrame, quantiles) -> DataFrame:

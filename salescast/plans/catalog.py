@@ -416,7 +416,7 @@ def compare_models(m):
     prior = m.prior_backtest.join(shared, "id", "left_semi")
     naive = m.naive_backtest.join(prior.select("id").distinct(), "id", "left_semi")
     history = panel.history_before(m.features.join(shared, "id", "left_semi"), min(m.folds))
-    return panel.compared(panel.by_level(prior, history), panel.by_level(naive, history), ("prior", "naive"))
+    return panel.compared({"prior": prior, "naive": naive}, history)
 
 
 @query

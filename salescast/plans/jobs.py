@@ -87,7 +87,7 @@ def compare(
     spark: SparkSession, features: DataFrame, settings: Settings, models: dict[str, object],
     out: str, min_history: int,
 ) -> DataFrame:
-    """Two backtests on the same series: side-by-side levels, and what each cost.
+    """Backtests on the same series: side-by-side levels, and what each cost.
 
     ``models`` maps a name to a function (features, folds) -> prediction frame. Cost columns, equal on
     all rows: wall-clock seconds of the fit and its written backtest, and the rows it wrote, which are
@@ -97,16 +97,14 @@ def compare(
     folds = D.origins_ending(D.last_day(rows), settings.n_folds, settings.fold_stride, settings.horizon)
     chosen = eligible_series(rows, min(folds), min_history, settings.max_series, settings.seed)
     shared = rows.join(chosen.select("id"), "id", "left_semi")
-    levels, costs = [], {}
+    preds, costs = {}, {}
     for name, run in models.items():
         begun, seen = time.perf_counter(), Observation(f"backtest of {name}")
         run(shared, folds).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/{name}")
         costs[f"seconds_{name}"] = F.lit(time.perf_counter() - begun)
         costs[f"rows_{name}"] = F.lit(seen.get["n"])
-        preds = spark.read.parquet(f"{out}/{name}")
-        levels.append(P.by_level(preds, P.history_before(shared, min(folds))))
-    first, second = list(models)
-    return P.compared(levels[0], levels[1], (first, second)).withColumns(costs)
+        preds[name] = spark.read.parquet(f"{out}/{name}")
+    return P.compared(preds, P.history_before(shared, min(folds))).withColumns(costs)
 
 
 def candidates(n: int, seed: int, base: BoostParams) -> list[BoostParams]:

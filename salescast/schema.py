@@ -7,6 +7,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Fixed values, down to the end of this module: column names, levels, intervals and defaults are the
+# contract of the tables and reports.
+
 # Identity of one series; every fact table carries these columns.
 ID_COLS = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]
 HIERARCHY = ID_COLS[1:]

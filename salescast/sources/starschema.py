@@ -107,7 +107,7 @@ def calendar(daily: DataFrame) -> DataFrame:
 
 
 def sales_long(daily: DataFrame) -> DataFrame:
-    """Gap-free day grid per series; a day without a fact row sold 0 units."""
+    """Gap-free day grid per series; a day without a fact row sold 0 units. Units are whole: halves round up."""
     first = first_day(daily)
     last = daily.agg(F.max("date")).scalar()
     grid = daily.select(*ID_COLS).distinct().select(
@@ -116,7 +116,7 @@ def sales_long(daily: DataFrame) -> DataFrame:
     return grid.join(daily.select("id", "date", "units"), ["id", "date"], "left").select(
         *ID_COLS,
         (F.datediff("date", first) + 1).alias("d"),
-        F.coalesce(F.col("units"), F.lit(0.0)).cast("int").alias("sales"),
+        F.round(F.coalesce(F.col("units"), F.lit(0.0))).cast("int").alias("sales"),
     )
 
 

@@ -104,7 +104,28 @@ def test_history_stops_at_the_earliest_origin(feature_rows):
 
 def test_comparison_has_both_models_per_level(spark, small):
     h, p = spark_frames(spark, small)
-    level = P.by_level(p, h)
-    both = P.compared(level, level, ("a", "b"))
+    worse = p.where("target_day % 3 <> 0").withColumn("q50", F.col("q50") * 1.5 + 1)
+    both = P.compared({"a": p, "b": worse}, h)
     assert both.columns == ["level", "wape_a", "wape_b", "mase_a", "mase_b", "rmsse_a", "rmsse_b"]
-    assert all(r["wape_a"] == r["wape_b"] for r in both.collect()) and both.count() == len(LEVELS)
+    got = {r["level"]: r for r in both.collect()}
+    assert set(got) == set(LEVELS)
+    for name, preds in (("a", p), ("b", worse)):
+        for r in P.by_level(preds, h).collect():
+            for metric in ("wape", "mase", "rmsse"):
+                assert got[r["level"]][f"{metric}_{name}"] == pytest.approx(r[metric])
+
+
+def test_comparison_leaves_out_levels_without_both_models(spark, small):
+    h, p = spark_frames(spark, small)
+    assert P.compared({"a": p, "b": p.limit(0)}, h).count() == 0
+
+
+def test_comparison_reads_the_history_as_often_as_one_model(spark, small, tmp_path):
+    h, p = spark_frames(spark, small)
+    h.write.parquet(str(tmp_path / "history"))
+    h = spark.read.parquet(str(tmp_path / "history"))
+
+    def scans(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+
+    assert scans(P.compared({"a": p, "b": p}, h)) == scans(P.by_level(p, h)) > 0
