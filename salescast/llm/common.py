@@ -8,7 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salescast.session import scratch_path
@@ -58,6 +58,18 @@ def partitions_for(spark: SparkSession, items: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-items // per_task))
 
 
+def first_of_each(df: DataFrame, key: str, names: list[str], n: int, slices: int = 64) -> DataFrame:
+    """The first ``n`` rows of each ``key`` by hash of the columns ``names``, then by these.
+
+    Rows are ranked in slices of each key first, so that no task sorts more than a slice or slices * n rows.
+    """
+    hashed = F.xxhash64(*names)
+    for parts in ([key, F.pmod(hashed, F.lit(slices))], [key]):
+        rank = F.row_number().over(Window.partitionBy(*parts).orderBy(hashed, *names))
+        df = df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return df
+
+
 def mod_crc(doc_id: str, m: int):
     """crc32 of the id as text, modulo ``m``; null ids count as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % m

@@ -1,6 +1,7 @@
 """Benchmark decontamination: exact shingles retrieve item-sized windows, SimHash only filters them.
 
-Words are runs of letters and digits, lower-cased (ASCII and Latin-1 letters); shingles are five words.
+Words are runs of Unicode letters, marks and numbers, lower-cased; quotes, dashes and no-break spaces part
+them like any punctuation. Scripts without spaces are parted by punctuation alone. Shingles are five words.
 A benchmark item of L words meets windows of L words of a document. A window can only be similar to an
 item with which it shares a shingle, so windows are laid where a shingle of the document occurs in an
 item, aligned with its place there; a 64k-bit mask and one binary search find those places. Every window
@@ -20,8 +21,10 @@ left out. Of several windows of a document for an item the most similar, then th
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,17 +47,41 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def lower(data: np.ndarray) -> np.ndarray:
-    """Lower case of ASCII and of the letters from A-grave to Thorn (C3 80 to C3 9E, without the times sign)."""
+@cache
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it is a letter, mark or number, and its lower case (if that has as many bytes)."""
+    kinds = [unicodedata.category(chr(c)) for c in range(0x110000)]
+    low = np.arange(0x110000, dtype=np.int32)
+    for c, kind in enumerate(kinds):
+        if kind in ("Lu", "Lt"):
+            new = chr(c).lower()
+            if len(new) == 1 and len(new.encode()) == len(chr(c).encode()):
+                low[c] = ord(new)
+    return np.array([kind[0] in "LMN" for kind in kinds]), low
+
+
+def plain(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes in lower case, with spaces for all bytes of characters beyond ASCII that part words."""
     out = _LOWER[data]
-    second = np.flatnonzero(data[:-1] == 0xC3) + 1
-    second = second[(data[second] >= 0x80) & (data[second] <= 0x9E) & (data[second] != 0x97)]
-    out[second] += 0x20
+    lead = np.flatnonzero(data >= 0xC0)
+    size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+    for n, mark in ((2, 0xC0), (3, 0xE0), (4, 0xF0)):
+        at = lead[size == n]
+        if not len(at):
+            continue
+        code = data[at].astype(np.int32) & (0xFF >> (n + 1))
+        for i in range(1, n):
+            code = code << 6 | data[at + i] & 0x3F
+        inside, low = _characters()
+        put, parts = low[code], ~inside[code]
+        for i in range(n - 1, -1, -1):
+            out[at + i] = np.where(parts, 0x20, put & 0x3F | 0x80 if i else put | mark)
+            put = put >> 6
     return out
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray):
-    return word_hashes(lower(data), offsets, _INSIDE)
+    return word_hashes(plain(data), offsets, _INSIDE)
 
 
 def _signs(h: np.ndarray) -> np.ndarray:

@@ -12,6 +12,8 @@ are answered each; an empty table gives an empty result; extra columns are left
 
 from __future__ import annotations
 
+import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from salescast.llm.common import mod_crc, pick, table
+from salescast.llm.common import first_of_each, mod_crc, pick, table
 
 #: Labelled documents a language that the dictionaries are made of, at most.
 SAMPLE = 200
 DICTS = 1
 DICT_BYTES = 1 << 16
 PIECE = 512
+#: Pieces of all dictionaries of a language.
+PIECES = DICTS * DICT_BYTES // PIECE
 BLOCK = 1 << 10
 LEVEL = 6
 MARGIN = 0.02
@@ -34,25 +38,40 @@ MARGIN = 0.02
 _coders: dict = {}
 
 
-def dictionaries(texts: list[str]) -> list[bytes]:
-    """``DICTS`` dictionaries of pieces taken from anywhere in the lower-cased texts."""
-    raws = [t.lower().encode("utf-8", "replace") for t in texts]
-    turn = [raw[i : i + PIECE] for raw in raws for i in range(0, len(raw), PIECE)]
-    turn = [turn[i] for i in np.random.default_rng(5).permutation(len(turn))]
-    per = DICT_BYTES // PIECE
-    return [b"\n".join(turn[k::DICTS][:per]) or b"\n" * 16 for k in range(DICTS)]
+def dictionaries(pieces: list[bytes]) -> list[bytes]:
+    """``DICTS`` dictionaries dealt from ``pieces`` of text."""
+    return [b"\n".join(filter(None, pieces[k::DICTS])) or b"\n" * 16 for k in range(DICTS)]
 
 
-def sample(docs: DataFrame, per_language: int = SAMPLE) -> dict[str, list[str]]:
-    """Whole texts of the first ``per_language`` training documents of each language, by hash of the id."""
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pieces of lower-cased texts, at most ``PIECES`` a text: those of the least marks, from anywhere in it."""
+    for pdf in batches:
+        out = []
+        for doc_id, lang, text in zip(pdf["doc_id"], pdf["lang"], pdf["text"]):
+            raw = text.lower().encode("utf-8", "replace")
+            marks = ((zlib.crc32(f"{doc_id}:{i}".encode()), i) for i in range(0, len(raw), PIECE))
+            # An empty text has one empty piece, after all others.
+            for mark, i in heapq.nsmallest(PIECES, marks) or [(1 << 32, 0)]:
+                out.append((lang, mark, raw[i : i + PIECE]))
+        yield pd.DataFrame(out, columns=["lang", "mark", "piece"])
+
+
+def sample(docs: DataFrame, per_language: int = SAMPLE) -> dict[str, list[bytes]]:
+    """Pieces of the first ``per_language`` training documents of each language, by hash of the id.
+
+    Texts are cut where they lie; ``PIECES`` pieces a language reach the driver.
+    """
     known = pick(docs, "doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (mod_crc("doc_id", 4) != 2))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = known.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= per_language)
-    rows = known.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).collect()
-    out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.doc_id, r.text)):
-        out.setdefault(r.lang, []).append(r.text)
+    ids = first_of_each(known.select("doc_id", "lang").distinct(), "lang", ["doc_id"], per_language)
+    # The sample is bounded: SAMPLE ids a language.
+    cut = known.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text").mapInPandas(
+        _pieces, "lang string, mark long, piece binary").distinct()
+    order = Window.partitionBy("lang").orderBy("mark", "piece")
+    rows = cut.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIECES).collect()
+    out: dict[str, list[bytes]] = {}
+    for r in sorted(rows, key=lambda r: (r.lang, r["rank"])):
+        out.setdefault(r.lang, []).append(bytes(r.piece))
     return out
 
 
@@ -105,7 +124,7 @@ def identifier(dicts: dict[str, list[bytes]]):
 
 def identify_languages(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, margin, rejected) of every row of ``docs``."""
-    dicts = {lang: dictionaries(texts) for lang, texts in sample(docs).items()}
+    dicts = {lang: dictionaries(pieces) for lang, pieces in sample(docs).items()}
     found = pick(docs, "doc_id", "text").select("doc_id", identifier(dicts)("text").alias("found"))
     return found.select(
         "doc_id", (mod_crc("doc_id", 4) == 2).alias("held_out"), "found.lang_pred", "found.score", "found.margin",

@@ -24,10 +24,10 @@ import math
 import warnings
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import DOC_COLS, pick, stage, table
+from salescast.llm.common import DOC_COLS, first_of_each, pick, stage, table
 
 #: Labelled documents a domain that the classifier is fitted on, at most.
 SAMPLE = 1500
@@ -68,8 +68,7 @@ def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SA
     shares = {r.domain: r["count"] for r in labelled.where(F.col("domain").isin(names)).groupBy("domain").count().collect()}
     total = sum(shares.values())
     prior = np.array([math.log(shares[n] / total) if n in shares else -math.inf for n in names] if total else [0.0] * len(names))
-    rank = F.row_number().over(Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = labelled.where(F.col("domain").isin(names)).withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank")
+    ids = first_of_each(labelled.where(F.col("domain").isin(names)), "domain", ["doc_id"], sample)
     # The sample is bounded: SAMPLE ids a domain.
     rows = _terms(docs.join(F.broadcast(ids), "doc_id"), "doc_id", "domain").where("word <> ''")
     # Documents that hold a bucket, not words: a document that repeats one word counts once.
@@ -209,7 +208,7 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float
     """Documents repeated or left out at their rates: floor(rate + u), u fixed by the id."""
     rates = mix(docs, labels, targets, anchor, thin)
     u = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
-    times = rates.select("rid", F.floor(F.round("rate", 2) + u).cast("int").alias("times")).where("times > 0")
+    times = rates.select("rid", F.floor(F.col("rate") + u).cast("int").alias("times")).where("times > 0")
     rows = pick(docs, *DOC_COLS).withColumn("rid", F.xxhash64("doc_id", "text")).join(times, "rid")
     return rows.withColumn("nth", F.explode(F.sequence(F.lit(1), "times"))).select(*DOC_COLS)
 

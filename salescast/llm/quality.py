@@ -7,7 +7,7 @@ together from document labels alone, by Adam on a balanced sample of at most ``S
 documents a class; the score is shifted back to the class shares of all training labels.
 
 Defined results: a null or empty text is one passage without words and gets that passage's score; an
-id with several labels takes the lowest; labels other than 0 and 1 or null are left out; where a class
+id with several labels takes the lowest, an id with several texts teaches one of them; labels other than 0 and 1 or null are left out; where a class
 has no training label the score is the share of label 1 (0.5 without labels); repeated rows are scored
 each; an empty table gives an empty result; extra columns are left out.
 """
@@ -19,11 +19,11 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from salescast.llm.common import mod_crc, pick, table
+from salescast.llm.common import first_of_each, mod_crc, pick, table
 
 WORDS = 64
 #: Labelled documents a class that the model is fitted on, at most.
@@ -135,8 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     counts = dict(known.groupBy("quality").count().collect())
     if len(counts) < 2:
         return constant(float(next(iter(counts), 0.5)))
-    rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = known.withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank")
+    ids = first_of_each(known, "quality", ["doc_id"], sample)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -147,7 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     # The sample is bounded: 2 * SAMPLE ids.
     rows = (
         pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id")
-        .mapInPandas(encode, "doc_id long, quality int, bag binary").collect())
+        .mapInPandas(encode, "doc_id long, quality int, bag binary")
+        .groupBy("doc_id", "quality").agg(F.min("bag").alias("bag")).collect())
     rows.sort(key=lambda r: r.doc_id)
     bags = [np.frombuffer(r.bag, np.float32).reshape(-1, N_FEATURES) for r in rows]
     y = np.array([r.quality for r in rows], float)

@@ -8,7 +8,7 @@ a rule makes that rule alone run again.
 Spans are code points, end exclusive. ``split`` gives the pieces between the matches of a pattern
 and ``regexp_extract_all`` the matches, both leftmost and non-overlapping; running sums of their
 lengths are the places. Besides the base rules the ledger scans private-key headers and signed web
-tokens, which add spans of their own.
+tokens, which add spans of their own. A pair that racing scans have written twice counts once.
 
 Defined results: a null text counts as empty; repeated rows share a blob and get the same findings
 each; a text without findings has counts 0, the hash of the empty string and empty spans; an empty
@@ -101,7 +101,7 @@ def scan(versions: DataFrame, ledger_path: str, rules: list[Rule] = RULES) -> Da
     fresh.select("blob", "x.rule", "x.spans").where("spans is not null").write.mode("append").parquet(ledger_path)
     ledger = spark.read.schema(empty_ledger(spark).schema).parquet(ledger_path)
     hits = ledger.where(F.col("rule").isin(wanted) & (F.size("spans") > 0)).groupBy("blob").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("rule").alias("key"), "spans"))).alias("found"))
+        F.sort_array(F.collect_set(F.struct(F.col("rule").alias("key"), "spans"))).alias("found"))
     keys = rows.select("path", "version", "blob")
     return keys.join(hits, "blob", "left").select(
         "path", "version", F.coalesce("found", F.array().cast(KEYS)).alias("found"))
