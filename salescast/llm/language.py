@@ -13,8 +13,8 @@ are answered each; an empty table gives an empty result; extra columns are left
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -43,15 +43,19 @@ def dictionaries(pieces: list[bytes]) -> list[bytes]:
     return [b"\n".join(filter(None, pieces[k::DICTS])) or b"\n" * 16 for k in range(DICTS)]
 
 
+def _mark(doc_id: int, at: int) -> int:
+    return int.from_bytes(blake2b(f"{doc_id}:{at}".encode(), digest_size=7).digest())
+
+
 def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pieces of lower-cased texts, at most ``PIECES`` a text: those of the least marks, from anywhere in it."""
     for pdf in batches:
         out = []
         for doc_id, lang, text in zip(pdf["doc_id"], pdf["lang"], pdf["text"]):
             raw = text.lower().encode("utf-8", "replace")
-            marks = ((zlib.crc32(f"{doc_id}:{i}".encode()), i) for i in range(0, len(raw), PIECE))
+            marks = ((_mark(doc_id, i), i) for i in range(0, len(raw), PIECE))
             # An empty text has one empty piece, after all others.
-            for mark, i in heapq.nsmallest(PIECES, marks) or [(1 << 32, 0)]:
+            for mark, i in heapq.nsmallest(PIECES, marks) or [(1 << 56, 0)]:
                 out.append((lang, mark, raw[i : i + PIECE]))
         yield pd.DataFrame(out, columns=["lang", "mark", "piece"])
 

@@ -47,9 +47,9 @@ PASSAGE = "the quick brown fox said that every careful reader should look at the
 
 @pytest.mark.parametrize("text", [
     PASSAGE.replace("quick brown", "“quick brown”"),
-    PASSAGE.replace("fox said", "fox—said").replace("page before", "page – before"),
-    PASSAGE.replace(" ", " "),
-    PASSAGE.replace(" careful ", " ‘careful’… ").replace(" ", " "),
+    PASSAGE.replace("fox said", "fox\u2014said").replace("page before", "page \u2013 before"),
+    PASSAGE.replace(" ", "\u00a0"),
+    PASSAGE.replace(" careful ", " \u2018careful\u2019\u2026 ").replace(" ", "\u202f"),
     PASSAGE.upper(),
 ])
 def test_typographic_marks_do_not_hide_an_item(spark, text):
