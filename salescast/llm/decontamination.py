@@ -1,15 +1,15 @@
-"""Benchmark decontamination: exact shingles retrieve item-sized windows, SimHash only filters them.
+"""Benchmark decontamination: SimHash of item-sized windows, found by multi-index Hamming search, then verified.
 
 Words are runs of Unicode letters, marks and numbers, lower-cased; quotes, dashes and no-break spaces part
 them like any punctuation. Scripts without spaces are parted by punctuation alone. Shingles are five words.
-A benchmark item of L words meets windows of L words of a document. A window can only be similar to an
-item with which it shares a shingle, so windows are laid where a shingle of the document occurs in an
-item, aligned with its place there; a 64k-bit mask and one binary search find those places. Every window
-gets a 128-bit SimHash of its shingles, weighted by how often each occurs. Hamming search cuts
-fingerprints into 16 blocks of 8 bits: of two fingerprints within ``RADIUS`` some block differs in at
-most RADIUS // 16 bits, so tables from block value to items lose none within the radius. Candidates
-within the radius are verified by exact weighted-shingle similarity, sum of minima over sum of maxima,
-at least 0.75.
+A benchmark item of L words meets every window of L words of a document (the whole document, if that is
+shorter). Only windows with enough shingles that occur in any item at all can be similar to one, so running
+counts of such shingles drop the others before they are hashed; which item it may be is not asked there.
+Every window left gets a 128-bit SimHash of its shingles, weighted by how often each occurs. Hamming
+search cuts fingerprints into 16 blocks of 8 bits: of two fingerprints within ``RADIUS`` some block
+differs in at most RADIUS // 16 bits, so the tables from block value to the items of L words return all
+items within the radius. They are the only source of candidates. Those within the radius are verified by
+exact weighted-shingle similarity, sum of minima over sum of maxima, at least 0.75.
 
 Items are taken in groups of ``GROUP``, which bounds what is broadcast; each group is one pass.
 
@@ -109,49 +109,78 @@ _BIT_COUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
 class Index:
-    """Items of one group: shingles, fingerprints and block tables."""
+    """Items of one group: their shingles, fingerprints and, by number of words, block tables."""
 
     def __init__(self, ids: list, texts: list):
         flat = pa.array(texts, pa.string())
-        self.ids, self.words, self.first, parts, where, item = [], [], [], [], [], []
+        self.ids, words, parts = [], [], []
         for row, data, offsets in slices(flat):
             doc, w = words_of(data, offsets)
             for i in range(len(offsets) - 1):
                 own = w[doc == i]
-                if not len(own):
-                    continue
-                k = min(WORDS, len(own))
-                _, h, _ = shingle_hashes(np.zeros(len(own), np.int64), own, k)
-                self.ids.append(ids[row + i])
-                self.words.append(len(own))
-                parts.append(h)
-                where.append(np.arange(len(h)))
-                item.append(np.full(len(h), len(self.ids) - 1))
-        self.hashes = parts
+                if len(own):
+                    self.ids.append(ids[row + i])
+                    words.append(len(own))
+                    parts.append(shingle_hashes(np.zeros(len(own), np.int64), own, min(WORDS, len(own)))[1])
         self.counts = [Counter(h.tolist()) for h in parts]
-        self.words = np.array(self.words, np.int64)
-        self.lengths = sorted({min(WORDS, int(n)) for n in self.words})
+        self.sizes = np.array([len(h) for h in parts], np.int64)
+        self.lengths = sorted(set(words))
         if not parts:
             return
-        h, where, item = np.concatenate(parts), np.concatenate(where), np.concatenate(item)
-        order = np.argsort(h, kind="stable")
-        self.h, self.where, self.item = h[order], where[order], item[order]
+        flat = np.concatenate(parts)
+        self.known = np.unique(flat)
         self.mask = np.zeros(1 << 16, bool)
-        self.mask[(self.h & np.uint64(0xFFFF)).astype(np.int64)] = True
-        sizes = np.array([len(p) for p in parts])
-        self.prints = fingerprints(np.concatenate(parts), np.cumsum(sizes) - sizes, sizes)
-        # near[b][v]: items whose block b differs from v in at most RADIUS // BLOCKS bits, as a bit row.
+        self.mask[(self.known & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.prints = fingerprints(flat, np.cumsum(self.sizes) - self.sizes, self.sizes)
+        # near[L][b][v]: items of L words whose block b differs from v in at most RADIUS // BLOCKS bits, as a bit row.
         value = np.arange(256, dtype=np.uint8)
         within = _BIT_COUNT[value[:, None] ^ value[None, :]] <= RADIUS // BLOCKS
-        self.near = [np.packbits(within[:, self.prints[:, b]], axis=1) for b in range(BLOCKS)]
+        self.items = {n: np.flatnonzero(np.array(words) == n) for n in self.lengths}
+        self.near = {n: [np.packbits(within[:, self.prints[own, b]], axis=1) for b in range(BLOCKS)]
+                     for n, own in self.items.items()}
+
+    def occurs(self, h: np.ndarray) -> np.ndarray:
+        """Whether each shingle occurs in any item."""
+        out = self.mask[(h & np.uint64(0xFFFF)).astype(np.int64)]
+        maybe = np.flatnonzero(out)
+        at = np.minimum(np.searchsorted(self.known, h[maybe]), len(self.known) - 1)
+        out[maybe] = self.known[at] == h[maybe]
+        return out
+
+    def candidates(self, length: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) pairs that some block table of items of ``length`` words returns, within the radius."""
+        near, own = self.near[length], self.items[length]
+        found = near[0][prints[:, 0]]
+        for b in range(1, BLOCKS):
+            found |= near[b][prints[:, b]]
+        window, item = np.nonzero(np.unpackbits(found, axis=1, count=len(own)))
+        item = own[item]
+        close = _BIT_COUNT[prints[window] ^ self.prints[item]].sum(1) <= RADIUS
+        return window[close], item[close]
+
+
+def _least(many, own):
+    """Shingles that a window of ``many`` and an item of ``own`` share at least, if they are similar enough."""
+    return np.ceil(THRESHOLD * (many + own) / (1 + THRESHOLD) - 1e-9).astype(np.int64)
+
+
+def _windows(d: np.ndarray, hits: np.ndarray, own: int):
+    """(first shingle, shingles) of the windows for items of ``own`` shingles that hold enough known ones.
+
+    ``d`` is the document of each shingle, ``hits`` how many known shingles lie before each, and after all.
+    """
+    first = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
+    count = np.diff(np.append(first, len(d)))
+    short = count < own
+    held = hits[first + count] - hits[first]
+    short &= (count >= THRESHOLD * own) & (held >= _least(count, own))
+    starts = np.flatnonzero((d[own - 1 :] == d[: len(d) - own + 1]) & (
+        hits[own:] - hits[: len(hits) - own] >= _least(own, own))) if len(d) >= own else first[:0]
+    return np.concatenate([starts, first[short]]), np.concatenate([np.full(len(starts), own), count[short]])
+
 
-    def candidates(self, prints: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Whether each window's item is found by some block table and lies within the radius."""
-        byte, bit = item >> 3, (0x80 >> (item & 7)).astype(np.uint8)
-        hit = np.zeros(len(item), bool)
-        for b in range(BLOCKS):
-            hit |= (self.near[b][prints[:, b], byte] & bit) != 0
-        return hit & (_BIT_COUNT[prints ^ self.prints[item]].sum(1) <= RADIUS)
+#: Windows that are hashed and looked up at once.
+AT_ONCE = 2048
 
 
 def _matches(index: Index, data: np.ndarray, offsets: np.ndarray):
@@ -159,36 +188,29 @@ def _matches(index: Index, data: np.ndarray, offsets: np.ndarray):
     doc, w = words_of(data, offsets)
     per_doc = np.bincount(doc, minlength=len(offsets) - 1)
     base = np.cumsum(per_doc) - per_doc
-    for k in index.lengths:
-        d, h, at = shingle_hashes(doc, w, k)
-        maybe = np.flatnonzero(index.mask[(h & np.uint64(0xFFFF)).astype(np.int64)])
-        lo, hi = np.searchsorted(index.h, h[maybe], "left"), np.searchsorted(index.h, h[maybe], "right")
-        n = hi - lo
-        if not n.sum():
-            continue
-        place = np.repeat(maybe, n)
-        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item = index.item[entry]
-        fits = np.minimum(index.words[item], WORDS) == k
-        place, entry, item = place[fits], entry[fits], item[fits]
-        # The window lies where the shingle's place in the item says, inside the document.
-        size = np.minimum(index.words[item], per_doc[d[place]])
-        start = at[place] - base[d[place]] - index.where[entry]
-        start = np.clip(start, 0, per_doc[d[place]] - size)
-        key = np.unique(np.stack([d[place], item, start, size], axis=1), axis=0)
-        if not len(key):
+    shingled = 0
+    for length in index.lengths:
+        k = min(WORDS, length)
+        if k != shingled:
+            shingled = k
+            d, h, at = shingle_hashes(doc, w, k)
+            known = index.occurs(h)
+            some = np.bincount(d[known], minlength=len(per_doc))[d] > 0
+            d, h, at = d[some], h[some], at[some]
+            hits = np.append(0, np.cumsum(known[some]))
+        if not len(d):
             continue
-        row, item, start, size = key.T
-        # Shingle number of a word: words before its document, less (k - 1) for each document before.
-        first = np.searchsorted(d, row, "left") + start
-        many = size - k + 1
-        good = index.candidates(fingerprints(h, first, many), item)
-        for r, i, s, z, f, m in zip(*(v[good].tolist() for v in (row, item, start, size, first, many))):
-            have, want = Counter(h[f : f + m].tolist()), index.counts[i]
-            both = sum(min(c, want[x]) for x, c in have.items() if x in want)
-            similar = both / (m + len(index.hashes[i]) - both)
-            if similar >= THRESHOLD:
-                yield r, i, similar, s, z
+        starts, many = _windows(d, hits, length - k + 1)
+        for lo in range(0, len(starts), AT_ONCE):
+            s, m = starts[lo : lo + AT_ONCE], many[lo : lo + AT_ONCE]
+            for window, i in zip(*(v.tolist() for v in index.candidates(length, fingerprints(h, s, m)))):
+                f, n, want = int(s[window]), int(m[window]), index.counts[i]
+                have = Counter(h[f : f + n].tolist())
+                both = sum(min(c, want[x]) for x, c in have.items() if x in want)
+                similar = both / (n + int(index.sizes[i]) - both)
+                if similar >= THRESHOLD:
+                    row = int(d[f])
+                    yield row, i, similar, int(at[f] - base[row]), n + k - 1
 
 
 def _finder(shared):

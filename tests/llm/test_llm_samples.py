@@ -103,3 +103,24 @@ def test_mixed_documents_keep_small_rates(spark, monkeypatch):
     rates = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), F.lit(0.004).alias("rate"))
     monkeypatch.setattr(mixing, "mix", lambda *_: rates)
     assert 50 < mixing.mixed_documents(docs, docs, {"clean": 1.0}, "clean").count() < 115
+
+
+def test_block_tables_return_every_item_within_the_radius():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{v}" for v in rng.integers(0, 400, 12)) for _ in range(300)]
+    index = decontamination.Index(list(range(300)), texts)
+    prints = rng.integers(0, 256, (50, decontamination.BLOCKS)).astype(np.uint8)
+    prints[:40] = index.prints[:40] ^ (np.packbits(rng.random((40, 128)) < 0.3, axis=1))
+    got = set(zip(*(v.tolist() for v in index.candidates(12, prints))))
+    apart = np.array([[bin(int.from_bytes((p ^ q).tobytes(), "big")).count("1") for q in index.prints] for p in prints])
+    assert got == {(i, j) for i, j in zip(*np.nonzero(apart <= decontamination.RADIUS))} and got
+
+
+def test_a_document_shorter_than_its_item_is_one_window(spark):
+    item = PASSAGE.split()
+    docs = spark.createDataFrame(
+        [(1, " ".join(item[:-1])), (2, " ".join(item[2:-3])), (3, " ".join(item[1:])), (4, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, PASSAGE)], "item_id long, text string")
+    n = len(item) - 4
+    got = {(r.doc_id, r.window_start, r.window_words, round(r.similarity, 9)) for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {(1, 0, n + 3, round((n - 1) / n, 9)), (3, 0, n + 3, round((n - 1) / n, 9))}
