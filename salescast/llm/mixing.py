@@ -4,6 +4,7 @@
    from at most ``SAMPLE`` documents a domain; only clearly telling buckets are kept, a table of at
    most ``WORD_BUCKETS + END_BUCKETS`` rows.
 2. One pass over the texts gives every document its tokens (words) and domain posteriors.
+   ``op7_mixing`` takes the posteriors of :mod:`salescast.llm.calibrated` instead of both.
 3. Projected-gradient least squares finds document rates r >= 0 whose expected tokens of domain k,
    sum(tokens * p_k * r), meet the targets. Steps are summed before the projection (lazy projection)
    and taken in the metric that weighs a document by its tokens, whitened over domains, so a
@@ -27,6 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salescast.llm import calibrated
 from salescast.llm.common import DOC_COLS, first_of_each, pick, stage, table
 
 #: Labelled documents a domain that the classifier is fitted on, at most.
@@ -196,11 +198,11 @@ def fit_rates(members: DataFrame, names: list[str], targets: dict[str, float], a
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, anchor: str | None = None,
-        thin: bool = False) -> DataFrame:
-    """(doc_id, rid, copies, tokens, p, rate), one row per distinct row of ``docs``."""
+        thin: bool = False, posteriors=memberships) -> DataFrame:
+    """(doc_id, rid, copies, tokens, p, rate), one row per distinct row of ``docs``; ``posteriors`` gives all but the rate."""
     targets = targets or TARGETS
     names = sorted(targets)
-    members = stage(memberships(docs, stage(own_labels(docs, labels), "mix-domains"), names), "mix-members")
+    members = stage(posteriors(docs, stage(own_labels(docs, labels), "mix-domains"), names), "mix-members")
     return members.withColumn("rate", rate_expression(fit_rates(members, names, targets, anchor, thin)))
 
 
@@ -215,6 +217,6 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float
 
 def op7_mixing(spark, sf_dir) -> DataFrame:
     names = sorted(TARGETS)
-    out = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    out = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), posteriors=calibrated.memberships)
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
         "doc_id", "tokens", *[F.col("p")[i].alias(f"p_{n}") for i, n in enumerate(names)], "rate")

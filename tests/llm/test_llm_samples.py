@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salescast.llm import decontamination, language, mixing, quality, secrets
+from salescast.llm import calibrated, decontamination, language, mixing, quality, secrets
 from salescast.llm.common import first_of_each
 
 
@@ -124,3 +124,29 @@ def test_a_document_shorter_than_its_item_is_one_window(spark):
     n = len(item) - 4
     got = {(r.doc_id, r.window_start, r.window_words, round(r.similarity, 9)) for r in decontamination.contaminated(docs, bench).collect()}
     assert got == {(1, 0, n + 3, round((n - 1) / n, 9)), (3, 0, n + 3, round((n - 1) / n, 9))}
+
+
+def test_mixing_posteriors_are_calibrated_on_held_out_labels(spark):
+    """Half of the rare documents tell their domain; the others look like common ones, and share their posterior."""
+    rng = np.random.default_rng(8)
+    rows, marks = [], []
+    for i in range(2400):
+        rare = i % 10 == 0
+        words = [f"w{v}" for v in rng.integers(0, 300, 40)] + (["slur."] if rare and i % 20 == 0 else ["plain"])
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(rare)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    names = ["clean", "low", "toxic"]
+    got = calibrated.memberships(docs, mixing.own_labels(docs, labels), names).collect()
+    told = [r.p for r in got if r.doc_id % 20 == 0]
+    rest = [r.p for r in got if r.doc_id % 20]
+    assert min(p[2] for p in told) > 0.95
+    share = np.mean([p[2] for p in rest])
+    assert abs(share - 120 / 2280) < 0.03 and all(p[1] == 0 and abs(sum(p) - 1) < 1e-9 for p in told + rest)
+    none = calibrated.memberships(docs, mixing.own_labels(docs, labels.limit(0)), names).first()
+    assert none.p == [1 / 3] * 3
+    assert calibrated.memberships(docs.limit(0), mixing.own_labels(docs, labels), names).count() == 0
+    odd = spark.createDataFrame([(9001, None), (9002, ""), (9002, ""), (9003, "x")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in calibrated.memberships(docs.union(odd), mixing.own_labels(docs, labels), names).collect()}
+    assert [(rows[i].tokens, rows[i].copies) for i in (9001, 9002, 9003)] == [(0, 1), (0, 2), (1, 1)]
