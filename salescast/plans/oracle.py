@@ -482,13 +482,25 @@ SELECT count(*) AS n_rows, count(DISTINCT item_id) AS n_items,
   count(*) FILTER (WHERE store_id IS NULL OR item_id IS NULL OR wm_yr_wk IS NULL OR sell_price IS NULL) AS null_values,
   count(*) FILTER (WHERE sell_price<=0) AS non_positive,
   (SELECT count(*) FROM (SELECT 1 FROM prices GROUP BY store_id,item_id,wm_yr_wk HAVING count(*)>1)) AS duplicate_keys FROM prices""")
+
+
+def kl_term(p: str, r: str) -> str:
+    """One class of a divergence: 0 where its own share is empty, NULL where only the other one is."""
+    return f"CASE WHEN {p}=0 THEN 0.0 WHEN {r}>0 THEN {p}*ln({p}/({r})) END"
+
+
+def kl_sum(*pairs: tuple[str, str]) -> str:
+    return "+".join(f"({kl_term(p, r)})" for p, r in pairs)
+
+
+MID0, MID1 = "(a0+d0)/2", "(a1+d1)/2"
 ORACLE["bias_metrics"] = sql(
     "cnt AS (SELECT count(*) FILTER (WHERE split_part(store_id,'_',1)<>'ASIA') AS na, count(*) FILTER (WHERE split_part(store_id,'_',1)='ASIA') AS nd, "
     "count(*) FILTER (WHERE split_part(store_id,'_',1)<>'ASIA' AND sales>0) AS pa, count(*) FILTER (WHERE split_part(store_id,'_',1)='ASIA' AND sales>0) AS pd FROM sales_long)",
-    "shr AS (SELECT na, nd, pa/na AS a1, pd/nd AS d1, 1-pa/na AS a0, 1-pd/nd AS d0 FROM cnt)",
-    select="""SELECT 'CI' AS metric, round((na-nd)/(na+nd),6) AS value FROM shr UNION ALL SELECT 'DPL', round(a1-d1,6) FROM shr
-UNION ALL SELECT 'KL', round(a0*ln(a0/d0)+a1*ln(a1/d1),6) FROM shr
-UNION ALL SELECT 'JS', round((a0*ln(2*a0/(a0+d0))+a1*ln(2*a1/(a1+d1))+d0*ln(2*d0/(a0+d0))+d1*ln(2*d1/(a1+d1)))/2,6) FROM shr
+    "shr AS (SELECT na, nd, pa/nullif(na,0) AS a1, pd/nullif(nd,0) AS d1, 1-pa/nullif(na,0) AS a0, 1-pd/nullif(nd,0) AS d0 FROM cnt)",
+    select=f"""SELECT 'CI' AS metric, round((na-nd)/nullif(na+nd,0),6) AS value FROM shr UNION ALL SELECT 'DPL', round(a1-d1,6) FROM shr
+UNION ALL SELECT 'KL', round({kl_sum(('a0', 'd0'), ('a1', 'd1'))},6) FROM shr
+UNION ALL SELECT 'JS', round(({kl_sum(('a0', MID0), ('a1', MID1), ('d0', MID0), ('d1', MID1))})/2,6) FROM shr
 UNION ALL SELECT 'KS', round(greatest(abs(a0-d0),abs(a1-d1)),6) FROM shr
 UNION ALL SELECT 'LP', round(sqrt((a0-d0)*(a0-d0)+(a1-d1)*(a1-d1)),6) FROM shr
 UNION ALL SELECT 'TVD', round((abs(a0-d0)+abs(a1-d1))/2,6) FROM shr""",
