@@ -33,7 +33,7 @@ from salescast.session import checkpointed
 SCHEMA_VERSION = 2
 #: Rows of one training task.
 TASK_ROWS = 1 << 21
-#: Partial results that may meet on the driver, in bytes, and the most that the ranges of one leaf take.
+#: Partial results that may meet on the driver in a whole fit, in bytes, and the most that the ranges of one leaf take.
 MEET_BYTES = 128 << 20
 RANGE_BYTES = 1 << 17
 #: Rows that are walked through the trees at once.
@@ -228,6 +228,8 @@ class Boosting:
         self.every = any_params.checkpoint_every
         self.rounds: dict[object, list[dict[float, Tree]]] = {key: [] for key in self.keys}
         self.losses: dict[object, list[dict[float, float]]] = {key: [] for key in self.keys}
+        #: Bytes of partial results that may still meet on the driver.
+        self.to_driver = MEET_BYTES
         #: Trees that the frame's forecasts lack, round by round: place in ``trees_of`` -> tree.
         self.pending: list[dict[int, Tree]] = []
 
@@ -374,10 +376,13 @@ class Boosting:
     def _met(self, partial, partial_schema: str, key: str, finish, schema: str, groups: int, group_bytes: int) -> list:
         """Partial results of every task, met by (tree, key) and finished; one row per group comes back.
 
-        They meet in a shuffle; where all of them together are small, on the driver, which saves a stage.
+        They meet in a shuffle. The first ones of a fit meet on the driver, which saves a stage, as long as all that
+        came there stays under ``MEET_BYTES``: neither rounds nor tasks add to what the driver gets of a long fit.
         """
         parts = self.frame.mapInArrow(partial, partial_schema)
-        if self.tasks * groups * group_bytes <= MEET_BYTES:
+        most = self.tasks * groups * group_bytes
+        if most <= self.to_driver:
+            self.to_driver -= most
             return [r for batch in finish(iter(parts.toArrow().to_batches())) for r in batch.to_pylist()]
         return parts.repartition(max(1, min(self.tasks, groups)), "tree", key).mapInArrow(finish, schema).collect()
 

@@ -212,6 +212,21 @@ def test_driver_and_shuffle_meet_the_same(table, monkeypatch):
     assert [{q: vars(t) for q, t in s.items()} for s in here.rounds] == [{q: vars(t) for q, t in s.items()} for s in there.rounds]
 
 
+def test_rounds_do_not_add_to_what_the_driver_gets(table, monkeypatch):
+    from salescast.operators import boosting
+
+    first = Boosting(table, QS, {0: Fit(PARAMS)})
+    one_level = first.tasks * len(QS) * len(first.binner.names) * first.binner.width * 16
+    monkeypatch.setattr(boosting, "MEET_BYTES", one_level)
+    got, kind = [], type(first.frame)
+    collect = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda df: got.append(collect(df)) or got[-1])
+    fit = Boosting(table, QS, {0: Fit(PARAMS)})
+    for _ in range(3):
+        fit.round()
+    assert 0 < sum(t.nbytes for t in got) <= 1.1 * one_level  # column offsets and keys come on top of the counts
+
+
 def test_leaf_budget_and_depth_hold(table):
     deep = fit_quantile_boost(table, (0.5,), BoostParams(rounds=2, max_depth=6, max_leaves=5, min_rows=1))
     assert all(len(s[0.5].leaves) <= 5 and s[0.5].depth <= 6 for s in deep.rounds)
