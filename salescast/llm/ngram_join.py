@@ -8,9 +8,10 @@ those prefixes meet, on the shingle. What two sets share before a shingle that b
 both prefixes too, so the positional filter leaves out earlier shingles that no other prefix holds.
 
 No list of a shingle is paired with itself as a whole. First every set of a list is compared with one
-anchor of the list; verified links make components. Then only lists that still hold several
-components are joined, and only sets of different components, so a group of near copies costs its size,
-not its square. Here all prefix shingles of a pair meet, so their count and the last of them bound what the
+anchor of the list; verified links make components. Then, in a few turns, lists that still hold several
+components get other anchors, and a few pairs of sets speak for each pair of components, so that stragglers
+of a group find it without meeting all of it. Only what stays apart in the lists is joined as a whole, and only
+sets of different components, so a group of near copies costs its size, not its square. Here all prefix shingles of a pair meet, so their count and the last of them bound what the
 sets can share. Each pair is verified once, on whole sets. Sets in the same component need no further
 comparison, since the result is components.
 
@@ -47,6 +48,9 @@ HOT = 1 << 16
 BLOOM = 1 << 23
 #: Ranges of hashes that the suffix filter compares.
 RANGES = 128
+#: Anchors of a list in a turn, and pairs of sets that speak for two components in each turn before what is left is joined.
+ANCHORS = 16
+SPEAKERS = (32,)
 #: Prefix entries that one task gathers.
 TASK_ENTRIES = 1_000_000
 
@@ -245,12 +249,41 @@ def contracted_components(edges: DataFrame, name: str) -> DataFrame:
     are then few links between those.
     """
     now = stage(components(edges.groupBy("a").agg(F.min("b").alias("b")), name), f"{name}-first")
-    rest = by_component(by_component(edges, "a", now), "b", now).where("a <> b").distinct()
-    top = stage(components(rest, name), f"{name}-top")
+    return merged(now, stage(components(between(edges, now), name), f"{name}-top"))
+
+
+def between(edges: DataFrame, now: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes as links of different components."""
+    return by_component(by_component(edges, "a", now), "b", now).where("a <> b").distinct()
+
+
+def merged(now: DataFrame, top: DataFrame) -> DataFrame:
+    """(node, component) after the components of ``now`` were linked to those of ``top``."""
     alone = top.join(now.select("node"), "node", "left_anti")
     return by_component(now, "component", top).union(alone)
 
 
+def open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries of the lists that still hold several components once those of ``found`` are known."""
+    placed = by_component(lists, "component", found)
+    several = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return placed.join(several.select("shingle"), "shingle")
+
+
+def speakers(lists: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of sets, so many as ``SPEAKERS`` says for two components: members of a list with its anchors of this turn."""
+    entry = F.struct(F.xxhash64("sig", F.lit(turn)).alias("order"), "sig", "n", "pos", "before", "component")
+    anchors = lists.groupBy("shingle", F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(ANCHORS))).agg(
+        F.min(entry).alias("t")).select("shingle", "t.*")
+    near = lists.alias("l").join(anchors.alias("r"), "shingle").where(F.col("l.component") != F.col("r.component")).where(_close("l", "r"))
+    place = F.xxhash64(F.col("l.sig"), F.col("r.sig"), F.lit(turn))
+    pair = F.struct(place, F.col("l.sig").alias("a"), F.col("r.sig").alias("b"))
+    return near.groupBy(
+        F.least("l.component", "r.component").alias("c"), F.greatest("l.component", "r.component").alias("d"),
+        F.pmod(place, F.lit(SPEAKERS[turn])).alias("slot"),
+    ).agg(F.min(pair).alias("p")).select("p.a", "p.b")
+
+
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """((doc_id, n, sig) of every row, (sig, component) by links to anchors, further links (a, b) of components)."""
     spark = docs.sparkSession
@@ -266,7 +299,6 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     in_order = Window.partitionBy("sig").orderBy("pos")
     first_lists = stage(lists.withColumns({
         "before": F.row_number().over(in_order) - 1, "prev": F.lag("shingle").over(in_order)}), "ngram-lists")
-    lists = first_lists
 
     spreads = profile.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("counts").alias("spread"))
     spreads = stage(spreads, "ngram-spreads")
@@ -281,21 +313,26 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         left, right = whole.toDF("a", "x"), whole.toDF("b", "y")
         return stage(pairs.join(left, "a").join(right, "b").where(verified("x", "y")).select("a", "b"), "ngram-links")
 
-    anchors = lists.groupBy("shingle").agg(F.min(F.struct("sig", "n", "pos", "before")).alias("t")).select("shingle", "t.*")
-    star = lists.alias("l").join(anchors.alias("r"), "shingle").where(F.col("l.sig") != F.col("r.sig")).where(_close("l", "r"))
+    anchors = first_lists.groupBy("shingle").agg(F.min(F.struct("sig", "n", "pos", "before")).alias("t")).select("shingle", "t.*")
+    star = first_lists.alias("l").join(anchors.alias("r"), "shingle").where(F.col("l.sig") != F.col("r.sig")).where(_close("l", "r"))
     # One candidate a set, the least anchor of its lists; what stays apart is left to the lists of several components.
     edges = verify(star.groupBy(F.col("l.sig").alias("a")).agg(F.min("r.sig").alias("b")))
-    now = stage(contracted_components(edges, "ngram").withColumnRenamed("node", "sig"), "ngram-components")
-    lists = lists.join(now, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    lists = stage(lists, "ngram-lists")
+    now = stage(contracted_components(edges, "ngram"), "ngram-components")
+    lists = stage(open_lists(first_lists.withColumn("component", F.col("sig")), now), "ngram-open")
     unstage(spark, first_lists)
-    open_lists = lists.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    lists = lists.join(open_lists.where("lo <> hi").select("shingle"), "shingle")
+    for turn in range(len(SPEAKERS)):
+        edges = between(verify(speakers(lists, turn).distinct()), now)
+        if edges.isEmpty():
+            break
+        top = stage(components(edges, "ngram"), "ngram-top")
+        now = stage(merged(now, top), "ngram-components")
+        was, lists = lists, stage(open_lists(lists, top), "ngram-open")
+        unstage(spark, was)
     # Two sets that also share the shingle before this one have met there.
     cross = lists.alias("l").join(lists.alias("r"), "shingle").where(
         (F.col("l.component") < F.col("r.component")) & ~F.coalesce(F.col("l.prev") == F.col("r.prev"), F.lit(False))).where(_close("l", "r"))
     more = verify(cross.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).distinct())
-    return members, now, by_component(by_component(more, "a", now), "b", now)
+    return members, now, between(more, now)
 
 
 def placed_rows(docs: DataFrame) -> DataFrame:

@@ -379,3 +379,30 @@ def test_an_id_with_two_texts_loses_only_the_near_copy(spark):
     docs = spark.createDataFrame([(*r, "en", "s", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     left = ngram_join.one_of_each_group(docs).collect()
     assert Counter((r.doc_id, r.text) for r in left) == Counter([(1, copied), (5, own), (7, None)])
+
+
+def test_stragglers_of_a_group_do_not_meet_all_of_it(spark, monkeypatch):
+    """Copies of one text with a word or two changed: many miss their first anchor, few pairs are left to compare."""
+    import random
+
+    from salescast.llm import ngram_join
+
+    rng, base, rows = random.Random(3), [f"w{i}" for i in range(100)], []
+    for i in range(160):
+        words = list(base)
+        for at in rng.sample(range(100), 1 + i % 2):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    sizes, staged = [], ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: sizes.append((name, out := staged(df, name))) or out)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(96)} for i, t in rows}
+    want = {i: i for i in sets}
+    for _ in range(8):
+        for a in sets:
+            for b in sets:
+                if 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]):
+                    want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    pairs = sum(df.count() for name, df in sizes if name == "ngram-pairs")
+    assert pairs < 0.4 * len(rows) * (len(rows) - 1) / 2
