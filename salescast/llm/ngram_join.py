@@ -11,9 +11,10 @@ No list of a shingle is paired with itself as a whole. First every set of a list
 anchor of the list; verified links make components. Then, in a few turns, lists that still hold several
 components get other anchors, and a few pairs of sets speak for each pair of components, so that stragglers
 of a group find it without meeting all of it. Only what stays apart in the lists is joined as a whole, and only
-sets of different components, so a group of near copies costs its size, not its square. Here all prefix shingles of a pair meet, so their count and the last of them bound what the
-sets can share. Each pair is verified once, on whole sets. Sets in the same component need no further
-comparison, since the result is components.
+sets of different components, so a group of near copies costs its size, not its square. There every entry carries
+a bitmap of its set, the parity of its hashes at ``BITS`` places: two sets differ in at least so many hashes as
+their bitmaps do in bits, so a list of sets that share a passage and little else makes hardly a pair. Each pair is
+verified once, on whole sets. Sets in the same component need no further comparison, since the result is components.
 
 A list's members are found where the shingle is dealt to; shingles whose count is over ``HOT`` are
 shared for certain, so their entries are spread over tasks instead.
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -44,10 +46,14 @@ WORDS = 5
 SLOTS = 1 << 22
 SLOT_BLOCK = 1 << 14
 HOT = 1 << 16
-#: Bits of the filter of wanted signatures.
+#: Bits of the filter of wanted ids.
 BLOOM = 1 << 23
 #: Ranges of hashes that the suffix filter compares.
 RANGES = 128
+#: Bits of a set's bitmap, and its columns.
+BITS = 256
+MARKS = [f"mark{i}" for i in range(BITS // 64)]
+PROFILE = ["doc_id", "n", "sig", "block", "counts", *MARKS]
 #: Anchors of a list in a turn, and pairs of sets that speak for two components in each turn before what is left is joined.
 ANCHORS = 16
 SPEAKERS = (32,)
@@ -83,6 +89,13 @@ def _spread(rows: int, d: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.bincount(at, minlength=rows * RANGES).clip(max=255).astype(np.uint8).reshape(rows, RANGES)
 
 
+def _marks(rows: int, d: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Bitmap of each set, as rows of whole numbers: bit i is set if an odd number of hashes fall there."""
+    at = d.astype(np.int64) * BITS + ((h >> np.uint64(40)) % np.uint64(BITS)).astype(np.int64)
+    odd = np.bincount(at, minlength=rows * BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).reshape(rows, len(MARKS))
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SLOTS, np.int64)
     for batch in batches:
@@ -92,14 +105,13 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = len(n)
             yield pa.RecordBatch.from_arrays([
                 ids.slice(row, k), pa.array(n, pa.int64()), pa.array(sig), pa.nulls(k, pa.int32()),
-                pa.array([r.tobytes() for r in _spread(k, d, h)], pa.binary())],
-                ["doc_id", "n", "sig", "block", "counts"])
+                pa.array([r.tobytes() for r in _spread(k, d, h)], pa.binary()), *map(pa.array, _marks(k, d, h).T)],
+                PROFILE)
     blocks = [i for i in range(SLOTS // SLOT_BLOCK) if counts[i * SLOT_BLOCK : (i + 1) * SLOT_BLOCK].any()]
     packed = [zlib.compress(counts[i * SLOT_BLOCK : (i + 1) * SLOT_BLOCK].tobytes(), 1) for i in blocks]
     none = pa.nulls(len(blocks), pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [none, none, none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())],
-        ["doc_id", "n", "sig", "block", "counts"])
+        [none, none, none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary()), *[none] * len(MARKS)], PROFILE)
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,8 +204,8 @@ def verified(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def bloom(wanted: DataFrame) -> np.ndarray:
-    """``BLOOM`` bits, set where a wanted signature falls: a filter of fixed size that loses none."""
-    spots = wanted.select(F.pmod("sig", F.lit(BLOOM)).cast("int").alias("spot"))
+    """``BLOOM`` bits, set where a wanted id falls: a filter of fixed size that loses none. A null id counts as 0."""
+    spots = wanted.select(F.pmod(F.coalesce("id", F.lit(0)), F.lit(BLOOM)).cast("int").alias("spot"))
     words = spots.selectExpr("spot div 32 AS word", "shiftleft(1L, spot % 32) AS bit")
     out = np.zeros(BLOOM // 32, np.uint32)
     for r in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
@@ -201,19 +213,23 @@ def bloom(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, hashes) of the sets whose signature may be wanted, each once; texts are not shuffled."""
+def whole_sets(rows: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sig, hashes) of the wanted sets, each once, from the text of one of its rows; texts are not shuffled.
+
+    Only texts whose id may be the least of a wanted set are made into sets again.
+    """
     spark = rows.sparkSession
-    spots = spark.sparkContext.broadcast(bloom(wanted))
+    holders = members.join(wanted.distinct(), "sig").groupBy("sig").agg(F.min("doc_id").alias("id"))
+    spots = spark.sparkContext.broadcast(bloom(holders))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, _, h, n, sig in _sets(batch.column(1)):
-                spot = sig % BLOOM
-                hit = (spots.value[spot // 32] >> (spot % 32).astype(np.uint32)) & 1
+            spot = pc.fill_null(batch.column(0), 0).to_numpy() % BLOOM
+            hit = (spots.value[spot // 32] >> (spot % 32).astype(np.uint32)) & 1
+            for _, _, h, n, sig in _sets(batch.column(1).filter(pa.array(hit > 0))):
                 end, own = np.cumsum(n), []
-                for i in np.flatnonzero((hit > 0) & (n > 0)).tolist():
+                for i in np.flatnonzero(n > 0).tolist():
                     if int(sig[i]) not in seen:
                         seen.add(int(sig[i]))
                         own.append(i)
@@ -231,6 +247,12 @@ def _close(a: str, b: str):
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * most >= 3 * (n + m))
 
 
+def _alike(a: str, b: str):
+    """Bitmap filter: the sets of two entries differ in at least so many hashes as their bitmaps do in bits."""
+    differ = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in MARKS)
+    return 7 * differ <= F.col(f"{a}.n") + F.col(f"{b}.n")
+
+
 def need_col(n):
     return F.floor((3 * n + 3) / 4)
 
@@ -288,7 +310,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """((doc_id, n, sig) of every row, (sig, component) by links to anchors, further links (a, b) of components)."""
     spark = docs.sparkSession
     rows = pick(docs, "doc_id", "text")
-    profile = stage(rows.mapInArrow(_profile, "doc_id long, n long, sig long, block int, counts binary"), "ngram-profile")
+    profile = stage(rows.mapInArrow(_profile,
+        "doc_id long, n long, sig long, block int, counts binary, " + ", ".join(f"{c} long" for c in MARKS)), "ngram-profile")
     members = profile.where("block is null").select("doc_id", "n", "sig")
     entries = members.agg(F.sum(F.col("n") - need_col(F.col("n")) + 1)).first()[0] or 0
     shared = spark.sparkContext.broadcast(slot_counts(profile))
@@ -300,16 +323,17 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     first_lists = stage(lists.withColumns({
         "before": F.row_number().over(in_order) - 1, "prev": F.lag("shingle").over(in_order)}), "ngram-lists")
 
-    spreads = profile.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("counts").alias("spread"))
+    spreads = profile.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("counts").alias("spread"), *[F.first(c).alias(c) for c in MARKS])
     spreads = stage(spreads, "ngram-spreads")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left, right = spreads.toDF("a", "n", "x"), spreads.toDF("b", "m", "y")
+        known = spreads.select("sig", "n", "spread")
+        left, right = known.toDF("a", "n", "x"), known.toDF("b", "m", "y")
         pairs = pairs.join(left, "a").join(right, "b").where(may_link("x", "y", F.col("n") + F.col("m")))
         pairs = stage(pairs.select("a", "b"), "ngram-pairs")
         if pairs.isEmpty():
             return pairs
-        whole = whole_sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("sig")))
+        whole = whole_sets(rows, members, pairs.select(F.explode(F.array("a", "b")).alias("sig")))
         left, right = whole.toDF("a", "x"), whole.toDF("b", "y")
         return stage(pairs.join(left, "a").join(right, "b").where(verified("x", "y")).select("a", "b"), "ngram-links")
 
@@ -329,8 +353,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         was, lists = lists, stage(open_lists(lists, top), "ngram-open")
         unstage(spark, was)
     # Two sets that also share the shingle before this one have met there.
+    lists = lists.join(spreads.select("sig", *MARKS), "sig")
     cross = lists.alias("l").join(lists.alias("r"), "shingle").where(
-        (F.col("l.component") < F.col("r.component")) & ~F.coalesce(F.col("l.prev") == F.col("r.prev"), F.lit(False))).where(_close("l", "r"))
+        (F.col("l.component") < F.col("r.component")) & ~F.coalesce(F.col("l.prev") == F.col("r.prev"), F.lit(False))).where(_close("l", "r")).where(_alike("l", "r"))
     more = verify(cross.select(F.col("l.sig").alias("a"), F.col("r.sig").alias("b")).distinct())
     return members, now, between(more, now)
 

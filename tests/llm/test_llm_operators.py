@@ -406,3 +406,29 @@ def test_stragglers_of_a_group_do_not_meet_all_of_it(spark, monkeypatch):
     assert got == want
     pairs = sum(df.count() for name, df in sizes if name == "ngram-pairs")
     assert pairs < 0.4 * len(rows) * (len(rows) - 1) / 2
+
+
+def test_sets_that_share_a_passage_only_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(60)]
+    compared, whole_sets = [], ngram_join.whole_sets
+    monkeypatch.setattr(ngram_join, "may_link", lambda x, y, n: F.lit(True))
+    monkeypatch.setattr(ngram_join, "_close", lambda a, b: F.lit(True))
+
+    def counted(rows, *args):
+        compared.append(args[-1].count() // 2)
+        return whole_sets(rows, *args)
+
+    monkeypatch.setattr(ngram_join, "whole_sets", counted)
+    rows = ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id for r in rows) and len(rows) == 60
+    assert sum(compared) < 1000  # 60 * 59 / 2 pairs share the passage
+
+
+def test_sets_are_made_again_from_wanted_rows_only(spark):
+    rows = spark.createDataFrame([(i, f"a{i} b c d e f g{i}") for i in range(1, 50)] + [(None, "x y z")], "doc_id long, text string")
+    members, _, _ = ngram_join.links(rows)
+    known = {r.doc_id: r.sig for r in members.collect()}
+    wanted = spark.createDataFrame([(known[7],), (known[None],)], "sig long")
+    assert {r.sig for r in ngram_join.whole_sets(rows, members, wanted).collect()} == {known[7], known[None]}
