@@ -33,8 +33,10 @@ from salescast.session import checkpointed
 SCHEMA_VERSION = 2
 #: Rows of one training task.
 TASK_ROWS = 1 << 21
-#: Partial results that may meet on the driver in a whole fit, in bytes, and the most that the ranges of one leaf take.
-MEET_BYTES = 128 << 20
+#: Partial results that may meet on the driver in a whole fit, in bytes, what a task gathers of them, and the most that
+#: the ranges of one leaf take.
+MEET_BYTES = 8 << 20
+GATHER_BYTES = 32 << 20
 RANGE_BYTES = 1 << 17
 #: Rows that are walked through the trees at once.
 BLOCK = 1 << 14
@@ -377,14 +379,16 @@ class Boosting:
         """Partial results of every task, met by (tree, key) and finished; one row per group comes back.
 
         They meet in a shuffle. The first ones of a fit meet on the driver, which saves a stage, as long as all that
-        came there stays under ``MEET_BYTES``: neither rounds nor tasks add to what the driver gets of a long fit.
+        came there stays under ``MEET_BYTES``: neither rounds nor tasks add to what the driver gets of a long fit. Elsewhere
+        as few tasks as can hold the partial results gather them, as the end of every task is told to the driver.
         """
         parts = self.frame.mapInArrow(partial, partial_schema)
         most = self.tasks * groups * group_bytes
         if most <= self.to_driver:
             self.to_driver -= most
             return [r for batch in finish(iter(parts.toArrow().to_batches())) for r in batch.to_pylist()]
-        return parts.repartition(max(1, min(self.tasks, groups)), "tree", key).mapInArrow(finish, schema).collect()
+        gather = max(1, min(self.tasks, groups, -(-most // GATHER_BYTES)))
+        return parts.repartition(gather, "tree", key).mapInArrow(finish, schema).collect()
 
     def round(self, keys: list | None = None) -> None:
         """One more tree for every quantile of the fits ``keys`` (all by default)."""

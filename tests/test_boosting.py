@@ -227,6 +227,24 @@ def test_rounds_do_not_add_to_what_the_driver_gets(table, monkeypatch):
     assert 0 < sum(t.nbytes for t in got) <= 1.1 * one_level  # column offsets and keys come on top of the counts
 
 
+def test_small_partial_results_are_gathered_by_one_task(table, monkeypatch):
+    from salescast.operators import boosting
+
+    monkeypatch.setattr(boosting, "MEET_BYTES", 0)
+    boost = Boosting(table, QS, {0: Fit(PARAMS)})
+    gathered, kind = [], type(boost.frame)
+    deal = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda df, n, *by: gathered.append(n) or deal(df, n, *by))
+    boost.round()
+    assert gathered[0] == 1  # the roots' counts, a few KB of each task
+
+
+def test_a_long_fit_leaves_the_driver_room():
+    from salescast.operators import boosting
+
+    assert boosting.MEET_BYTES <= 16 << 20  # several fits of a query count together
+
+
 def test_leaf_budget_and_depth_hold(table):
     deep = fit_quantile_boost(table, (0.5,), BoostParams(rounds=2, max_depth=6, max_leaves=5, min_rows=1))
     assert all(len(s[0.5].leaves) <= 5 and s[0.5].depth <= 6 for s in deep.rounds)
