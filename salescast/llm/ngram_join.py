@@ -14,7 +14,8 @@ of a group find it without meeting all of it. Only what stays apart in the lists
 sets of different components, so a group of near copies costs its size, not its square. There every entry carries
 a bitmap of its set, the parity of its hashes at ``BITS`` places: two sets differ in at least so many hashes as
 their bitmaps do in bits, so a list of sets that share a passage and little else makes hardly a pair. Each pair is
-verified once, on whole sets. Sets in the same component need no further comparison, since the result is components.
+verified once, on whole sets, if it passes the suffix filter, whose ranges grow with the set: with a fixed number, large
+sets that differ in half of their hashes passed. Sets in the same component need no further comparison, since the result is components.
 
 A list's members are found where the shingle is dealt to; shingles whose count is over ``HOT`` are
 shared for certain, so their entries are spread over tasks instead.
@@ -48,8 +49,8 @@ SLOT_BLOCK = 1 << 14
 HOT = 1 << 16
 #: Bits of the filter of wanted ids.
 BLOOM = 1 << 23
-#: Ranges of hashes that the suffix filter compares.
-RANGES = 128
+#: Least and greatest number of hash ranges that the suffix filter compares; a set has about three ranges a hash.
+RANGES = 256, 1 << 15
 #: Bits of a set's bitmap, and its columns.
 BITS = 256
 MARKS = [f"mark{i}" for i in range(BITS // 64)]
@@ -83,10 +84,16 @@ def _sets(texts: pa.Array):
         yield row, d, h, n, mix(total ^ n.astype(np.uint64)).view(np.int64)
 
 
-def _spread(rows: int, d: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """How many hashes of each set fall into each of ``RANGES`` ranges, 255 at most."""
-    at = d.astype(np.int64) * RANGES + (h >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
-    return np.bincount(at, minlength=rows * RANGES).clip(max=255).astype(np.uint8).reshape(rows, RANGES)
+def _spread(n: np.ndarray, d: np.ndarray, h: np.ndarray) -> list[bytes]:
+    """Whether the hashes of each set that fall into each range are odd in number; a set of ``n`` has 2n to 4n ranges.
+
+    The numbers of ranges are powers of 2, so that the halves of a longer row make a shorter one.
+    """
+    ranges = (1 << np.ceil(np.log2(np.maximum(n, 1) * 2)).astype(np.int64)).clip(*RANGES)
+    end = np.cumsum(ranges)
+    at = (end - ranges)[d] + ((h >> np.uint64(40)).astype(np.int64) & (ranges[d] - 1))
+    odd = np.packbits(np.bincount(at, minlength=int(ranges.sum())).astype(np.uint8) & 1).tobytes()
+    return [odd[(e - r) // 8 : e // 8] for e, r in zip(end.tolist(), ranges.tolist())]
 
 
 def _marks(rows: int, d: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -105,7 +112,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = len(n)
             yield pa.RecordBatch.from_arrays([
                 ids.slice(row, k), pa.array(n, pa.int64()), pa.array(sig), pa.nulls(k, pa.int32()),
-                pa.array([r.tobytes() for r in _spread(k, d, h)], pa.binary()), *map(pa.array, _marks(k, d, h).T)],
+                pa.array(_spread(n, d, h), pa.binary()), *map(pa.array, _marks(k, d, h).T)],
                 PROFILE)
     blocks = [i for i in range(SLOTS // SLOT_BLOCK) if counts[i * SLOT_BLOCK : (i + 1) * SLOT_BLOCK].any()]
     packed = [zlib.compress(counts[i * SLOT_BLOCK : (i + 1) * SLOT_BLOCK].tobytes(), 1) for i in blocks]
@@ -185,12 +192,24 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.array(at[keep] & (2**31 - 1), pa.int32())], names=["shingle", "sig", "n", "pos"]).to_batches(50_000)
 
 
+def _differ(a: pd.Series, b: pd.Series) -> np.ndarray:
+    """In how many ranges the counts of two sets differ, at the number of ranges that both have."""
+    out = np.zeros(len(a), np.int64)
+    x, y = a.str.len().to_numpy(), b.str.len().to_numpy()
+    for m, k in set(zip(x.tolist(), y.tolist())):
+        at = np.flatnonzero((x == m) & (y == k))
+        left = np.frombuffer(b"".join(a.iloc[at]), np.uint8).reshape(-1, m)
+        right = np.frombuffer(b"".join(b.iloc[at]), np.uint8).reshape(-1, k)
+        short = min(m, k)
+        left, right = (np.bitwise_xor.reduce(z.reshape(len(at), -1, short), axis=1) for z in (left, right))
+        out[at] = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+    return out
+
+
 @pandas_udf(BooleanType())
 def may_link(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
-    """Suffix filter: sets of ``n`` hashes together differ at least as much as their counts by range do."""
-    x = np.frombuffer(b"".join(a), np.uint8).reshape(-1, RANGES).astype(np.int16)
-    y = np.frombuffer(b"".join(b), np.uint8).reshape(-1, RANGES).astype(np.int16)
-    return pd.Series(7 * np.abs(x - y).sum(1) <= n.to_numpy(), dtype="bool")
+    """Suffix filter: sets of ``n`` hashes together differ at least as much as their odd counts by range do."""
+    return pd.Series(7 * _differ(a, b) <= n.to_numpy(), dtype="bool")
 
 
 @pandas_udf(BooleanType())

@@ -432,3 +432,16 @@ def test_sets_are_made_again_from_wanted_rows_only(spark):
     known = {r.doc_id: r.sig for r in members.collect()}
     wanted = spark.createDataFrame([(known[7],), (known[None],)], "sig long")
     assert {r.sig for r in ngram_join.whole_sets(rows, members, wanted).collect()} == {known[7], known[None]}
+
+
+def test_large_sets_that_share_half_are_told_apart_before_whole_sets_are_read(spark, monkeypatch):
+    import itertools
+
+    passages = [" ".join(f"p{i}w{j}" for j in range(1000)) for i in range(6)]
+    texts = [f"{passages[i]} {passages[j]}" for i, j in itertools.combinations(range(6), 2)]
+    rows = [*enumerate(texts), (100, texts[3] + " and more")]
+    sizes, staged = [], ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: sizes.append((name, out := staged(df, name))) or out)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i for i in range(len(texts))} | {100: 3}
+    assert sum(df.count() for name, df in sizes if name == "ngram-pairs") == 1
