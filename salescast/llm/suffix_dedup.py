@@ -4,18 +4,19 @@ A window is a 50-byte string of a document. The windows of a document that share
 their 20-byte strings (the anchor) and stand next to each other are one cell: equal windows have equal
 anchors, so they can only meet in cells of the same anchor, and only those are brought together.
 
-1. Anchors are dealt by hash; those that occur in one document only are let go, without any text.
-2. Cells of the remaining anchors are cut out of the texts. A run of texts hands on one cell of equal
-   content, of the smallest doc_id; equal cells of larger ones are covered already.
-3. Where an anchor has cells of different content, they are cut into shards. Each shard's transform is
-   built from its own suffixes; the transforms are merged by iterative interleave refinement: every
-   round deals the interleave by the symbol in front, so after t rounds suffixes are ordered by t
-   symbols, and a flag tells where neighbours differ in those. No suffix is sorted again. Two bytes make
-   a symbol, so 25 rounds give the intervals with a common prefix of 50 bytes; a window is covered if
-   its interval holds a smaller doc_id.
+1. Cells are dealt by anchor as two hashes, without any text. Anchors that occur in one document only are let
+   go. A cell whose content also stands in a document with a smaller doc_id is covered as a whole: its document is
+   told so. What is left of an anchor is one cell of each content, that of the smallest doc_id; these are asked for
+   only where the anchor has several contents.
+2. Cells asked for are cut out of the texts.
+3. They are cut into shards. Each shard's transform is built from its own suffixes; the transforms are merged by
+   iterative interleave refinement: every round deals the interleave by the symbol in front, so after t rounds
+   suffixes are ordered by t symbols, and a flag tells where neighbours differ in those. No suffix is sorted again.
+   Five bytes make a symbol, so 10 rounds give the intervals with a common prefix of 50 bytes; a window is covered
+   if its interval holds a smaller doc_id.
 4. Covered byte ranges are joined back to the texts and cut out.
 
-An anchor of more than ``HOT`` documents is not gathered: each of its windows becomes a cell of its own,
+Of an anchor of more than ``HOT`` documents, each window of the cells asked for becomes a cell of its own,
 dealt by a hash of its 50 bytes, so that only equal windows meet, once a run of texts.
 
 Defined results: a null text counts as empty (0 bytes, the hash of nothing); texts under 50 bytes lose
@@ -41,10 +42,10 @@ LENGTH, ANCHOR = 50, 20
 #: Windows of a cell, at most; a longer run is cut.
 CELL = 256
 #: (anchor, document) rows and cells that one task gathers.
-TASK_ANCHORS, TASK_CELLS = 1_000_000, 100_000
+TASK_ANCHORS, TASK_CELLS = 2_000_000, 50_000
 HOT = 50_000
 #: Symbols of one merge, shards it is made of.
-MERGE_SYMBOLS, SHARDS = 500_000, 4
+MERGE_SYMBOLS, SHARDS = 60_000, 4
 CELLS = "h long, e long, doc_id long, rid long, start int, windows int, content binary, ranges binary"
 
 
@@ -78,8 +79,8 @@ def cells_of(data: np.ndarray, offsets: np.ndarray):
 
 
 def _low(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Task of an anchor and 40 further bits of it: together they name it, in 5 bytes where the task is known."""
-    return (h % np.uint64(parts)).astype(np.int32), (h // np.uint64(parts)) & np.uint64((1 << 40) - 1)
+    """Task of an anchor and 32 further bits of it. Anchors that share both are told apart by their contents."""
+    return (h % np.uint64(parts)).astype(np.int32), ((h // np.uint64(parts)) & np.uint64((1 << 32) - 1)).astype(np.uint32)
 
 
 def _short(low: np.ndarray) -> np.ndarray:
@@ -93,80 +94,105 @@ def _long(raw: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def _name(e: np.ndarray) -> np.ndarray:
+    """40 bits of a content."""
+    return e & np.uint64((1 << 40) - 1)
+
+
 def _anchors(parts: int):
-    """Packed anchors of a run of texts, one row a task that judges them.
+    """Packed cells of a run of texts, one row a task that judges them.
 
-    ``rids`` and ``counts`` name the documents, ``lows`` their distinct anchors, ``known`` tells those that
-    a second document of this run holds; a document's known anchors are handed on too, as they only need
-    to be told to others.
+    ``ids`` and ``counts`` tell the documents and how many different cells of each follow, ``lows`` and ``names``
+    their anchors and contents. A document's ids are told as differences, which compress well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            rids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for row, data, offsets in slices(batch.column(1)):
-                doc, _, _, h, _ = cells_of(data, offsets)
+                doc, _, _, h, e = cells_of(data, offsets)
                 if not len(doc):
                     continue
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                h, doc = h[new], doc[new]
-                first = np.ones(len(h), bool)
-                first[1:] = h[1:] != h[:-1]
-                known = (np.diff(np.append(np.flatnonzero(first), len(h))) > 1)[np.cumsum(first) - 1]
                 task, low = _low(h, parts)
-                order = np.lexsort((doc, task))
-                task, low, doc, known = task[order], low[order], doc[order], known[order]
+                place = task.astype(np.int64) * len(offsets) + doc
+                order = np.lexsort((e, place))
+                place, low, e = place[order], low[order], e[order]
+                new = np.ones(len(place), bool)  # equal contents have equal anchors
+                new[1:] = (place[1:] != place[:-1]) | (e[1:] != e[:-1])
+                place, low, name = place[new], low[new], _name(e[new])
+                owner = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+                count = np.diff(np.append(owner, len(place))).astype(np.int32)
+                task, doc = np.divmod(place[owner], len(offsets))
+                own = ids[row + doc]
                 cut = np.append(np.flatnonzero(np.append(True, task[1:] != task[:-1])), len(task))
+                edge = np.append(owner, len(place))[cut]
+                short = _short(name)
                 out: list[list] = [[], [], [], [], []]
-                for a, b in zip(cut[:-1], cut[1:]):
-                    own, count = np.unique(doc[a:b], return_counts=True)
+                for a, b, i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), edge[:-1].tolist(), edge[1:].tolist()):
                     for column, x in zip(out, (
-                            int(task[a]), rids[row + own].tobytes(), count.astype(np.int32).tobytes(),
-                            _short(low[a:b]).tobytes(), np.packbits(known[a:b]).tobytes())):
+                            int(task[a]), press.compress(np.diff(own[a:b], prepend=np.int64(0)).tobytes()),
+                            press.compress(count[a:b].tobytes()), low[i:j].tobytes(), short[i:j].tobytes())):
                         column.append(x)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])],
-                    ["task", "rids", "counts", "lows", "known"])
+                    ["task", "ids", "counts", "lows", "names"])
 
     return run
 
 
+#: What a document is told of a cell: its content is wanted, the same of a hot anchor, it is covered as a whole.
+WANTED, SINGLE, COVERED = 0, 1, 2
+
+
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, task, anchors, hot) of the anchors of this partition that several documents hold."""
+    """(doc_id, task, names, kind) of the cells of this partition that a document is told of."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
     tasks: dict[int, list[tuple]] = {}
     for batch in batches:
         for task, *rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
             tasks.setdefault(task, []).append(rest)
-    for task, rows in tasks.items():
-        rid = np.concatenate([np.repeat(np.frombuffer(r, np.int64), np.frombuffer(c, np.int32)) for r, c, _, _ in rows])
-        low = np.concatenate([_long(x) for _, _, x, _ in rows])
-        known = np.concatenate([np.unpackbits(np.frombuffer(k, np.uint8))[: len(x) // 5] for _, _, x, k in rows]).astype(bool)
-        order = np.lexsort((rid, low))
-        rid, low, known = rid[order], low[order], known[order]
+    for task in list(tasks):
+        rows = tasks.pop(task)
+        doc = np.concatenate([np.repeat(np.cumsum(np.frombuffer(press.decompress(r), np.int64)),
+                                        np.frombuffer(press.decompress(c), np.int32)) for r, c, _, _ in rows])
+        low = np.concatenate([np.frombuffer(x, np.uint32) for _, _, x, _ in rows])
+        name = np.concatenate([_long(x) for _, _, _, x in rows])
+        order = np.lexsort((doc, name, low))
+        doc, low, name = doc[order], low[order], name[order]
         first = np.ones(len(low), bool)
         first[1:] = low[1:] != low[:-1]
-        new = first.copy()
-        new[1:] |= rid[1:] != rid[:-1]
-        start = np.flatnonzero(first)
-        documents = np.add.reduceat(new, start)
-        shared = (documents > 1) | np.logical_or.reduceat(known, start)
-        group = np.cumsum(first) - 1
-        keep = shared[group] & new
-        rid, low, hot = rid[keep], low[keep], (documents > HOT)[group][keep]
-        order = np.lexsort((hot, rid))
-        rid, low, hot = rid[order], low[order], hot[order]
-        if not len(rid):
+        lead = first.copy()
+        lead[1:] |= name[1:] != name[:-1]
+        new = lead.copy()
+        new[1:] |= doc[1:] != doc[:-1]
+        start, group = np.flatnonzero(first), np.cumsum(first) - 1
+        contents = np.add.reduceat(lead, start)[group]
+        documents = np.add.reduceat(new, start)[group]
+        least = doc[np.flatnonzero(lead)][np.cumsum(lead) - 1]
+        covered = new & (doc > least)
+        # One document with several contents compares with nothing.
+        several = np.minimum.reduceat(doc, start)[group] != np.maximum.reduceat(doc, start)[group]
+        wanted = lead & (contents > 1) & several
+        kind = np.where(covered, COVERED, np.where(documents > HOT, SINGLE, WANTED)).astype(np.int8)
+        keep = covered | wanted
+        doc, name, kind = doc[keep], name[keep], kind[keep]
+        order = np.lexsort((kind, doc))
+        doc, name, kind = doc[order], name[order], kind[order]
+        if not len(doc):
             continue
-        cut = np.flatnonzero(np.append(True, (rid[1:] != rid[:-1]) | (hot[1:] != hot[:-1])))
-        lists = [x.tobytes() for x in np.split(_short(low), cut[1:])]
+        cut = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (kind[1:] != kind[:-1])))
+        raw, edge = _short(name).tobytes(), np.append(cut, len(doc)) * 5
+        lists = [raw[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
         for a in range(0, len(cut), 5000):
-            k = len(cut[a : a + 5000])
+            at = cut[a : a + 5000]
             yield pa.RecordBatch.from_arrays([
-                pa.array(rid[cut[a : a + 5000]]), pa.array(np.full(k, task, np.int32)),
-                pa.array(lists[a : a + 5000], pa.binary()), pa.array(hot[cut[a : a + 5000]])], ["rid", "task", "anchors", "hot"])
+                pa.array(doc[at]), pa.array(np.full(len(at), task, np.int32)),
+                pa.array(lists[a : a + 5000], pa.binary()), pa.array(kind[at])], ["doc_id", "task", "names", "kind"])
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,33 +238,49 @@ def _range_batch(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
         pa.array([r for _, r in found], pa.binary())], names=_CELL_NAMES)
 
 
+def _told(asked: list, parts: int, cut: np.ndarray, task: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """What each cell's document was told of it, -1 for nothing; the cells of document i are cut[i] to cut[i + 1]."""
+    out = np.full(len(name), -1, np.int8)
+    key = (task.astype(np.uint64) << np.uint64(40)) | name
+    for i, told in enumerate(asked):
+        if not told:
+            continue
+        raw = [x["names"] for x in told]
+        n = np.array([len(x) // 5 for x in raw])
+        known = _long(b"".join(raw)) | np.repeat(np.array([x["task"] for x in told], np.uint64) << np.uint64(40), n)
+        kind = np.repeat(np.array([x["kind"] for x in told], np.int8), n)
+        order = np.argsort(known)
+        known, kind = known[order], kind[order]
+        own = key[cut[i] : cut[i + 1]]
+        at = np.searchsorted(known, own)
+        at[at == len(known)] = 0
+        hit = known[at] == own
+        out[cut[i] : cut[i + 1]][hit] = kind[at[hit]]
+    return out
+
+
 def _cut_cells(parts: int):
-    """Cells of shared anchors: one with content for equal ones of the smallest doc_id, further ones of that
-    document as places, and the ranges of those that a smaller doc_id covers."""
+    """Cells asked for, with their content (further equal ones of the document as places), and the ranges of those
+    that a smaller doc_id covers as a whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             rids = batch.column(1).to_numpy(zero_copy_only=False)
-            asked = batch.column(3)
+            asked = batch.column(3).to_pylist()
             for row, data, offsets in slices(pa.array([t.decode() for t in _texts(batch.column(2))], pa.large_string())):
                 doc, start, windows, h, e = cells_of(data, offsets)
-                keep, hot = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
-                task, low = _low(h, parts)
-                name = (task.astype(np.uint64) << np.uint64(40)) | low
+                task, _ = _low(h, parts)
                 cut = np.searchsorted(doc, np.arange(len(offsets)))
-                for i in range(len(offsets) - 1):
-                    for is_hot in (False, True):
-                        wanted = [(np.uint64(x["task"]) << np.uint64(40)) | _long(x["anchors"])
-                                  for x in asked[row + i].as_py() if x["hot"] == is_hot]
-                        if wanted:
-                            hit = np.isin(name[cut[i] : cut[i + 1]], np.concatenate(wanted))
-                            keep[cut[i] : cut[i + 1]] |= hit
-                            if is_hot:
-                                hot[cut[i] : cut[i + 1]] |= hit
+                kind = _told(asked[row : row + len(offsets) - 1], parts, cut, task, _name(e))
+                done = kind == COVERED
+                if done.any():
+                    place = (start - offsets[doc])[done]
+                    yield _range_batch(list(_ranges(rids[row + doc[done]], place, place + windows[done] - 1 + LENGTH)))
+                keep = (kind == WANTED) | (kind == SINGLE)
                 if not keep.any():
                     continue
-                doc, start, windows, h, e, hot = (x[keep] for x in (doc, start, windows, h, e, hot))
+                doc, start, windows, h, e, hot = (x[keep] for x in (doc, start, windows, h, e, kind == SINGLE))
                 if hot.any():  # every window of a hot anchor becomes a cell of its own, named by its bytes
                     n = np.where(hot, windows, 1)
                     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -275,7 +317,7 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     rank = text.astype(np.int64) + len(ends)
     rank[ends] = np.arange(len(ends))
     step, n = 1, len(text)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while True:
         new = np.ones(n, np.int64)
         new[0] = 0
@@ -287,7 +329,7 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         ahead = np.zeros(n, np.int64)
         ahead[:-step] = dense[step:] + 1
         rank = dense * (n + 1) + ahead
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         step *= 2
 
 
@@ -300,6 +342,14 @@ def transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return front[order], order
 
 
+def _by_symbol(front: np.ndarray) -> np.ndarray:
+    """Stable order of symbols, dealt by 16 bits at a time."""
+    if front.dtype.itemsize == 2:
+        return np.argsort(front, kind="stable")
+    order = np.argsort(front.astype(np.uint16), kind="stable")
+    return order[np.argsort((front >> 16).astype(np.uint16)[order], kind="stable")]
+
+
 def merge(shards: list[np.ndarray], strings: list[int], rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """Interleave of the shards' suffixes after ``rounds`` of refinement, and where neighbours differ
     in their first ``rounds`` symbols. Symbol 0 ends a string and is like no other."""
@@ -312,7 +362,7 @@ def merge(shards: list[np.ndarray], strings: list[int], rounds: int) -> tuple[np
     front = np.empty_like(symbols)
     for _ in range(rounds):
         front[np.argsort(z, kind="stable")] = symbols
-        order = np.argsort(front, kind="stable")
+        order = _by_symbol(front)
         block = np.cumsum(differ, dtype=np.int32)[order]
         lead = front[order]
         differ = np.ones(len(symbols), bool)
@@ -323,43 +373,60 @@ def merge(shards: list[np.ndarray], strings: list[int], rounds: int) -> tuple[np
     return z, differ
 
 
-_SYMBOL = np.arange(256, dtype=np.uint16)
-_SYMBOL[0] = 255  # 0 ends strings; 255 never occurs in UTF-8
+#: Bytes of a symbol. Rounds times this is ``LENGTH``.
+WIDE = 5
+
+
+def _symbols(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(symbol, string, place, first symbol of each sequence) of the ``WIDE`` sequences of symbols of each string, one
+    for each phase, every one ended by 0. Byte 0 counts as 255, which never occurs in UTF-8."""
+    size = np.array([len(c) for c in contents])
+    data = np.frombuffer(b"".join(contents) + bytes(WIDE), np.uint8).astype(np.uint64)
+    data[data == 0] = 255
+    wide = np.zeros(len(data) - WIDE, np.uint64)
+    for i in range(WIDE):
+        wide = (wide << np.uint64(8)) | data[i : i + len(wide)]
+    phase = np.tile(np.arange(WIDE), len(size))
+    owner = np.repeat(np.arange(len(size)), WIDE)
+    n = (size[owner] - phase) // WIDE + 1
+    begin = np.cumsum(n) - n
+    of = np.repeat(np.arange(len(n)), n)
+    place = (np.arange(n.sum()) - begin[of]) * WIDE + phase[of]
+    owner = owner[of]
+    symbol = wide[np.minimum((np.cumsum(size) - size)[owner] + place, len(wide) - 1)]
+    symbol[begin + n - 1] = 0
+    return symbol, owner, place, begin
 
 
 def covered_windows(contents: list[bytes], doc: np.ndarray) -> list[np.ndarray]:
     """For each string, whether each of its windows also starts in a string of a smaller ``doc``."""
-    out = [np.zeros(len(c) - LENGTH + 1, bool) for c in contents]
-    shards, orders, owners, strings = [], [], [], []
+    size = np.array([len(c) - LENGTH + 1 for c in contents])
+    flags = np.zeros(size.sum(), bool)
+    symbol, owner, place, begin = _symbols(contents)
+    named, symbol = np.unique(symbol, return_inverse=True)  # 0 stays 0
+    symbol = symbol.astype(np.uint16 if len(named) <= 1 << 16 else np.int32)
+    shards, take, strings = [], [], []
     for part in np.array_split(np.arange(len(contents)), min(SHARDS, len(contents))):
-        text, ends, owner, place, at = [], [], [], [], 0
-        for i in part.tolist():
-            raw = _SYMBOL[np.frombuffer(contents[i], np.uint8)]
-            for phase in (0, 1):
-                own = raw[phase:]
-                pairs = (own[: len(own) // 2 * 2 : 2] << 8) | own[1 : len(own) // 2 * 2 : 2]
-                text.append(np.append(pairs, np.uint16(0)))
-                owner.append(np.full(len(pairs) + 1, i))
-                place.append(np.arange(len(pairs) + 1) * 2 + phase)
-                at += len(pairs) + 1
-                ends.append(at - 1)
-        front, order = transform(np.concatenate(text), np.array(ends))
+        if not len(part):
+            continue
+        lo = begin[part[0] * WIDE]
+        hi = begin[(part[-1] + 1) * WIDE] if part[-1] + 1 < len(contents) else len(symbol)
+        own = begin[part[0] * WIDE + 1 : (part[-1] + 1) * WIDE] - 1 - lo
+        front, order = transform(symbol[lo:hi], np.append(own, hi - lo - 1))
         shards.append(front)
-        orders.append(np.concatenate(place)[order])
-        owners.append(np.concatenate(owner)[order])
-        strings.append(len(ends))
-    z, differ = merge(shards, strings, LENGTH // 2)
-    back = np.argsort(z, kind="stable")
-    owner, place = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
-    owner[back], place[back] = np.concatenate(owners), np.concatenate(orders)
+        take.append(order + lo)
+        strings.append(len(part) * WIDE)
+    z, differ = merge(shards, strings, LENGTH // WIDE)
+    at = np.empty(len(z), np.int64)
+    at[np.argsort(z, kind="stable")] = np.concatenate(take)
+    owner, place = owner[at], place[at]
     start = np.flatnonzero(differ)
     several = np.diff(np.append(start, len(z))) > 1
     least = np.minimum.reduceat(doc[owner], start)
     block = np.cumsum(differ) - 1
     hit = np.flatnonzero(several[block] & (least[block] < doc[owner]))
-    for i, p in zip(owner[hit].tolist(), place[hit].tolist()):
-        out[i][p] = True
-    return out
+    flags[(np.cumsum(size) - size)[owner[hit]] + place[hit]] = True
+    return np.split(flags, np.cumsum(size)[:-1])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,18 +469,20 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(content[end]) + 2
             end += 1
         flags = covered_windows(content[begin:end], doc[leads[begin:end]])
-        rs, as_, bs = [], [], []
-        for k, flag in enumerate(flags, begin):
-            if not flag.any():
-                continue
-            step = np.diff(np.concatenate([[0], flag.astype(np.int8), [0]]))
-            on, off = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-            for twin in twins[by_group[0][k] : by_group[1][k]]:
-                rs.append(np.full(len(on), rid[twin]))
-                as_.append(start[twin] + on)
-                bs.append(start[twin] + off - 1 + LENGTH)
-        if rs:
-            ranges.append((np.concatenate(rs), np.concatenate(as_), np.concatenate(bs)))
+        size = np.array([len(f) for f in flags])
+        edge = np.zeros(size.sum() + len(size), np.int8)  # a 0 behind each string
+        string = np.repeat(np.arange(len(size)), size)
+        edge[np.arange(size.sum()) + string] = np.concatenate(flags)
+        step = np.diff(edge, prepend=np.int8(0))
+        on, off = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        if len(on):
+            first_of = np.cumsum(size) - size + np.arange(len(size))
+            k = np.searchsorted(first_of, on, "right") - 1
+            on, off = on - first_of[k], off - first_of[k]
+            lo, hi = by_group[0][begin + k], by_group[1][begin + k]
+            n = hi - lo
+            twin = twins[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            ranges.append((rid[twin], start[twin] + np.repeat(on, n), start[twin] + np.repeat(off, n) - 1 + LENGTH))
         begin = end
     found = list(_ranges(*(np.concatenate(x) for x in zip(*ranges))))
     for i in range(0, len(found), 20_000):
@@ -448,16 +517,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``."""
     spark = docs.sparkSession
     rows = pick(docs, "doc_id", "text").withColumn("rid", F.xxhash64("doc_id", "text"))
-    texts = rows.where("doc_id is not null and text is not null").select("rid", "text")
+    texts = rows.where("doc_id is not null and text is not null").select("doc_id", "text")
     n = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = partitions_for(spark, n // 16, TASK_ANCHORS)
-    anchors = texts.mapInArrow(_anchors(parts), "task int, rids binary, counts binary, lows binary, known binary")
+    anchors = texts.mapInArrow(_anchors(parts), "task int, ids binary, counts binary, lows binary, names binary")
     shared = stage(anchors.repartition(parts, "task").mapInArrow(
-        _judge, "rid long, task int, anchors binary, hot boolean"), "suffix-anchors")
-    total = shared.agg(F.sum(F.octet_length("anchors") / 5)).first()[0] or 0
-    asked = shared.groupBy("rid").agg(F.collect_list(F.struct("task", "anchors", "hot")).alias("anchors"))
+        _judge, "doc_id long, task int, names binary, kind byte"), "suffix-anchors")
+    total = shared.where(F.col("kind") != COVERED).agg(F.sum(F.octet_length("names") / 5)).first()[0] or 0
+    asked = shared.groupBy("doc_id").agg(F.collect_list(F.struct("task", "names", "kind")).alias("asked"))
     packed = rows.select("doc_id", "rid", "text").mapInArrow(_squeeze, "doc_id long, rid long, packed binary")
-    cells = packed.join(asked, "rid").select("doc_id", "rid", "packed", "anchors").mapInArrow(_cut_cells(parts), CELLS)
+    cells = packed.join(asked, "doc_id").select("doc_id", "rid", "packed", "asked").mapInArrow(_cut_cells(parts), CELLS)
     found = cells.repartition(partitions_for(spark, int(total), TASK_CELLS), "h").mapInArrow(_compare, "rid long, ranges binary")
     ranges = stage(found, "suffix-ranges").groupBy("rid").agg(F.collect_list("ranges").alias("ranges"))
     return packed.join(ranges, "rid", "left").select("doc_id", "packed", "ranges").mapInArrow(

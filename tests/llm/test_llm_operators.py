@@ -445,3 +445,29 @@ def test_large_sets_that_share_half_are_told_apart_before_whole_sets_are_read(sp
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: i for i in range(len(texts))} | {100: 3}
     assert sum(df.count() for name, df in sizes if name == "ngram-pairs") == 1
+
+
+def test_equal_cells_are_settled_without_their_content(spark, monkeypatch):
+    rng = random.Random(11)
+    same = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=3000))
+    other = same[:1400] + "#" + same[1400:]
+    sent, cut = spark.sparkContext.accumulator(0), suffix_dedup._cut_cells
+
+    def counted(parts):
+        run = cut(parts)
+
+        def go(batches):
+            for b in run(batches):
+                sent.add(len(b) - b.column(6).null_count)
+                yield b
+
+        return go
+
+    monkeypatch.setattr(suffix_dedup, "_cut_cells", counted)
+    rows = [(i, same) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == {i: 3000 if i else 0 for i in range(40)} and sent.value == 0
+    docs = spark.createDataFrame([*rows, (40, other)], "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got[40] == 3000 and 0 < sent.value < 20
