@@ -235,6 +235,12 @@ class Boosting:
         #: Trees that the frame's forecasts lack, round by round: place in ``trees_of`` -> tree.
         self.pending: list[dict[int, Tree]] = []
 
+    def retake(self, key, params: BoostParams) -> None:
+        """Other parameters for a fit that has no tree yet; bins and checkpoints stay those of the start."""
+        if self.rounds[key]:
+            raise ValueError(f"fit {key} has trees already")
+        self.fits[key] = replace(self.fits[key], params=params)
+
     # What a task does to a batch before its own work.
     def _reader(self):
         rates = [self.fits[key].params.learning_rate for key, _ in self.trees_of]

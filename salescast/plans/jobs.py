@@ -7,6 +7,7 @@ import random
 import time
 from dataclasses import replace
 
+import numpy as np
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from salescast.operators import registry as RG
 from salescast.operators.boosting import Boosting, BoostParams, Fit, QuantileBoostModel, fit_quantile_boost
 from salescast.operators.forecast import Forecaster, catalogue, group_priors
 from salescast.operators.reshape import cap_series, eligible_series, only_state
+from salescast.operators.surrogate import next_points
 from salescast.plans.backtest import boost_backtest
 from salescast.schema import MEDIAN, Settings
 from salescast.sources.archive import latest_archive, write_archive
@@ -28,6 +30,9 @@ from salescast.sources.runs import write_run
 RATE_RANGE = (0.01, 0.1)
 LEAF_RANGE = (31, 255)
 ROW_RANGE = (20, 200)
+# Draws among which the search looks for its next candidates, and candidates that are fitted at the same time.
+POOL = 2048
+PARALLEL = 2
 
 
 def selected(features: DataFrame, settings: Settings) -> DataFrame:
@@ -147,6 +152,11 @@ def tune(
         last = alive
         alive = sorted(alive, key=lambda i: (wape[i] is None, wape[i], i))[: -(-len(alive) // 2)]
     boosting.close()
+    return _scored(spark, tries, came, wape, last)
+
+
+def _scored(spark: SparkSession, tries: list[BoostParams], came: dict, wape: dict, last: list[int]) -> DataFrame:
+    """One row per candidate; the best one is the least of ``last``."""
     best = min(last, key=lambda i: (wape[i] is None, wape[i], i))
     return spark.createDataFrame(
         [(i, p.learning_rate, p.max_leaves, p.min_rows, came[i], wape[i], i == best) for i, p in enumerate(tries)],
@@ -154,6 +164,53 @@ def tune(
     )
 
 
+def place(p: BoostParams) -> list[float]:
+    """A candidate as a point of the unit cube; the rate on a logarithmic scale."""
+    low, high = map(math.log, RATE_RANGE)
+    return [(math.log(p.learning_rate) - low) / (high - low),
+            *((v - a) / (b - a) for v, (a, b) in ((p.max_leaves, LEAF_RANGE), (p.min_rows, ROW_RANGE)))]
+
+
+def proposals(tried: list[BoostParams], wapes: list[float | None], n: int, seed: int, base: BoostParams) -> list[BoostParams]:
+    """The next ``n`` candidates: random draws at first, then those of many draws that promise most by the WAPEs so far."""
+    # To nine digits: the sums of a WAPE have no fixed order.
+    seen = [(place(p), round(w, 9)) for p, w in zip(tried, wapes) if w is not None]
+    if not seen:
+        return candidates(n, seed + len(tried), base)
+    pool = candidates(POOL, seed + len(tried), base)
+    x, y = (np.array(v) for v in zip(*seen))
+    return [pool[i] for i in next_points(x, y, n, np.array([place(p) for p in pool]))]
+
+
+def search(
+    spark: SparkSession, features: DataFrame, origins: list[int], settings: Settings, base: BoostParams, n: int, seed: int,
+    parallel: int = PARALLEL,
+) -> DataFrame:
+    """Bayesian search: WAPE of ``n`` candidates on the newest origin, which none has trained on.
+
+    ``parallel`` candidates grow at a time, each through all rounds; their WAPEs decide what is tried next. Nothing
+    stops early: a candidate has one score, that of its whole fit. The binned table is made once and also carries
+    the held-out rows. Trees may grow as deep as their leaves need. ``features`` are taken whole.
+    """
+    known, newest = D.holdout(origins)
+    table = D.direct_table(features, [*known, newest], settings.horizon)
+    rows = F.col("origin") != newest
+    boosting = Boosting(table, settings.quantiles, {i: Fit(base, rows) for i in range(n)})
+    tried: list[BoostParams] = []
+    wape: dict[int, float | None] = {}
+    while len(tried) < n:
+        now = list(range(len(tried), min(len(tried) + parallel, n)))
+        tried += proposals(tried, [wape[i] for i in range(len(tried))], len(now), seed, base)
+        for i in now:
+            depth = (tried[i].max_leaves - 1).bit_length()
+            boosting.retake(i, replace(tried[i], max_depth=max(base.max_depth, depth)))
+        for _ in range(base.rounds):
+            boosting.round(now)
+        wape |= boosting.held_out_wape(now)
+    boosting.close()
+    return _scored(spark, tried, dict.fromkeys(range(n), base.rounds), wape, list(range(n)))
+
+
 def run_batch(
     features: DataFrame, model: Forecaster, archive: str, run_date: str, model_name: str,
     model_version: str, settings: Settings = Settings(),

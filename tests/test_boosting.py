@@ -1,3 +1,6 @@
+from dataclasses import replace
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from conftest import COLD, SERIES, designed
@@ -393,3 +396,58 @@ def test_cold_series_ride_along(spark, rows):
     cut = rows.where((F.col("id") != COLD) | (F.col("d") <= 10))
     model = fit_quantile_boost(D.direct_table(cut, [20, 34], 5), (0.5,), PARAMS)
     assert model.train_rows == 2 * 5 * (len(SERIES) - 1)
+
+
+def test_search_fits_every_candidate_whole_and_learns_from_scores(spark, rows):
+    settings = Settings(horizon=5, quantiles=(0.5,))
+    base = BoostParams(rounds=3, max_depth=2, bins=16)
+    out = sorted(jobs.search(spark, rows, [49, 63, 77], settings, base, 5, 1).collect())
+    assert [(r["candidate"], r["rounds"]) for r in out] == [(i, 3) for i in range(5)]
+    assert [r["best"] for r in out].count(True) == 1
+    best = next(r for r in out if r["best"])
+    assert best["val_wape"] == min(r["val_wape"] for r in out)
+    made = [replace(base, learning_rate=r["learning_rate"], max_leaves=r["max_leaves"], min_rows=r["min_rows"]) for r in out]
+    wapes = [r["val_wape"] for r in out]
+    # Two at a time: the first are random draws, the others follow from the scores before them.
+    assert made[:2] == jobs.candidates(2, 1, base)
+    assert made[2:4] == jobs.proposals(made[:2], wapes[:2], 2, 1, base) and made[4:] == jobs.proposals(made[:4], wapes[:4], 1, 1, base)
+    # A score is that of a model fitted on its own, deep enough for its leaves.
+    from salescast.functions import metrics as M
+
+    table, known, i = D.direct_table(rows, [49, 63, 77], 5), F.col("origin") != 77, best["candidate"]
+    own = replace(made[i], max_depth=(made[i].max_leaves - 1).bit_length())
+    alone = fit_together(table, (0.5,), {0: Fit(own, known)})[0]
+    assert best["val_wape"] == pytest.approx(alone(table.where(~known)).agg(M.wape("sales", "q50")).first()[0])
+
+
+def test_proposals_go_where_scores_are_low():
+    base = BoostParams()
+
+    def score(p):
+        rate, leaves, least = jobs.place(p)
+        return (rate - 0.8) ** 2 + (leaves - 0.3) ** 2 + 0.1 * least
+
+    tried = jobs.proposals([], [], 2, 7, base)
+    while len(tried) < 12:
+        tried += jobs.proposals(tried, [score(p) for p in tried], 2, 7, base)
+    assert len(set(tried)) == 12 and all(0 <= v <= 1 for p in tried for v in jobs.place(p))
+    later = sorted(map(score, tried[2:]))
+    assert later[0] < min(map(score, tried[:2])) / 4 and later[4] < sorted(map(score, jobs.candidates(2048, 7, base)))[512]
+    # Candidates without a score are left out; other scores lead elsewhere.
+    some = jobs.proposals(tried[:4], [0.5, None, 0.7, None], 2, 7, base)
+    assert some != jobs.proposals(tried[:4], [0.7, None, 0.5, None], 2, 7, base)
+    assert jobs.proposals(tried[:2], [None, None], 2, 7, base) == jobs.candidates(2, 9, base)
+
+
+def test_registered_search_stops_no_candidate_early(spark, rows, tmp_path, monkeypatch):
+    from salescast.plans import catalog
+
+    def path(name, write):
+        write(f"{tmp_path}/{name}")
+        return f"{tmp_path}/{name}"
+
+    monkeypatch.setattr(catalog, "SEARCH", BoostParams(rounds=4, max_depth=2, bins=16))
+    settings = Settings(horizon=5, quantiles=(0.5,))
+    out = catalog.tune_holdout(SimpleNamespace(spark=spark, features=rows, origins=[49, 63, 77], settings=settings, path=path)).collect()
+    assert [r["rounds"] for r in out] == [4] * catalog.CANDIDATES
+    assert all(r["val_wape"] is not None for r in out)
